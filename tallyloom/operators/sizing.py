@@ -1,0 +1,19 @@
+"""Broadcast decisions for relations whose size Spark cannot see beforehand."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROW_LIMIT = 10_000
+
+
+def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Hint a broadcast only after counting that the relation is small.
+
+    Meant for narrow lookups computed by an aggregate. A larger relation comes back
+    without a hint and is joined by a shuffle that adaptive execution may split.
+    """
+    if df.limit(row_limit + 1).count() <= row_limit:
+        return F.broadcast(df)
+    return df
