@@ -11,6 +11,9 @@ RAW_SCHEMA = "oltp"
 SILVER_SCHEMA = "hand_on"
 GOLD_SCHEMA = "hand_on_output"
 
+# Rollups the marts are built from; not part of the public layers.
+WORK_SCHEMA = "work"
+
 # Ids are 64-bit: an integer id in the order system is not limited to 32 bits.
 _ID = T.LongType()
 _TEXT = T.StringType()

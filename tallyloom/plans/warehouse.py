@@ -6,7 +6,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.model import DESCRIPTIONS, GOLD_SCHEMA, RAW_SCHEMA, SILVER_SCHEMA, SOURCES
+from tallyloom.model import (
+    DESCRIPTIONS,
+    GOLD_SCHEMA,
+    RAW_SCHEMA,
+    SILVER_SCHEMA,
+    SOURCES,
+    WORK_SCHEMA,
+)
 from tallyloom.operators.checks import quality_report
 from tallyloom.operators.counts import row_counts
 from tallyloom.plans import marts, rollups, staging, star
@@ -36,10 +43,10 @@ def build_silver(spark: SparkSession) -> None:
         )
 
 
-def _store(name: str, df: DataFrame) -> DataFrame:
-    """Replace a gold table and return it as stored."""
+def _store(name: str, df: DataFrame, schema: str = GOLD_SCHEMA) -> DataFrame:
+    """Replace a table and return it as stored."""
     spark = df.sparkSession
-    table = f"{GOLD_SCHEMA}.{name}"
+    table = f"{schema}.{name}"
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
     spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(DESCRIPTIONS[name])}")
     return spark.table(table)
@@ -52,7 +59,8 @@ def build_gold(spark: SparkSession) -> None:
     runs once, and a lost executor costs at most the tasks of the current step. The two
     rollups feed six marts; they are stored as work tables for the same reason.
     """
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {GOLD_SCHEMA}")
+    for schema in (GOLD_SCHEMA, WORK_SCHEMA):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     stg = {view: spark.table(f"{SILVER_SCHEMA}.{view}") for view in staging.STAGING}
 
     client = _store(
@@ -63,8 +71,10 @@ def build_gold(spark: SparkSession) -> None:
     payment = _store("dim_payment", star.dim_payment(stg["stg_payment_method"]))
     fact = _store("fact_orders", star.fact_orders(stg["stg_orders"], stg["stg_order_product"]))
 
-    sales = _store("order_sales", rollups.order_sales(fact))
-    category_sales = _store("category_sales", rollups.category_sales(fact, product))
+    sales = _store("order_sales", rollups.order_sales(fact), WORK_SCHEMA)
+    category_sales = _store(
+        "category_sales", rollups.category_sales(fact, product), WORK_SCHEMA
+    )
 
     _store("mart_monthly_sales", marts.mart_monthly_sales(sales))
     _store("mart_sales_by_category", marts.mart_sales_by_category(category_sales))
@@ -92,6 +102,11 @@ def gold_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(f"{GOLD_SCHEMA}.{name}")
 
 
+def stored_order_sales(spark: SparkSession) -> DataFrame:
+    """Units and revenue per order, as of the last build; the input of the overall totals."""
+    return spark.table(f"{WORK_SCHEMA}.order_sales")
+
+
 def tested_models(spark: SparkSession) -> dict[str, DataFrame]:
     silver = {view: spark.table(f"{SILVER_SCHEMA}.{view}") for view in staging.STAGING}
     return silver | {name: gold_table(spark, name) for name in STAR_TABLES}

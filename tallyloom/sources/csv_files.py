@@ -11,10 +11,13 @@ from pyspark.sql.streaming import DataStreamReader
 
 from tallyloom.model import SOURCES
 
-REJECTED = "_corrupt_record"
+# Text of a record that does not fit its table's schema; NULL for a good row.
+REJECTED = "rejected_record"
+_MALFORMED = "_corrupt_record"
 
 # Columns are matched by position, the header line is only skipped. Two texts mean
-# NULL: "NULL" and the empty string, quoted or not.
+# NULL: "NULL" and the empty string, quoted or not. Without column pruning a missing or
+# surplus cell is noticed whatever columns a query asks for.
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
@@ -22,7 +25,8 @@ CSV_OPTIONS = {
     "nullValue": "NULL",
     "emptyValue": "NULL",
     "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": REJECTED,
+    "columnNameOfCorruptRecord": _MALFORMED,
+    "columnPruning": "false",
 }
 
 
@@ -51,25 +55,48 @@ def with_rejects(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType(), True)])
 
 
-def configure(
+def read_cells(
     reader: DataFrameReader | DataStreamReader, drop: FileDrop, table: str
-) -> DataFrameReader | DataStreamReader:
-    """CSV options, schema and file filter, alike for batch and stream."""
+) -> DataFrame:
+    """The files of a table as text cells, alike for batch and stream."""
+    cells = [T.StructField(name, T.StringType(), True) for name in SOURCES[table].fieldNames()]
+    malformed = T.StructField(_MALFORMED, T.StringType(), True)
     return (
-        reader.schema(with_rejects(SOURCES[table]))
+        reader.schema(T.StructType([*cells, malformed]))
         .options(**CSV_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", drop.name_filter(table))
+        .csv(drop.folder(table))
+    )
+
+
+def typed(cells: DataFrame, table: str) -> DataFrame:
+    """Declared columns, and the record text of every row that does not fit them.
+
+    The CSV reader only converts the columns a query uses, so its own verdict on a row
+    changes with the query. Cells are therefore read as text and converted here: a row
+    is rejected if any cell has a text but no value of its type, or if it has too few or
+    too many cells.
+    """
+    fields = SOURCES[table].fields
+    values = {f.name: F.col(f.name).try_cast(f.dataType) for f in fields}
+    unfit = F.col(_MALFORMED).isNotNull()
+    for name, value in values.items():
+        unfit = unfit | (F.col(name).isNotNull() & value.isNull())
+    as_read = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("NULL")) for f in fields])
+    record = F.when(unfit, F.coalesce(F.col(_MALFORMED), as_read))
+    return cells.select(
+        *[value.alias(name) for name, value in values.items()], record.alias(REJECTED)
     )
 
 
 def read_delivered(spark: SparkSession, drop: FileDrop, table: str) -> DataFrame:
-    """All delivered rows; ``_corrupt_record`` holds the text of those that do not fit the schema."""
-    return configure(spark.read, drop, table).csv(drop.folder(table))
+    """All delivered rows, good and bad, as one batch."""
+    return typed(read_cells(spark.read, drop, table), table)
 
 
 def accepted(rows: DataFrame, table: str) -> DataFrame:
-    """Rows that parsed fully, with the declared columns."""
+    """Rows that fit their schema, with the declared columns."""
     return rows.filter(F.col(REJECTED).isNull()).select(*SOURCES[table].fieldNames())
 
 

@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.model import RAW_SCHEMA, SOURCES
-from tallyloom.sources.csv_files import FileDrop, accepted, configure, rejected, with_rejects
+from tallyloom.sources.csv_files import (
+    FileDrop,
+    accepted,
+    read_cells,
+    rejected,
+    typed,
+    with_rejects,
+)
 
 # Spark by default ignores files a week older than the newest one seen. A late file must
 # not be lost, so the limit is raised out of reach.
@@ -38,12 +45,10 @@ def start_landing(
     ``files_per_batch`` bounds a micro-batch, so that a large backlog is committed in
     steps and an interrupted run resumes where it stopped.
     """
-    arrivals = (
-        configure(spark.readStream, drop, table)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .csv(drop.folder(table))
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option(
+        "maxFileAge", MAX_FILE_AGE
     )
+    arrivals = typed(read_cells(reader, drop, table), table)
     return (
         arrivals.writeStream.format("parquet")
         .outputMode("append")
