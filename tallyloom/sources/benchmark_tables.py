@@ -15,6 +15,23 @@ from tallyloom.model import SOURCES
 from tallyloom.operators.sizing import broadcast_if_small
 
 
+# Columns used, with their stored types: declared, so that no file is opened to infer them.
+_STORED = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double"
+    ),
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+}
+
+
 def _client(read: Callable[[str], DataFrame]) -> DataFrame:
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     mailbox = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))
@@ -107,6 +124,6 @@ def load(
     """The named source tables over the Parquet files in ``folder``."""
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        return spark.read.schema(_STORED[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
     return {table: _DERIVATIONS[table](read) for table in tables}
