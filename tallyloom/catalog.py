@@ -168,9 +168,12 @@ def heatmap_series(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def heatmap_category_month(spark: SparkSession, folder: str) -> DataFrame:
-    (orders,) = _staged(spark, folder, "orders")
-    months = extracts.calendar_months(orders)
-    return extracts.heatmap_category_month(cells_category_month(spark, folder), months)
+    # The columns depend on the months in the cells. The cells are few but costly, so
+    # they are stored and read back instead of being computed twice.
+    stored = scratch_folder(spark, "cells")
+    cells_category_month(spark, folder).write.parquet(stored)
+    cells = spark.read.parquet(stored)
+    return extracts.heatmap_category_month(cells, extracts.sold_months(cells))
 
 
 def top_clients(spark: SparkSession, folder: str) -> DataFrame:

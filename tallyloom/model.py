@@ -110,3 +110,14 @@ FOREIGN_KEYS: tuple[ForeignKey, ...] = (
     ForeignKey("product_id", "dim_product", "product_id"),
     ForeignKey("payment_id", "dim_payment", "payment_id"),
 )
+
+
+def key_comments(relation: str) -> dict[str, str]:
+    """What the catalog says about the key columns of a relation."""
+    comments = {}
+    if relation in PRIMARY_KEYS:
+        comments[PRIMARY_KEYS[relation]] = "Primary key"
+    if relation == FACT:
+        for key in FOREIGN_KEYS:
+            comments[key.column] = f"Foreign key to {key.parent}.{key.parent_column}"
+    return comments

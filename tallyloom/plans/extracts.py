@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,19 +99,9 @@ def heatmap_series(cells: DataFrame) -> DataFrame:
     )
 
 
-def months_between(first: date, last: date) -> list[str]:
-    """First days of the calendar months from one date to another, as text."""
-    span = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
-    return [f"{n // 12:04d}-{n % 12 + 1:02d}-01" for n in span]
-
-
-def calendar_months(orders: DataFrame) -> list[str]:
-    """The months from the first to the last order date.
-
-    Reads one row of two dates. The list is as long as the calendar, not the data.
-    """
-    span = orders.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).first()
-    return months_between(span["first"], span["last"]) if span["first"] else []
+def sold_months(cells: DataFrame) -> list[str]:
+    """The months with sales, in order. As many as the calendar has, however large the data."""
+    return [row.month for row in cells.select("month").distinct().orderBy("month").collect()]
 
 
 def heatmap_category_month(cells: DataFrame, months: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from tallyloom.model import (
     SILVER_SCHEMA,
     SOURCES,
     WORK_SCHEMA,
+    key_comments,
 )
 from tallyloom.operators.checks import quality_report
 from tallyloom.operators.counts import row_counts
@@ -32,23 +33,53 @@ def build_silver(spark: SparkSession) -> None:
     """Staging views over the raw tables. A view stores nothing and always reads the latest rows."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SILVER_SCHEMA}")
     for view, table in staging.STAGING.items():
-        columns = ", ".join(SOURCES[table].fieldNames())
+        columns = SOURCES[table].fieldNames()
+        comments = key_comments(view)
+        described = ", ".join(
+            f"{c} COMMENT {_quoted(comments[c])}" if c in comments else c for c in columns
+        )
         readable = ""
         if REJECTED in spark.table(f"{RAW_SCHEMA}.{table}").columns:
             readable = f" WHERE {REJECTED} IS NULL"
         spark.sql(
-            f"CREATE OR REPLACE VIEW {SILVER_SCHEMA}.{view} "
+            f"CREATE OR REPLACE VIEW {SILVER_SCHEMA}.{view} ({described}) "
             f"COMMENT {_quoted(DESCRIPTIONS[view])} "
-            f"AS SELECT {columns} FROM {RAW_SCHEMA}.{table}{readable}"
+            f"AS SELECT {', '.join(columns)} FROM {RAW_SCHEMA}.{table}{readable}"
         )
 
 
-def _store(name: str, df: DataFrame, schema: str = GOLD_SCHEMA) -> DataFrame:
-    """Replace a table and return it as stored."""
-    spark = df.sparkSession
-    table = f"{schema}.{name}"
+def _describe(table: str, name: str) -> None:
+    SparkSession.active().sql(f"COMMENT ON TABLE {table} IS {_quoted(DESCRIPTIONS[name])}")
+
+
+def _store(name: str, df: DataFrame) -> DataFrame:
+    """Replace a gold table and return it as stored."""
+    table = f"{GOLD_SCHEMA}.{name}"
+    for column, comment in key_comments(name).items():
+        df = df.withMetadata(column, {"comment": comment})
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(DESCRIPTIONS[name])}")
+    _describe(table, name)
+    return df.sparkSession.table(table)
+
+
+def _store_rollup(name: str, rollup: DataFrame) -> DataFrame:
+    """Replace a work table, bucketed by order, and return it as stored.
+
+    Every mart counts distinct orders or looks at the rows of one order together. One
+    shuffle here saves each of them its own. A rollup has no hot order any more, so the
+    buckets are even; there are as many as the session has shuffle partitions.
+    """
+    spark = rollup.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{WORK_SCHEMA}.{name}"
+    (
+        rollup.repartition(buckets, "order_id")
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, "order_id")
+        .saveAsTable(table)
+    )
+    _describe(table, name)
     return spark.table(table)
 
 
@@ -71,10 +102,8 @@ def build_gold(spark: SparkSession) -> None:
     payment = _store("dim_payment", star.dim_payment(stg["stg_payment_method"]))
     fact = _store("fact_orders", star.fact_orders(stg["stg_orders"], stg["stg_order_product"]))
 
-    sales = _store("order_sales", rollups.order_sales(fact), WORK_SCHEMA)
-    category_sales = _store(
-        "category_sales", rollups.category_sales(fact, product), WORK_SCHEMA
-    )
+    sales = _store_rollup("order_sales", rollups.order_sales(fact))
+    category_sales = _store_rollup("category_sales", rollups.category_sales(fact, product))
 
     _store("mart_monthly_sales", marts.mart_monthly_sales(sales))
     _store("mart_sales_by_category", marts.mart_sales_by_category(category_sales))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.model import SOURCES
@@ -32,6 +32,15 @@ _STORED = {
 }
 
 
+def _decimal(whole: Column, unit: str, kind: str) -> Column:
+    """A whole number of units, such as cents, as an exact decimal.
+
+    Spark turns a double into a decimal by way of its text; from a long it is much cheaper.
+    """
+    digits = len(unit) - 2
+    return (whole.cast("decimal(13,0)") * F.lit(unit).cast(f"decimal({digits},{digits})")).cast(kind)
+
+
 def _client(read: Callable[[str], DataFrame]) -> DataFrame:
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     mailbox = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))
@@ -71,7 +80,9 @@ def _orders(read: Callable[[str], DataFrame]) -> DataFrame:
         F.left("o_orderpriority", F.lit(1)).cast("bigint").alias("payment_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+        _decimal(
+            F.rint(F.col("o_totalprice") * 100).cast("bigint"), "0.01", "decimal(10,2)"
+        ).alias("total_amount"),
     )
 
 
@@ -79,12 +90,13 @@ def _order_product(read: Callable[[str], DataFrame]) -> DataFrame:
     # Unit price is the line's price over its quantity, cut to whole cents. Cutting
     # instead of rounding gives the same value in any engine with IEEE doubles.
     cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100)
+    tenths = F.rint(F.col("l_quantity") * 10).cast("bigint")
     return read("lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_product_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("decimal(10,1)").alias("quantity"),
-        (cents / 100).cast("decimal(10,2)").alias("price_unit"),
+        _decimal(tenths, "0.1", "decimal(10,1)").alias("quantity"),
+        _decimal(cents, "0.01", "decimal(10,2)").alias("price_unit"),
     )
 
 

@@ -12,6 +12,7 @@ name is loaded again, and the uniqueness checks report it.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,15 +70,24 @@ def land(
     files_per_batch: int = 1000,
 ) -> list[StreamingQuery]:
     """Load all tables side by side and wait for the end; raises if a table failed."""
+    tables = list(tables)
     queries = [
         start_landing(spark, drop, table, landing, checkpoints, files_per_batch)
         for table in tables
     ]
     for query in queries:
         query.awaitTermination()
+    _refresh(spark, tables)
     return queries
 
 
+def _refresh(spark: SparkSession, tables: Iterable[str]) -> None:
+    """Let this session's registered tables see newly landed files."""
+    for table in tables:
+        if spark.catalog.tableExists(f"{RAW_SCHEMA}.{table}"):
+            spark.catalog.refreshTable(f"{RAW_SCHEMA}.{table}")
+
+
 def landing_status(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
     """Progress of each load: one row per micro-batch that read something."""
     rows = [
@@ -118,18 +128,16 @@ def create_raw_tables(spark: SparkSession, landing: str) -> None:
 
 def raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """The accepted rows of the registered raw tables, as of now."""
-    tables = {}
-    for table in SOURCES:
-        spark.catalog.refreshTable(f"{RAW_SCHEMA}.{table}")
-        tables[table] = accepted(spark.table(f"{RAW_SCHEMA}.{table}"), table)
-    return tables
+    _refresh(spark, SOURCES)
+    return {table: accepted(spark.table(f"{RAW_SCHEMA}.{table}"), table) for table in SOURCES}
 
 
 def raw_rejects(spark: SparkSession) -> DataFrame:
     """Unreadable records of all tables, with the table they were delivered for."""
-    rows = None
-    for table in SOURCES:
-        found = rejected(spark.table(f"{RAW_SCHEMA}.{table}"))
-        found = found.select(F.lit(table).alias("table_name"), "record")
-        rows = found if rows is None else rows.unionByName(found)
-    return rows
+    found = [
+        rejected(spark.table(f"{RAW_SCHEMA}.{table}")).select(
+            F.lit(table).alias("table_name"), "record"
+        )
+        for table in SOURCES
+    ]
+    return reduce(DataFrame.unionByName, found)

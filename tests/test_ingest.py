@@ -254,6 +254,9 @@ def test_warehouse_from_files_to_extracts(spark, tmp_path, fresh_catalog):
     assert spark.sql("select email from hand_on.stg_client").first()[0] == "ada@mail.example"
     assert warehouse.gold_table(spark, "mart_cube_category_month").count() == 4
     assert warehouse.gold_table(spark, "mart_cube_payment_status").count() == 4
+    commented = spark.table("hand_on_output.fact_orders").schema["client_id"].metadata["comment"]
+    assert commented == "Foreign key to dim_client.client_id"
+    assert spark.table("hand_on.stg_orders").schema["order_id"].metadata["comment"] == "Primary key"
     totals = extracts.kpi_totals(warehouse.stored_order_sales(spark))
     assert rows_of(totals) == [(1, 1, Decimal("2.0"), Decimal("30.000"))]
     report = warehouse.check(spark).collect()
@@ -263,7 +266,6 @@ def test_warehouse_from_files_to_extracts(spark, tmp_path, fresh_catalog):
     shop.deliver("orders", "orders__2.csv", ["2,7,1,2024-07-01,Shipped,15.00"])
     shop.deliver("order_product", "order_product__2.csv", ["2,2,1,1.0,15.00"])
     shop.run(tables=SOURCES)
-    landing.raw_tables(spark)
     assert spark.table("hand_on.stg_orders").count() == 2
     assert warehouse.gold_table(spark, "fact_orders").count() == 1
     warehouse.build(spark, layers=["gold"])

@@ -10,7 +10,7 @@ from __spark_entry__ import queries
 from pyspark.sql import functions as F
 
 from tallyloom.operators.cube import sales_cube, sales_cube_plain
-from tallyloom.plans import marts, rollups, star
+from tallyloom.plans import marts, rollups, star, warehouse
 
 QUERIES = queries()
 
@@ -127,6 +127,28 @@ def test_top_clients_keeps_only_the_top(spark, sf_dir):
     assert "TakeOrderedAndProject" in planned(QUERIES["top_clients"](spark, sf_dir))
 
 
+def test_marts_over_stored_rollups_do_not_shuffle_orders(spark, skewed):
+    orders, lines, products = skewed
+    spark.sql("CREATE SCHEMA IF NOT EXISTS work")
+    try:
+        fact = star.fact_orders(orders, lines)
+        sales = warehouse._store_rollup("order_sales", rollups.order_sales(fact))
+        by_category = warehouse._store_rollup(
+            "category_sales", rollups.category_sales(fact, products)
+        )
+        payment = spark.range(4).selectExpr("id AS payment_id", "concat('P', id) AS payment_method")
+        for mart in (
+            marts.mart_monthly_sales(sales),
+            marts.mart_sales_by_category(by_category),
+            marts.mart_cube_category_month(by_category),
+            marts.mart_cube_payment_status(sales, payment),
+        ):
+            assert not any("order_id" in columns for columns in shuffles(planned(mart)))
+        assert sales.agg(F.sum("units")).first() == lines.agg(F.sum("quantity")).first()
+    finally:
+        spark.sql("DROP SCHEMA work CASCADE")
+
+
 # A third of all lines belongs to one order, and a third of all orders to one client.
 
 LINES, ORDERS = 60_000, 6_000
