@@ -193,7 +193,10 @@ _SELECTS = {
     "dim_payment": "select * from payment_method",
     "fact_orders": "select * from fact_orders",
     "mart_monthly_sales": "select * from monthly order by month",
-    "mart_sales_by_category": "select * exclude (mils) from by_category order by total_revenue desc",
+    "mart_sales_by_category": (
+        "select category, total_orders, total_units_sold, total_revenue, avg_price_per_unit "
+        "from by_category order by total_revenue desc"
+    ),
     "mart_sales_by_client_type": "select * from by_client_type order by total_revenue desc",
     "mart_sales_by_client": "select * from by_client",
     "mart_cube_category_month": "select * from cube_category_month",

@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tallyloom.session import tune  # noqa: E402
 
-TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
@@ -35,4 +35,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return f"{TESTDATA}/sf0.01"
+    return SF_DIR
