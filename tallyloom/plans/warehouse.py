@@ -48,18 +48,43 @@ def build_silver(spark: SparkSession) -> None:
         )
 
 
-def _describe(table: str, name: str) -> None:
-    SparkSession.active().sql(f"COMMENT ON TABLE {table} IS {_quoted(DESCRIPTIONS[name])}")
+def _folder(spark: SparkSession, schema: str) -> str:
+    return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return details.filter("col_name = 'Location'").first().data_type
 
 
 def _store(name: str, df: DataFrame) -> DataFrame:
-    """Replace a gold table and return it as stored."""
+    """Replace a gold table and return it as stored.
+
+    The new rows go to whichever of two folders the table does not use now, and the table
+    is pointed at them when they are complete. Until then readers see the old rows; a build
+    that dies half way leaves them in place, and the next one overwrites what it left.
+    """
+    spark = df.sparkSession
     table = f"{GOLD_SCHEMA}.{name}"
     for column, comment in key_comments(name).items():
         df = df.withMetadata(column, {"comment": comment})
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    _describe(table, name)
-    return df.sparkSession.table(table)
+
+    stored = spark.catalog.tableExists(table)
+    used = _location(spark, table) if stored else ""
+    folder = f"{_folder(spark, GOLD_SCHEMA)}/{name}/{'b' if used.endswith('/a') else 'a'}"
+    df.write.mode("overwrite").parquet(folder)
+
+    if stored and spark.table(table).schema.simpleString() != df.schema.simpleString():
+        spark.sql(f"DROP TABLE {table}")
+        stored = False
+    if stored:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(folder)}")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(
+            table, path=folder, source="parquet", schema=df.schema, description=DESCRIPTIONS[name]
+        )
+    return spark.table(table)
 
 
 def _store_rollup(name: str, rollup: DataFrame) -> DataFrame:
@@ -76,10 +101,11 @@ def _store_rollup(name: str, rollup: DataFrame) -> DataFrame:
         rollup.repartition(buckets, "order_id")
         .write.mode("overwrite")
         .format("parquet")
+        .option("path", f"{_folder(spark, WORK_SCHEMA)}/{name}")
         .bucketBy(buckets, "order_id")
         .saveAsTable(table)
     )
-    _describe(table, name)
+    spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(DESCRIPTIONS[name])}")
     return spark.table(table)
 
 

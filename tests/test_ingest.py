@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pytest
 from fixtures import rows_of
+from pyspark.errors import PySparkException
 
 from tallyloom.model import SOURCES
 from tallyloom.plans import extracts, warehouse
@@ -278,6 +279,67 @@ def test_warehouse_from_files_to_extracts(spark, tmp_path, fresh_catalog):
     ]
 
 
+def load_delivery(spark, folder):
+    shop = Landing(spark, folder)
+    for table, lines in DELIVERY.items():
+        shop.deliver(table, f"{table}__1.csv", lines)
+    landing.create_raw_tables(spark, f"{folder}/landed")
+    shop.run(tables=SOURCES)
+    return shop
+
+
+def gold_folder(spark, name):
+    uri = spark.catalog.getDatabase("hand_on_output").locationUri
+    return Path(uri.removeprefix("file:")) / name
+
+
+def test_failed_build_keeps_the_old_tables(spark, tmp_path, fresh_catalog):
+    shop = load_delivery(spark, tmp_path)
+    warehouse.build(spark)
+    month = "mart_monthly_sales"
+    before = rows_of(warehouse.gold_table(spark, month))
+    # A line without units makes the average price of its category a division by zero.
+    shop.deliver("order_product", "order_product__2.csv", ["2,1,2,0.0,15.00"])
+    shop.deliver("product", "product__2.csv", ["2,Book,Books,15.00"])
+    shop.run(tables=SOURCES)
+    with pytest.raises(PySparkException, match="DIVIDE_BY_ZERO"):
+        warehouse.build(spark)
+    assert warehouse.gold_table(spark, "mart_sales_by_category").count() == 1
+    assert rows_of(warehouse.gold_table(spark, month)) == before
+
+    shop.deliver("order_product", "order_product__3.csv", ["3,1,2,1.0,15.00"])
+    shop.run(tables=SOURCES)
+    warehouse.build(spark)
+    assert warehouse.gold_table(spark, "mart_sales_by_category").count() == 2
+
+
+def test_build_overwrites_what_a_killed_build_left(spark, tmp_path, fresh_catalog):
+    load_delivery(spark, tmp_path)
+    warehouse.build(spark, layers=["silver"])
+    spark.sql("CREATE SCHEMA hand_on_output")
+    spark.sql("CREATE SCHEMA work")
+    uri = spark.catalog.getDatabase("work").locationUri
+    for folder in (
+        gold_folder(spark, "fact_orders") / "a",
+        Path(uri.removeprefix("file:")) / "order_sales",
+    ):
+        folder.mkdir(parents=True)
+        (folder / "part-00000.parquet").write_text("half a file")
+    for _ in range(3):
+        warehouse.build(spark)
+        assert warehouse.gold_table(spark, "fact_orders").count() == 1
+    slots = sorted(folder.name for folder in gold_folder(spark, "fact_orders").iterdir())
+    assert slots == ["a", "b"]
+
+
+def test_gold_table_follows_a_changed_schema(spark, tmp_path, fresh_catalog):
+    load_delivery(spark, tmp_path)
+    warehouse.build(spark)
+    old = warehouse.gold_table(spark, "dim_payment")
+    warehouse._store("dim_payment", old.withColumn("note", old.payment_method))
+    assert warehouse.gold_table(spark, "dim_payment").columns[-1] == "note"
+
+
 def test_silver_layer_alone(spark, tmp_path, fresh_catalog):
     landing.create_raw_tables(spark, f"{tmp_path}/landed")
     landing.create_raw_tables(spark, f"{tmp_path}/landed")
