@@ -92,23 +92,22 @@ _CTES = {
                     as decimal(38,2)) as avg_order_value
         from sale group by month""",
     "cube_category_month": """
-        select coalesce(category, 'ALL CATEGORIES') as category,
-               coalesce(cast(month as varchar), 'ALL MONTHS') as month,
+        select coalesce(a, 'ALL CATEGORIES') as category,
+               coalesce(cast(b as varchar), 'ALL MONTHS') as month,
                count(distinct order_id) as total_orders,
                cast(sum(quantity) as decimal(38,1)) as total_units_sold,
                cast(sum(revenue) as decimal(38,3)) as total_revenue
-        from (select category, month, order_id, quantity, revenue
-              from sale join product using (product_id)) as sold(category, month, order_id, quantity, revenue)
-        group by cube (sold.category, sold.month)""",
+        from (select category as a, month as b, * from sale join product using (product_id))
+        group by cube (a, b)""",
     "cube_payment_status": """
-        select coalesce(payment_method, 'ALL METHODS') as payment_method,
-               coalesce(status, 'ALL STATUSES') as order_status,
+        select coalesce(a, 'ALL METHODS') as payment_method,
+               coalesce(b, 'ALL STATUSES') as order_status,
                count(distinct order_id) as total_orders,
                cast(sum(quantity) as decimal(38,1)) as total_units_sold,
                cast(sum(revenue) as decimal(38,3)) as total_revenue
-        from (select payment_method, status, order_id, quantity, revenue
-              from sale join payment_method using (payment_id)) as paid(payment_method, status, order_id, quantity, revenue)
-        group by cube (paid.payment_method, paid.status)""",
+        from (select payment_method as a, status as b, *
+              from sale join payment_method using (payment_id))
+        group by cube (a, b)""",
     "cell_category_month": """
         select * from cube_category_month
         where category != 'ALL CATEGORIES' and month != 'ALL MONTHS'""",

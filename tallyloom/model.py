@@ -69,7 +69,7 @@ DESCRIPTIONS: dict[str, str] = {
     "dim_client": "Clients with type and status names; email, phone and address masked",
     "dim_product": "Products with category and list price",
     "dim_payment": "Payment methods",
-    "fact_orders": "One row per order line with its order attributes; total_amount repeats per line",
+    "fact_orders": "Order lines with the attributes of their order; total_amount repeats",
     "order_sales": "Work table: units and revenue per order",
     "category_sales": "Work table: units and revenue per order and category",
     "mart_monthly_sales": "Orders, units, revenue and average order value per month",
@@ -103,7 +103,7 @@ class ForeignKey:
     parent_column: str
 
 
-# References from the fact to its dimensions: not null, and present in the parent.
+# Foreign keys of the fact: each must be not null and present in its dimension.
 FACT = "fact_orders"
 FOREIGN_KEYS: tuple[ForeignKey, ...] = (
     ForeignKey("client_id", "dim_client", "client_id"),

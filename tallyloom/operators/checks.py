@@ -77,8 +77,9 @@ def _foreign_key_rows(models: dict[str, DataFrame]) -> DataFrame:
     # orphan, a NULL key fails the not-null check. A column that has no value at all
     # still appears through its parent, or through the empty rows added last.
     child = foreign_key_values(models[FACT], FOREIGN_KEYS).withColumn("in_parent", F.lit(0))
+    no_rows, yes = F.lit(0).cast("bigint"), F.lit(1)
     parent = parent_values(models, FOREIGN_KEYS).select(
-        "column_name", "key", F.lit(0).cast("bigint").alias("row_count"), F.lit(1).alias("in_parent")
+        "column_name", "key", no_rows.alias("row_count"), yes.alias("in_parent")
     )
     values = (
         child.unionByName(parent)

@@ -25,10 +25,13 @@ def sales_cube(sales: DataFrame, row: str, column: str, key: str = "order_id") -
         F.sum("units").alias("units"), F.sum("revenue").alias("revenue")
     )
     # The window by key alone comes first: the shuffle it asks for serves the others.
+    overall = Window.partitionBy(key).orderBy(row, column)
+    within_row = Window.partitionBy(key, row).orderBy(column)
+    within_column = Window.partitionBy(key, column).orderBy(row)
     marked = (
-        distinct.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(row, column)))
-        .withColumn("nth_in_row", F.row_number().over(Window.partitionBy(key, row).orderBy(column)))
-        .withColumn("nth_in_column", F.row_number().over(Window.partitionBy(key, column).orderBy(row)))
+        distinct.withColumn("nth", F.row_number().over(overall))
+        .withColumn("nth_in_row", F.row_number().over(within_row))
+        .withColumn("nth_in_column", F.row_number().over(within_column))
     )
     known = F.col(key).isNotNull()
     cells = marked.groupBy(row, column).agg(

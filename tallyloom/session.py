@@ -31,7 +31,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     It lies below the cluster's ``spark.checkpoint.dir``. Only a local session, where
     driver and executors share one disk, may fall back to the temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -38,7 +38,8 @@ def _decimal(whole: Column, unit: str, kind: str) -> Column:
     Spark turns a double into a decimal by way of its text; from a long it is much cheaper.
     """
     digits = len(unit) - 2
-    return (whole.cast("decimal(13,0)") * F.lit(unit).cast(f"decimal({digits},{digits})")).cast(kind)
+    step = F.lit(unit).cast(f"decimal({digits},{digits})")
+    return (whole.cast("decimal(13,0)") * step).cast(kind)
 
 
 def _client(read: Callable[[str], DataFrame]) -> DataFrame:

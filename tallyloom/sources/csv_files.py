@@ -51,6 +51,12 @@ class FileDrop:
         return self.pattern.format(table=table)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether anything has been delivered yet; object stores have no empty folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def with_rejects(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType(), True)])
 
@@ -91,7 +97,9 @@ def typed(cells: DataFrame, table: str) -> DataFrame:
 
 
 def read_delivered(spark: SparkSession, drop: FileDrop, table: str) -> DataFrame:
-    """All delivered rows, good and bad, as one batch."""
+    """All delivered rows, good and bad, as one batch; none if the folder does not exist yet."""
+    if not folder_exists(spark, drop.folder(table)):
+        return spark.createDataFrame([], with_rejects(SOURCES[table]))
     return typed(read_cells(spark.read, drop, table), table)
 
 

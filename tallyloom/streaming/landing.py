@@ -22,6 +22,7 @@ from tallyloom.model import RAW_SCHEMA, SOURCES
 from tallyloom.sources.csv_files import (
     FileDrop,
     accepted,
+    folder_exists,
     read_cells,
     rejected,
     typed,
@@ -69,8 +70,11 @@ def land(
     tables: Iterable[str] = tuple(SOURCES),
     files_per_batch: int = 1000,
 ) -> list[StreamingQuery]:
-    """Load all tables side by side and wait for the end; raises if a table failed."""
-    tables = list(tables)
+    """Load all tables side by side and wait for the end; raises if a table failed.
+
+    A table whose folder does not exist yet has no query.
+    """
+    tables = [table for table in tables if folder_exists(spark, drop.folder(table))]
     queries = [
         start_landing(spark, drop, table, landing, checkpoints, files_per_batch)
         for table in tables
@@ -89,7 +93,11 @@ def _refresh(spark: SparkSession, tables: Iterable[str]) -> None:
 
 
 def landing_status(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """Progress of each load: one row per micro-batch that read something."""
+    """Progress of each load: one row per micro-batch that read something.
+
+    Spark keeps the latest hundred micro-batches of a query
+    (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
     rows = [
         (query.name, progress.batchId, progress.numInputRows, progress.timestamp)
         for query in queries
@@ -102,6 +110,8 @@ def landing_status(spark: SparkSession, queries: Iterable[StreamingQuery]) -> Da
 
 
 def landed(spark: SparkSession, landing: str, table: str) -> DataFrame:
+    if not folder_exists(spark, f"{landing}/{table}"):
+        return spark.createDataFrame([], with_rejects(SOURCES[table]))
     # The folder's commit log decides which files count, so files left by a failed
     # attempt are not read.
     return spark.read.schema(with_rejects(SOURCES[table])).parquet(f"{landing}/{table}")

@@ -168,7 +168,7 @@ def test_clients(spark, sales_of):
 
 @both_orders
 def test_repeated_keys_behave_like_the_plain_join(spark, sales_of):
-    """Order 1 is delivered twice with other attributes, client 1 twice alike, client 2 twice unlike."""
+    """Order 1 comes again with other attributes, client 1 twice alike, client 2 twice unlike."""
     shop = Shop(
         spark,
         client=[client(1), client(1), client(2), client(2, client_name="Other")],
@@ -203,7 +203,7 @@ def test_repeated_keys_behave_like_the_plain_join(spark, sales_of):
         lines.join(shop.dim_payment, "payment_id"), "payment_method", "status"
     )
     cube = marts.mart_cube_payment_status(sales, shop.dim_payment)
-    labelled = plain_cube.na.fill("ALL METHODS", ["payment_method"]).na.fill("ALL STATUSES", ["status"])
+    labelled = plain_cube.na.fill({"payment_method": "ALL METHODS", "status": "ALL STATUSES"})
     assert rows_of(cube) == rows_of(labelled)
     assert rows_of(extracts.kpi_totals(sales)) == [(2, 2, D("7.0"), D("70.000"))]
 

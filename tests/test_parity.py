@@ -8,6 +8,9 @@ import duckdb
 import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
+from tallyloom.plans import warehouse
+from tallyloom.sources import benchmark_tables
+
 QUERIES, ORACLE = queries(), oracle_sql()
 
 
@@ -49,3 +52,23 @@ def test_file_listing_names_every_table(spark, sf_dir):
 
 def test_flagship_query_runs(spark):
     assert entry(spark).count() > 0
+
+
+def test_built_tables_equal_the_queries(spark, sf_dir):
+    """The catalog build goes from the stored fact to the rollups, the queries from the lines."""
+    schemas = ("oltp", "hand_on", "hand_on_output", "work")
+    spark.sql("CREATE SCHEMA oltp")
+    try:
+        for table, rows in benchmark_tables.load(spark, sf_dir).items():
+            rows.write.saveAsTable(f"oltp.{table}")
+        warehouse.build(spark)
+        built = {row.tableName for row in spark.sql("SHOW TABLES IN hand_on_output").collect()}
+        assert built == {name for name in QUERIES if name.startswith(("dim_", "fact_", "mart_"))}
+        for name in sorted(built):
+            stored = warehouse.gold_table(spark, name)
+            query = QUERIES[name](spark, sf_dir)
+            assert stored.columns == query.columns
+            assert sorted(map(str, stored.collect())) == sorted(map(str, query.collect())), name
+    finally:
+        for schema in schemas:
+            spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
