@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -59,61 +59,6 @@ def orphan_keys(
     return values.join(parent_values(parents, keys), ["column_name", "key"], "left_anti")
 
 
-def _primary_key_rows(model: str, df: DataFrame) -> DataFrame:
-    column = PRIMARY_KEYS[model]
-    key = F.col("key")
-    groups = df.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-    failures = groups.agg(
-        F.count_if(F.col("n") > 1).alias("unique"),
-        F.coalesce(F.sum(F.when(key.isNull(), F.col("n"))), F.lit(0)).alias("not_null"),
-    )
-    return failures.unpivot([], ["unique", "not_null"], "check_name", "failures").select(
-        F.lit(model).alias("model"), F.lit(column).alias("column_name"), "check_name", "failures"
-    )
-
-
-def _foreign_key_rows(models: dict[str, DataFrame]) -> DataFrame:
-    # Child and parent keys meet in one aggregate: a key without a parent row is an
-    # orphan, a NULL key fails the not-null check. A column that has no value at all
-    # still appears through its parent, or through the empty rows added last.
-    child = foreign_key_values(models[FACT], FOREIGN_KEYS).withColumn("in_parent", F.lit(0))
-    no_rows, yes = F.lit(0).cast("bigint"), F.lit(1)
-    parent = parent_values(models, FOREIGN_KEYS).select(
-        "column_name", "key", no_rows.alias("row_count"), yes.alias("in_parent")
-    )
-    values = (
-        child.unionByName(parent)
-        .groupBy("column_name", "key")
-        .agg(F.sum("row_count").alias("n"), F.max("in_parent").alias("in_parent"))
-    )
-    known = F.col("key").isNotNull()
-    found = values.groupBy("column_name").agg(
-        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("not_null"),
-        F.coalesce(F.sum(F.when(known & (F.col("in_parent") == 0), F.col("n"))), F.lit(0)).alias(
-            "relationships"
-        ),
-    )
-    rows = found.unpivot(
-        ["column_name"], ["not_null", "relationships"], "check_name", "failures"
-    )
-    return _with_all_foreign_keys(rows, ["not_null", "relationships"])
-
-
-def _with_all_foreign_keys(rows: DataFrame, checks: Sequence[str]) -> DataFrame:
-    expected = [(key.column, check) for key in FOREIGN_KEYS for check in checks]
-    zeros = rows.sparkSession.createDataFrame(
-        [(column, check, 0) for column, check in expected],
-        "column_name string, check_name string, failures bigint",
-    )
-    return (
-        rows.select("column_name", "check_name", "failures")
-        .unionByName(zeros)
-        .groupBy("column_name", "check_name")
-        .agg(F.sum("failures").alias("failures"))
-        .select(F.lit(FACT).alias("model"), "column_name", "check_name", "failures")
-    )
-
-
 def unique_failures(models: dict[str, DataFrame]) -> DataFrame:
     """Every duplicated primary key of every tested relation."""
     found = [
@@ -139,22 +84,90 @@ def not_null_report(models: dict[str, DataFrame]) -> DataFrame:
 
 def relationship_report(models: dict[str, DataFrame]) -> DataFrame:
     """Fact rows that refer to a missing dimension row, per foreign key."""
-    orphans = orphan_keys(models[FACT], models).select(
-        "column_name",
-        F.lit("relationships").alias("check_name"),
-        F.col("row_count").alias("failures"),
+    found = orphan_keys(models[FACT], models).select("column_name", "row_count")
+    # Every key is listed, also one without orphans.
+    listed = found.sparkSession.sql(_values((key.column, 0) for key in FOREIGN_KEYS))
+    return (
+        found.union(listed)
+        .groupBy("column_name")
+        .agg(F.sum("row_count").alias("orphan_rows"))
+        .select(F.lit(FACT).alias("model"), "column_name", "orphan_rows")
     )
-    report = _with_all_foreign_keys(orphans, ["relationships"])
-    return report.select("model", "column_name", F.col("failures").alias("orphan_rows"))
+
+
+def _values(rows: Iterable[tuple]) -> str:
+    text = ", ".join(str(row).replace("None", "CAST(NULL AS BIGINT)") for row in rows)
+    return f"VALUES {text}"
+
+
+# Which count per relation decides which declared check: a relation's own key must be
+# unique and complete, and the fact's references to it complete and known.
+_DECLARED = [
+    row
+    for model, column in PRIMARY_KEYS.items()
+    for row in (
+        (model, "repeated", model, column, "unique"),
+        (model, "missing", model, column, "not_null"),
+    )
+] + [
+    row
+    for key in FOREIGN_KEYS
+    for row in (
+        (key.parent, "missing_references", FACT, key.column, "not_null"),
+        (key.parent, "unknown_references", FACT, key.column, "relationships"),
+    )
+]
+
+
+def _key_values(models: dict[str, DataFrame]) -> DataFrame:
+    """All key values by relation: the relation's own, and those by which the fact refers to it."""
+    parts = [
+        models[model].select(F.lit(model).alias("relation"), F.col(column).alias("key"))
+        for model, column in PRIMARY_KEYS.items()
+        if model != FACT
+    ]
+    own = reduce(DataFrame.unionByName, parts).withColumn("is_own", F.lit(1))
+    # The fact's own key and its references in one pass.
+    columns = {FACT: PRIMARY_KEYS[FACT]} | {key.parent: key.column for key in FOREIGN_KEYS}
+    fact = models[FACT].select(*[F.col(c).alias(relation) for relation, c in columns.items()])
+    fact = fact.unpivot([], list(columns), "relation", "key")
+    return own.unionByName(fact.withColumn("is_own", (F.col("relation") == FACT).cast("int")))
 
 
 def quality_report(models: dict[str, DataFrame]) -> DataFrame:
     """All declared checks, one row each, with the number of failures.
 
-    Uniqueness and completeness of a key come from the same aggregate; all foreign keys
-    share a single pass over the fact.
+    One aggregate serves them all: the keys of all relations, and the fact's references
+    to them, are counted by value. Equal keys meet on the map side first, so a key on very
+    many rows does no harm.
     """
-    reports = [_primary_key_rows(model, models[model]) for model in PRIMARY_KEYS]
-    reports.append(_foreign_key_rows(models))
-    failures = F.col("failures")
-    return reduce(DataFrame.unionByName, reports).withColumn("passed", failures == 0)
+    values = (
+        _key_values(models)
+        .groupBy("relation", "key")
+        .agg(
+            F.count_if(F.col("is_own") == 1).alias("own"),
+            F.count_if(F.col("is_own") == 0).alias("referring"),
+        )
+    )
+    # A relation without rows takes part, too.
+    listed = values.sparkSession.sql(_values((model, None, 0, 0) for model in PRIMARY_KEYS))
+    known = F.col("key").isNotNull()
+    own, referring = F.col("own"), F.col("referring")
+    counts = (
+        values.union(listed)
+        .groupBy("relation")
+        .agg(
+            F.count_if(own > 1).alias("repeated"),
+            F.sum(F.when(known, 0).otherwise(own)).alias("missing"),
+            F.sum(F.when(known, 0).otherwise(referring)).alias("missing_references"),
+            F.sum(F.when(known & (own == 0), referring).otherwise(0)).alias("unknown_references"),
+        )
+    )
+    names = ["repeated", "missing", "missing_references", "unknown_references"]
+    failures = counts.unpivot(["relation"], names, "measure", "failures")
+    declared = failures.sparkSession.sql(_values(_DECLARED)).toDF(
+        "relation", "measure", "model", "column_name", "check_name"
+    )
+    return failures.join(declared, ["relation", "measure"]).select(
+        "model", "column_name", "check_name", "failures", (F.col("failures") == 0).alias("passed")
+    )
