@@ -10,7 +10,8 @@ from __future__ import annotations
 _CTES = {
     "client": """
         select c_custkey as client_id, c_name as client_name,
-               lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example' as email,
+               lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example'
+                   as email,
                '(555) 000-' || lpad(cast(c_custkey % 10000 as varchar), 4, '0') as phone_number,
                cast(c_custkey as varchar) || ' ' || c_mktsegment || ' St' as address,
                cast(c_nationkey as bigint) as type_id, c_custkey % 7 as status_id,
@@ -244,9 +245,9 @@ _SELECTS = {
         from monthly order by month""",
     "category_revenue_share": """
         select category, total_revenue,
-               cast(cast((20000 * mils + (sum(mils) over ())) // (2 * (sum(mils) over ())) as bigint)
-                    * 0.01 as decimal(38,2)) as share_pct
-        from by_category""",
+               cast(cast((20000 * mils + whole) // (2 * whole) as bigint) * 0.01
+                    as decimal(38,2)) as share_pct
+        from (select *, sum(mils) over () as whole from by_category)""",
     "client_type_revenue": "select client_type, total_revenue from by_client_type",
     "cells_category_month": "select * from cell_category_month",
     "cells_payment_status": """

@@ -96,6 +96,7 @@ def relationship_report(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def _values(rows: Iterable[tuple]) -> str:
+    """A few declared names and numbers as an inline table."""
     text = ", ".join(str(row).replace("None", "CAST(NULL AS BIGINT)") for row in rows)
     return f"VALUES {text}"
 
