@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, secret_scan
+from tallyloom.llm import chat, minhash, secret_scan
 from tallyloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,17 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its set size and the near-duplicate component it belongs to."""
+    near = minhash.near_duplicates(table(spark, folder, "documents"))
+    return near.select(
+        F.col("doc").alias("doc_id"),
+        "n_shingles",
+        F.col("component").alias("component_id"),
+        (F.col("doc") == F.col("component")).alias("kept"),
+    )
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of the known forms and all spans of every document."""
     found = secret_scan.scan_secrets(table(spark, folder, "documents"))
@@ -63,5 +74,6 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
