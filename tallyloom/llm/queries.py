@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, minhash, secret_scan
+from tallyloom.llm import chat, minhash, secret_scan, suffixes
 from tallyloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,14 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the bytes that smaller documents have too."""
+    left = suffixes.remove_repeats(table(spark, folder, "documents"), keep_bytes=False)
+    return left.select(
+        F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of the known forms and all spans of every document."""
     found = secret_scan.scan_secrets(table(spark, folder, "documents"))
@@ -75,5 +83,6 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
