@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, minhash, secret_scan, suffixes
+from tallyloom.llm import chat, decontaminate, minhash, pieces, secret_scan, suffixes
 from tallyloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 PROBE_CHAT = "</s>[INST] ok [/INST]"
 
 
@@ -50,6 +51,11 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in pieces, and whether decoding them gives its text back."""
+    return pieces.encode_texts(table(spark, folder, "documents"), PIECE_MODEL, checked=True)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its set size and the near-duplicate component it belongs to."""
     near = minhash.near_duplicates(table(spark, folder, "documents"))
@@ -93,6 +99,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op3_chat_format": op3_chat_format,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
