@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, minhash, pieces, secret_scan, suffixes
-from tallyloom.llm.tables import table
+from tallyloom.llm import chat, decontaminate, minhash, pieces, secret_scan, suffixes, toxicity
+from tallyloom.llm.tables import learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,20 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity score of every document, by a lexicon learned from rows not held out."""
+    docs = table(spark, folder, "documents")
+    lexicon = toxicity.learn_lexicon(docs, table(spark, folder, "labels"))
+    scored = toxicity.score_texts(docs, lexicon)
+    return scored.select(
+        "doc_id",
+        (~learns("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "hits",
+    )
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of the known forms and all spans of every document."""
     found = secret_scan.scan_secrets(table(spark, folder, "documents"))
@@ -102,5 +116,6 @@ QUERIES: dict[str, Query] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
