@@ -9,8 +9,9 @@ that sum relative to the text's length, give the score through a logistic curve.
 
 Terms are a small list of insults and stems learned from labels: word beginnings much more
 frequent in toxic texts than in others, weighted by their log odds. The learning sample is
-bounded (`FIT_TOXIC`, `FIT_CLEAN`); near copies count once in it, because every word of a
-copied text would look like a term.
+bounded (`FIT_TOXIC`, `FIT_CLEAN`). A term counts in it only as often as it follows different
+words: all words of a copied passage are as frequent in toxic texts as the passage is, but
+always follow the same word.
 
 Defined cases: null and empty texts score as a text without hits; whole texts are matched,
 however long; repeated rows score alike; null or missing labels teach nothing; without
@@ -26,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from zlib import crc32
 
 import ahocorasick
 import numpy as np
@@ -33,14 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.arrays import text_chunks, word_alphabet
-from tallyloom.llm.minhash import shingle_sets
 from tallyloom.llm.tables import learns, stored
 
 FIT_TOXIC, FIT_CLEAN = 4_000, 12_000
 STEM_CHARS = range(4, 11)
 LEAST_EVIDENCE = 14.0  # log-likelihood ratio a learned term needs
 MAX_TERMS = 5_000
+CONTEXT_BITS = 62
 LISTED_WEIGHT = 2.0
 
 # Common insults, phrases in which such words are harmless, letters that look
@@ -171,9 +172,8 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: st
 
 
 def learning_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: dict[int, int]) -> DataFrame:
-    """(doc, text, label, copy_key): for each label value the rows least in a hash order, up
-    to its bound, so their ids may be broadcast. Near copies mostly share the copy key."""
-    # Held-out rows never get here.
+    """(doc, text, label): for each label value the rows least in a hash order, up to its
+    bound, so their ids may be broadcast. Held-out rows never get here."""
     rows = labels.filter(learns("doc_id")).groupBy("doc_id").agg(F.max(label).alias("label"))
     picked = None
     for value, bound in bounds.items():
@@ -181,46 +181,56 @@ def learning_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: dict
         picked = some if picked is None else picked.unionByName(some)
     picked = picked.select(F.col("doc_id").alias("picked"), "label")
     texts = docs.select(F.col("doc_id").alias("doc"), "text")
-    sample = texts.join(F.broadcast(picked), F.col("doc") == F.col("picked")).select("doc", "text", "label")
+    return texts.join(F.broadcast(picked), F.col("doc") == F.col("picked")).select(
+        "doc", "text", "label"
+    )
 
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            keys = [
-                int(s[0]) >> 1 if len(s) else -1
-                for chunk in text_chunks(batch.column(1))
-                for s in shingle_sets(chunk, word_alphabet())
-            ]
-            arrays = [batch.column(i) for i in range(3)] + [pa.array(keys, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "text", "label", "copy_key"])
 
-    return sample.mapInArrow(batches, f"doc long, text string, label int, copy_key long")
-
-
-def _stems(text: str) -> set[str]:
-    found: set[str] = set()
-    for word in set(WORD.findall(fold(text))):
+def _stems(text: str) -> dict[str, int]:
+    """The terms a text has, each with a bit for the word before it (one of CONTEXT_BITS)."""
+    found: dict[str, int] = {}
+    before = 0
+    for word in WORD.findall(fold(text)):
         if len(word) >= STEM_CHARS[0]:
-            found.add(word + " ")
-            found.update(word[:n] for n in STEM_CHARS if n <= len(word))
+            for term in (word + " ", *(word[:n] for n in STEM_CHARS if n <= len(word))):
+                found[term] = found.get(term, 0) | 1 << before
+        before = crc32(word.encode()) % CONTEXT_BITS
     return found
 
 
 def _document_counts(sample: DataFrame, only: frozenset[str] | None) -> DataFrame:
-    """(term, n): how many texts have the stem; partial counts leave each batch."""
+    """(term, n, contexts): how many texts have the term, and after which words; partial
+    counts leave each batch."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             counts: Counter[str] = Counter()
+            contexts: dict[str, int] = {}
             for text in batch.column(0).to_pylist():
-                stems = _stems(text or "")
-                counts.update(stems if only is None else stems & only)
+                for term, bits in _stems(text or "").items():
+                    if only is None or term in only:
+                        counts[term] += 1
+                        contexts[term] = contexts.get(term, 0) | bits
             yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-                names=["term", "n"],
+                [
+                    pa.array(counts.keys(), pa.string()),
+                    pa.array(counts.values(), pa.int64()),
+                    pa.array([contexts[term] for term in counts], pa.int64()),
+                ],
+                names=["term", "n", "contexts"],
             )
 
-    counted = sample.select("text").mapInArrow(batches, "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n"))
+    counted = sample.select("text").mapInArrow(batches, "term string, n long, contexts long")
+    return counted.groupBy("term").agg(
+        F.sum("n").alias("n"), F.bit_count(F.bit_or("contexts")).alias("contexts")
+    )
+
+
+def _independent(n: int, contexts: int) -> int:
+    """How many of n texts can be independent, judged by the bits their contexts set."""
+    if contexts > CONTEXT_BITS // 2:
+        return n
+    return min(n, round(-CONTEXT_BITS * math.log(1 - contexts / CONTEXT_BITS)))
 
 
 def _evidence(toxic: int, clean: int, share: float) -> float:
@@ -232,10 +242,33 @@ def _evidence(toxic: int, clean: int, share: float) -> float:
     return ratio + (clean * math.log((1 - own) / (1 - share)) if clean else 0.0)
 
 
+def _plainest(learned: dict[str, float], counts: dict[str, int]) -> list[tuple[str, float]]:
+    """Of terms that begin alike: the longest that still covers nearly the same texts, and no
+    longer one that says no more than a shorter one kept."""
+
+    def beginnings(term: str) -> list[str]:
+        word = term.strip()
+        return [word[:n] for n in STEM_CHARS if n < len(term) and n <= len(word)]
+
+    wide = {
+        short
+        for term in learned
+        for short in beginnings(term)
+        if short in learned and counts[term] >= 0.9 * counts[short]
+    }
+    kept = {term: odds for term, odds in learned.items() if term not in wide}
+    plain = {
+        term: odds
+        for term, odds in kept.items()
+        if not any(kept.get(short, 0.0) >= odds - 0.5 for short in beginnings(term))
+    }
+    return sorted(plain.items(), key=lambda item: (-item[1], item[0]))
+
+
 def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Lexicon:
     """Terms and curve from labelled rows that are not held out."""
     sample = learning_sample(docs, labels, label, {1: FIT_TOXIC, 0: FIT_CLEAN})
-    sample = stored(sample.dropDuplicates(["copy_key", "label"]), "toxicity-sample")
+    sample = stored(sample, "toxicity-sample")
     sizes = dict(sample.groupBy("label").count().collect())
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
@@ -244,9 +277,11 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> L
     # What no number of clean texts could make a term is not even counted in them.
     least = math.ceil(LEAST_EVIDENCE / -math.log(share))
     in_toxic = _document_counts(sample.filter("label = 1"), None).filter(F.col("n") >= least)
-    toxic = dict(in_toxic.orderBy(F.desc("n"), "term").limit(40 * MAX_TERMS).collect())
+    in_toxic = in_toxic.orderBy(F.desc("n"), "term").limit(40 * MAX_TERMS)
+    toxic = {r.term: _independent(r.n, r.contexts) for r in in_toxic.collect()}
+    toxic = {term: n for term, n in toxic.items() if n >= least}
     in_clean = _document_counts(sample.filter("label = 0"), frozenset(toxic))
-    clean = dict(in_clean.collect())
+    clean = {r.term: r.n for r in in_clean.collect()}
     learned: dict[str, float] = {}
     for term, n in toxic.items():
         missed = clean.get(term, 0)
@@ -254,14 +289,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> L
             odds = math.log((n + 0.5) / (n_toxic + 1)) - math.log((missed + 0.5) / (n_clean + 1))
             if odds >= LISTED_WEIGHT:
                 learned[term] = odds
-    # A longer term that says no more than a beginning of it is left out.
-    needed = {
-        term: odds
-        for term, odds in learned.items()
-        if not any(learned.get(term[:n], 0.0) >= odds - 0.5 for n in STEM_CHARS if n < len(term))
-    }
-    top = sorted(needed.items(), key=lambda item: (-item[1], item[0]))[:MAX_TERMS]
-    terms = tuple(top) + tuple((t, w) for t, w in LISTED if t not in needed)
+    terms = tuple(_plainest(learned, toxic)[:MAX_TERMS])
+    known = {term.strip(): weight for term, weight in terms}
+    terms += tuple((t, known.get(t, w)) for t, w in LISTED if (t, known.get(t)) not in terms)
     return _with_curve(Lexicon(terms), sample)
 
 
