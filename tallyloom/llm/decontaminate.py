@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import Words, mix, text_chunks, token_alphabet, words
+from tallyloom.llm.bitmaps import bitmap_of, in_bitmap
 
 # Fixed masks: 1 takes part in the hash, 0 is ignored. Every mask has weight 7.
 MASKS = ("1111111", "110110111", "1101010111")
@@ -69,19 +70,17 @@ def all_seeds(found: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
     yield short, np.zeros(len(short), np.int64), mix(total)
 
 
-def _seed_rows(rows: DataFrame, bitmap: bytes | None) -> DataFrame:
+def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
     """(id, at, seed) of (id, text); with a bitmap, only seeds whose bit is set."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = token_alphabet()
-        bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
         for batch in source:
             ids = batch.column(0).to_numpy()
             for chunk in text_chunks(batch.column(1)):
                 for text, at, seeds in all_seeds(words(chunk, alphabet)):
-                    if bits is not None:
-                        spot = (seeds % np.uint64(BITMAP_BITS)).astype(np.int64)
-                        hit = (bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
+                    if bitmap is not None:
+                        hit = in_bitmap(seeds, bitmap, BITMAP_BITS)
                         text, at, seeds = text[hit], at[hit], seeds[hit]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -95,20 +94,6 @@ def _seed_rows(rows: DataFrame, bitmap: bytes | None) -> DataFrame:
     return rows.filter("id is not null").mapInArrow(batches, "id long, at int, seed long")
 
 
-def seed_bitmap(seeds: DataFrame) -> bytes:
-    """One bit for each residue a benchmark seed has; at most BITMAP_BITS reach the driver."""
-    bit = F.pmod(F.col("seed"), F.lit(BITMAP_BITS))
-    parts = seeds.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("part"))
-    rows = parts.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect()
-    size = 4096
-    out = bytearray(BITMAP_BITS // 8 + size)
-    for part, bits in rows:
-        # Bucket numbers count from 1 and hold the bits (number - 1) * 32768 and on.
-        begin = (part - 1) * size
-        out[begin : begin + size] = bits
-    return bytes(out[: BITMAP_BITS // 8])
-
-
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     """The stretch with the greatest sum of matches less substitution costs."""
     gains = np.where(equal, 1.0, -SUBSTITUTION_COST)
@@ -182,7 +167,7 @@ def contaminations(
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     benchmark = items.select(F.col(item_key).alias("id"), F.col(item_text).alias("text"))
     theirs = _seed_rows(benchmark, None)
-    ours = _seed_rows(texts, seed_bitmap(theirs))
+    ours = _seed_rows(texts, bitmap_of(theirs, "seed", BITMAP_BITS))
     theirs = theirs.select("seed", F.col("id").alias("item"), F.col("at").alias("item_at"))
     met = ours.join(theirs, "seed").select(
         F.col("id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("diagonal")
