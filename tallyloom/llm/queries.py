@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, minhash, pieces, secret_scan, suffixes, toxicity
+from tallyloom.llm import chat, decontaminate, minhash, pieces, quality, secret_scan, suffixes, toxicity
 from tallyloom.llm.tables import learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,18 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document, learned from rows not held out."""
+    docs = table(spark, folder, "documents")
+    model = quality.fit_quality(docs, table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        (~learns("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The toxicity score of every document, by a lexicon learned from rows not held out."""
     docs = table(spark, folder, "documents")
@@ -116,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
