@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, minhash, pieces, quality, secret_scan, suffixes, toxicity
+from tallyloom.llm import chat, decontaminate, htmltext, minhash, pieces, quality, secret_scan, suffixes, toxicity
 from tallyloom.llm.tables import learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_texts(table(spark, folder, "documents"), PIECE_MODEL, checked=True)
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return htmltext.extract_text(table(spark, folder, "pages"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its set size and the near-duplicate component it belongs to."""
     near = minhash.near_duplicates(table(spark, folder, "documents"))
@@ -126,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op3_chat_format": op3_chat_format,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_html_text": op5_html_text,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality": op8_quality,
