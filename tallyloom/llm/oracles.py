@@ -40,4 +40,25 @@ def _chat_format() -> str:
     """
 
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": _chat_format()}
+EXACT_TOPK = """
+    with vectors as (
+        select vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as v
+        from embeddings
+        where len(embedding) > 0
+          and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)
+    ), scored as (
+        select q.vec_id as query_id, c.vec_id as vec_id,
+               cast(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]) as bigint) as score
+        from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+        where q.vec_id % 20 = 0
+    ), ranked as (
+        select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+        from scored
+    )
+    select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": EXACT_TOPK,
+    "op3_chat_format": _chat_format(),
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, htmltext, minhash, pieces, quality, secret_scan, suffixes, toxicity
+from tallyloom.llm import chat, decontaminate, htmltext, minhash, pieces, quality, secret_scan, suffixes, topk, toxicity
 from tallyloom.llm.tables import learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,15 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best candidates of every twentieth vector, against all vectors."""
+    vectors = table(spark, folder, "embeddings")
+    best = topk.top_k(vectors.filter("vec_id % 20 = 0"), vectors, 20, "vec_id", "embedding")
+    return best.select(
+        F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score"
+    )
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation and one that tries to forge marks, formatted and read back."""
     chats = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -129,6 +138,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_exact_topk": op2_exact_topk,
     "op3_chat_format": op3_chat_format,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_html_text": op5_html_text,
