@@ -58,7 +58,72 @@ EXACT_TOPK = """
     select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
 """
 
+# All shingle pairs: for the small tables of a comparison only.
+NEAR_DEDUP = r"""
+    with recursive texts as (
+        select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') as w
+        from documents
+    ), sets as (
+        select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) end as s
+        from texts
+    ), shingles as (
+        select doc_id, len(s) as n, unnest(s) as x from sets
+    ), links as (
+        select a.doc_id as a, b.doc_id as b
+        from shingles a join shingles b on a.x = b.x and a.doc_id < b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n
+        having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), both_ways as (
+        select a, b from links union all select b, a from links
+    ), reached as (
+        select doc_id, doc_id as root from sets
+        union
+        select both_ways.b as doc_id, reached.root from reached join both_ways on reached.doc_id = both_ways.a
+    ), components as (
+        select doc_id, min(root) as component_id from reached group by doc_id
+    )
+    select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+    from sets join components using (doc_id)
+"""
+
+# One row for every byte position: for the small tables of a comparison only.
+SUFFIX_DEDUP = """
+    with texts as (
+        select doc_id, hex(encode(coalesce(text, ''))) as x from documents
+    ), windows as (
+        select doc_id, i, substr(x, 2 * i + 1, 100) as s
+        from (select doc_id, x, unnest(range(0, greatest(length(x) // 2 - 49, 0))) as i from texts)
+    ), firsts as (
+        select s, min(doc_id) as f from windows group by s
+    ), hits as (
+        select doc_id, i, lag(i) over (partition by doc_id order by i) as before
+        from windows join firsts using (s) where doc_id > f
+    ), numbered as (
+        select doc_id, i, sum(case when before is null or i > before + 50 then 1 else 0 end)
+               over (partition by doc_id order by i) as span
+        from hits
+    ), spans as (
+        select doc_id, span, min(i) as a, max(i) + 50 as b from numbered group by doc_id, span
+    ), pieces as (
+        select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as done from spans
+    ), joined as (
+        select doc_id, string_agg(substr(x, 2 * done + 1, 2 * (a - done)), '' order by a) as front,
+               max(b) as tail, count(*) as n_spans, sum(b - a) as n_removed
+        from pieces join texts using (doc_id) group by doc_id
+    )
+    select doc_id, cast(length(x) // 2 as bigint) as n_bytes,
+           cast(coalesce(n_removed, 0) as bigint) as n_removed,
+           cast(coalesce(n_spans, 0) as bigint) as n_spans,
+           sha256(unhex(coalesce(front, '') || substr(x, 2 * coalesce(tail, 0) + 1))) as kept_sha256
+    from texts left join joined using (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": EXACT_TOPK,
     "op3_chat_format": _chat_format(),
+    "op6_minhash_near_dedup": NEAR_DEDUP,
+    "op7_suffix_dedup": SUFFIX_DEDUP,
 }
