@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import Chunk, mix, text_chunks, word_alphabet, words
+from tallyloom.llm.bitmaps import bitmap_of, probably_in
 from tallyloom.llm.components import components
 from tallyloom.llm.tables import stored
 
@@ -39,6 +40,7 @@ SHINGLE_WORDS = 5
 MIN_SIMILARITY_PERCENT = 75
 BANDS, BAND_ROWS = 40, 4
 BINS = BANDS * BAND_ROWS
+BITMAP_BITS = 1 << 25  # four megabytes, whatever the number of documents
 MEMBERS_A_BLOCK = 256
 
 WORD_FACTORS = mix(np.arange(11, 11 + SHINGLE_WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -180,18 +182,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     made = stored(sketches(docs, key, text), "sketches")
 
     # Equal sets are one class, under its smallest document.
-    sets = made.filter("n > 0 and doc is not null").groupBy("n", "low", "high").agg(
-        F.min(F.struct("doc", "bands")).alias("first")
-    )
-    classes = stored(sets.select("n", "low", "high", F.col("first.doc").alias("rep"), "first.bands"), "classes")
+    sets = made.filter("n > 0 and doc is not null").groupBy("n", "low", "high")
+    classes = stored(sets.agg(F.min("doc").alias("rep")), "classes")
 
     # Buckets of one class lead to no comparison.
-    rows = classes.select("rep", F.explode("bands").alias("key"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    crowd = stored(rows.join(sizes, "key"), "buckets")
+    rows = made.filter("doc is not null").select("doc", "low", F.explode("bands").alias("key"))
+    sizes = rows.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("low").alias("one"), F.max("low").alias("other")
+    )
+    sizes = sizes.filter("one < other").select("key", "size")
+    crowd = rows.join(sizes, "key").select("key", F.col("doc").alias("rep"), "size")
+    crowd = stored(crowd.join(classes.select("rep"), "rep", "left_semi"), "buckets")
     weight = crowd.groupBy("rep").agg(F.sum("size").alias("weight"))
     crowd = crowd.select("key", "rep").join(weight, "rep")
 
+    # Only texts in some bucket are ever compared; the bitmap spares most others the shuffle.
+    bitmap = bitmap_of(weight, "rep", BITMAP_BITS)
+    texts = probably_in(texts, "doc", bitmap, BITMAP_BITS).join(
+        weight.select(F.col("rep").alias("doc")), "doc", "left_semi"
+    )
+    texts = stored(texts, "candidates")
+
     links = None
     tested = None
     found = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
@@ -238,7 +249,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         turn += 1
 
     named = classes.join(found, classes.rep == found.node).select("n", "low", "high", "component")
-    grouped = made.drop("bands").join(named, ["n", "low", "high"], "left")
+    grouped = made.select("doc", "n", "low", "high").join(named, ["n", "low", "high"], "left")
     return grouped.select(
         "doc", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component")
     )
