@@ -257,7 +257,7 @@ class SuffixOrder:
 
     def __init__(self, strings: list[bytes], group: np.ndarray):
         self.sizes = np.array([len(s) for s in strings], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         # One byte more, so that a read at the end of the last string is inside the data.
         self.data = np.frombuffer(b"".join(strings) + b"\0", np.uint8)
         self.sums = prefix_hashes(symbol_codes()[self.data])
@@ -357,11 +357,12 @@ class SuffixOrder:
             )
             same_group = group[self.order[:-1]] == group[self.order[1:]]
             true = np.where(same_group, shared, 0)
-        return np.append(0, true) if len(strings) else true
+        return np.append(0, true)[: len(strings)]
 
     def _neighbours(self, group: np.ndarray) -> np.ndarray:
         a, b = self.order[:-1], self.order[1:]
-        return np.append(0, np.where(group[a] == group[b], self.extension(a, b), 0))
+        shared = np.where(group[a] == group[b], self.extension(a, b), 0)
+        return np.append(0, shared)[: len(self.order)]
 
     def runs(self, depth: int, new_group: np.ndarray) -> np.ndarray:
         """The number of the run of strings that agree for `depth` bytes, for each string."""

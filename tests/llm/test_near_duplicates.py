@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from helpers import components, documents, edited, prose, shingles
+
+from tallyloom.llm import components as graph
+from tallyloom.llm import minhash
+
+
+def found(df):
+    return {r.doc: (r.n_shingles, r.component) for r in df.collect()}
+
+
+def expected(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    roots = components(sets)
+    return {i: (len(sets[i]), roots[i]) for i in sets}
+
+
+@pytest.fixture(scope="module")
+def groups():
+    """Unrelated texts, exact copies, near copies of one base, and a chain of small edits."""
+    rows = [(i, prose(i, 40 + i)) for i in range(30)]
+    base = prose(500, 200)
+    rows += [(100 + i, edited(base, i, 0.02 + 0.002 * i)) for i in range(20)] + [(150, base)]
+    rows += [(200 + i, prose(7, 47)) for i in range(5)]
+    chain = prose(900, 150)
+    for i in range(12):
+        chain = edited(chain, 40 + i, 0.02)
+        rows.append((320 - i, chain))
+    return rows
+
+
+def test_equals_comparing_all_pairs(spark, groups):
+    assert found(minhash.near_duplicates(documents(spark, groups))) == expected(groups)
+
+
+def test_edge_cases_and_clashing_columns(spark):
+    long = prose(3, 6000)
+    rows = [
+        (1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "One  two"), (6, "two one"),
+        (7, "a b c d e"), (8, "A b\nc d E"), (9, long), (10, long + " tail"), (11, "é"), (12, "É"),
+    ]
+    result = found(minhash.near_duplicates(documents(spark, rows, extra=True)))
+    assert result == expected(rows)
+    assert result[2] == (0, 2) and result[5] == (1, 4) and result[10][1] == 9
+
+
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f")]
+    result = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((str(r.doc), r.component) for r in result) == [("1", 1), ("1", 1), ("2", 1), ("None", 1)]
+    assert minhash.near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_signature_agrees_as_often_as_sets_do():
+    rng = np.random.default_rng(5)
+    agreed = []
+    for size in (8, 40, 400):
+        for _ in range(60):
+            pool = np.unique(rng.integers(0, 2**63, 2 * size, dtype=np.uint64))
+            shared, own, other = np.split(pool, [size, size + size // 4])
+            other = other[: size // 4]
+            a = minhash.signature(np.sort(np.concatenate([shared, own])))
+            b = minhash.signature(np.sort(np.concatenate([shared, other])))
+            agreed.append((a == b).mean())
+    assert abs(np.mean(agreed) - 2 / 3) < 0.03
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (None, 3)]
+    frame = spark.createDataFrame(links + links[:5], "a long, b long")
+    result = {r.node: r.component for r in graph.components(frame).collect()}
+    assert result == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+    assert graph.components(frame.limit(0)).collect() == []
