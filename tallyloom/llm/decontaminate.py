@@ -95,13 +95,17 @@ def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """The stretch with the greatest sum of matches less substitution costs."""
-    gains = np.where(equal, 1.0, -SUBSTITUTION_COST)
-    sums = np.concatenate([[0.0], np.cumsum(gains)])
-    drop = sums[1:] - np.minimum.accumulate(sums[:-1])
-    end = int(drop.argmax())
-    begin = int(sums[: end + 1].argmin())
-    return begin, end + 1
+    """The stretch with the greatest sum of matches less substitution costs; of equal sums the
+    longest, then the first."""
+    sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -SUBSTITUTION_COST))])
+    lowest = np.minimum.accumulate(sums[:-1])
+    # The first place at which each running minimum was reached.
+    fresh = np.append(True, lowest[1:] < lowest[:-1])
+    begins = np.maximum.accumulate(np.where(fresh, np.arange(len(lowest)), 0))
+    gains = sums[1:] - lowest
+    ends = np.flatnonzero(gains == gains.max())
+    end = ends[np.argmax(ends - begins[ends])]
+    return int(begins[end]), int(end) + 1
 
 
 def enough(matches: int, length: int, item_words: int) -> bool:
