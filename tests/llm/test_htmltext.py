@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import pytest
+
+from tallyloom.llm.htmltext import Node, _densities, _measure, extract_text, main_text, parse
+
+MENU = '<nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>'
+WORDS = "several plain words that make a sentence of an article, and a few more of them."
+
+
+def page(article: str, before: str = "", after: str = "") -> str:
+    head = "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head>"
+    return f"{head}<body>{MENU}{before}{article}{after}<footer>&copy; x</footer></body></html>"
+
+
+CASES = {
+    "article": (page(f"<article><h1>Head</h1><p>{WORDS}</p><p>Short.</p></article>"), f"Head\n{WORDS}\nShort."),
+    "unclosed": (page(f"<article><p><b>{WORDS}<br><p>Two</article>"), f"{WORDS}\nTwo"),
+    "cut off": (page(f"<article><h1>H</h1><p>{WORDS}").split("<footer")[0], f"H\n{WORDS}"),
+    "references": (page("<article><p>a&amp;b &lt;p&gt; &#233; &eacute; &am</p><p>x</p></article>"), "a&b <p> é é &am\nx"),
+    "white space": (page("<article><p> a \n\t b&nbsp; c </p><p>d</p></article>"), "a b c\nd"),
+    "sections": (
+        page(f"<main><section><h2>A</h2><p>{WORDS}</p></section><section><p>{WORDS}</p><ul><li>i<li>j</ul></section></main>"),
+        f"A\n{WORDS}\n{WORDS}\ni\nj",
+    ),
+    "comments": (
+        page(f"<article><p>{WORDS}</p><p>b</p><div class='comments'><p>{WORDS}</p><p>{WORDS}</p></div></article>"),
+        f"{WORDS}\nb",
+    ),
+    "adverts": (page(f"<article><p>{WORDS}</p><div id=ad-1>buy</div><p>b</p></article>", f'<div class="ad">{WORDS}</div>'), f"{WORDS}\nb"),
+    "scripts": (page(f"<article><p>{WORDS}<script>var p='</p><p>no';</script></p><p>b</p></article>"), f"{WORDS}\nb"),
+    "markup comment": (page(f"<article><p>{WORDS}</p><!-- <p>no</p> --><p>b</p></article>"), f"{WORDS}\nb"),
+    "form and notice": (
+        page(f"<article><p>{WORDS}</p><form><p>mail</p><input></form><div role=alert>now</div><p>b</p></article>"),
+        f"{WORDS}\nb",
+    ),
+    "sidebar of links": (
+        page(
+            f"<div><div><p>{WORDS}</p><p>{WORDS}</p></div><div><a href=1>Link one</a> <a href=2>Link two</a> <a href=3>three</a></div></div>"
+        ),
+        f"{WORDS}\n{WORDS}",
+    ),
+    "article header": (page(f"<article><header><h1>Head</h1></header><p>{WORDS}</p><p>{WORDS}</p></article>"), f"{WORDS}\n{WORDS}"),
+    "table": (page(f"<article><p>{WORDS}</p><table><tr><td>a<td>b<tr><td>c</table></article>"), f"{WORDS}\na\nb\nc"),
+    "inline": (page(f"<article><p>un<b>brok</b>en <a href=x>link</a>, {WORDS}</p><p>b</p></article>"), f"unbroken link, {WORDS}\nb"),
+    "no elements": ("plain & simple\n\ntext", "plain & simple text"),
+    "only a menu": (page(""), ""),
+}
+
+
+@pytest.mark.parametrize("name", [n for n in CASES if n != "article header"])
+def test_article_text(name):
+    html, text = CASES[name]
+    assert main_text(html) == text
+
+
+def test_a_header_inside_the_article_is_part_of_it():
+    html, text = CASES["article header"]
+    assert main_text(html) == "Head\n" + text
+
+
+def test_counts_and_density_sums():
+    root = parse("<body><div><p>abcd <a>ef</a></p><p>gh</p></div></body>")
+    order = _measure(root)
+    by_name = {n.name: n for n in order}
+    div, first = by_name["div"], next(n for n in order if n.name == "p")
+    assert (div.chars, div.tags, div.link_chars, div.links) == (8, 3, 2, 1)
+    _densities(order, by_name["body"])
+    assert div.sum == pytest.approx(sum(c.density for c in div.children if isinstance(c, Node)))
+    assert first.density < 8 and by_name["a"].density < first.density * 2
+
+
+def test_rows_nulls_and_long_pages(spark):
+    long = page("<article>" + f"<p>{WORDS}</p>" * 5000 + "</article>")
+    deep = "<div>" * 20_000 + f"<p>{WORDS}</p>"
+    rows = [(1, "u", None), (2, None, ""), (3, "u", CASES["article"][0]), (3, "u", CASES["article"][0]), (4, "u", long), (None, "u", deep)]
+    frame = spark.createDataFrame([(*r, "x", 0) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    made = extract_text(frame).collect()
+    texts = [(r.page_id, r.text) for r in made]
+    assert texts == [(1, ""), (2, ""), *[(3, CASES["article"][1])] * 2, (4, "\n".join([WORDS] * 5000)), (None, WORDS)]
+    assert all(r.n_chars == len(r.text) for r in made)
+    assert extract_text(frame.limit(0)).collect() == []
