@@ -99,6 +99,8 @@ def statistics(chunk: Chunk, alphabet: np.ndarray) -> np.ndarray:
     """One row of statistics for each text of a chunk."""
     data, bounds = chunk.data, chunk.bounds
     n = len(bounds) - 1
+    if not len(data):
+        return np.zeros((n, len(STATISTICS)))
     size = np.maximum(np.diff(bounds), 1).astype(float)
     found = words(chunk, alphabet)
     per = np.diff(found.bounds)

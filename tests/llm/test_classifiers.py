@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import documents, prose
+
+from tallyloom.llm import quality, toxicity
+from tallyloom.llm.arrays import text_chunks, word_alphabet
+from tallyloom.llm.tables import learns
+
+
+def labels(spark, rows):
+    schema = "doc_id long, quality int, toxic int, text string, label string"
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], schema)
+
+
+def held_out(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Prose and shouted junk, some of it with insults."""
+    rows, marks = [], []
+    for i in range(600):
+        text = prose(i, 30 + i % 90)
+        bad, toxic = i % 4 == 0, i % 6 == 1
+        if bad:
+            text = " ".join(w.upper() + "!!" for w in text.split(" "))
+        if toxic:
+            words = text.split(" ")
+            for n in range(3, len(words), 9):
+                words[n] = "idiot" if n % 2 else "wozzel" + "aeiou"[i % 5]
+            text = " ".join(words)
+        rows.append((i, text))
+        marks.append((i, 0 if bad else 1, 1 if toxic else 0))
+    return rows, marks
+
+
+def test_held_out_rows(spark):
+    ids = spark.range(300)
+    assert {r.id for r in ids.filter(~learns("id")).collect()} == {i for i in range(300) if held_out(i)}
+
+
+def statistics_of(texts):
+    return np.vstack([quality.statistics(c, word_alphabet()) for c in text_chunks(pa.array(texts, pa.string()))])
+
+
+def test_statistics_of_known_texts():
+    names = list(quality.STATISTICS)
+    made = statistics_of(["Ab ab, ab.\nab ab, ab.\n", "", None, "X!", "a b c d e a b c d e"])
+    by = {n: made[:, i] for i, n in enumerate(names)}
+    assert by["distinct_words"][0] == pytest.approx(0.5)
+    assert by["repeated_lines"][0] == 0.0 and by["lines"][0] == pytest.approx(np.log1p(2))
+    assert by["upper"][0] == pytest.approx(1 / 22) and by["shout"][3] == 0.5
+    assert not made[1].any() and not made[2].any()
+    assert by["repeated_fives"][4] == pytest.approx(1 / 6)
+    # A text's statistics do not depend on its neighbours.
+    alone = [statistics_of([t])[0] for t in ("Ab ab, ab.\nab ab, ab.\n", "X!", "a b c d e a b c d e")]
+    assert np.allclose(made[[0, 3, 4]], alone)
+
+
+def test_features_approximate_the_gaussian_kernel():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(40, len(quality.STATISTICS)))
+    z = quality.fourier(x, np.zeros(x.shape[1]), np.ones(x.shape[1]))[:, :-1]
+    squared = ((x[:, None] - x[None]) ** 2).sum(-1)
+    assert np.abs(z @ z.T - np.exp(-squared / (2 * quality.KERNEL_WIDTH**2))).max() < 0.3
+
+
+def test_isotonic_equals_the_best_rising_fit():
+    at, fit = quality.isotonic(np.array([1.0, 2, 3, 4, 5]), np.array([0.0, 1, 0, 1, 1]))
+    assert fit.tolist() == [0.0, 0.5, 1.0] and at.tolist() == [1.0, 2.5, 4.5]
+
+
+def test_quality_on_held_out_rows(spark, corpus):
+    rows, marks = corpus
+    docs = documents(spark, rows, extra=True)
+    # What is held out is labelled wrongly: it must not matter.
+    wrong = [(i, 1 - q if held_out(i) else q, t) for i, q, t in marks]
+    model = quality.fit_quality(docs, labels(spark, wrong))
+    scores = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+    assert all((scores[i] >= 0.3) == bool(q) for i, q, _ in marks if held_out(i))
+    kept = quality.good_documents(docs, model, 0.3)
+    assert kept.schema == docs.schema
+    assert {r.doc_id for r in kept.collect()} == {i for i in scores if scores[i] >= 0.3}
+
+
+def test_quality_edge_cases(spark, corpus):
+    rows, marks = corpus
+    odd = documents(spark, [(1, None), (2, ""), (3, "x"), (3, "x"), (None, prose(1, 9)), (4, prose(2, 50_000))])
+    for some in (marks[:200], [], [(i, 1, 0) for i, _, _ in marks[:50]], [(i, None, None) for i, _, _ in marks]):
+        model = quality.fit_quality(documents(spark, rows[:200]), labels(spark, some))
+        scored = [r.score for r in quality.score_quality(odd, model).collect()]
+        assert len(scored) == 6 and all(0.0 <= s <= 1.0 for s in scored)
+        assert quality.score_quality(odd.limit(0), model).collect() == []
+    empty = documents(spark, [])
+    assert quality.score_quality(empty, quality.fit_quality(empty, labels(spark, marks))).collect() == []
+
+
+def test_folding():
+    assert toxicity.fold("1D10T") == toxicity.fold("idiot") == toxicity.fold("іdїоt") == toxicity.fold("ＩＤＩＯＴ")
+    assert toxicity.fold("Ídíòt") == toxicity.fold("idiot")
+    assert toxicity.fold("$tup1d") == toxicity.fold("stupid")
+
+
+def test_matching_words_stems_and_exceptions():
+    lexicon = toxicity.Lexicon(
+        ((toxicity.fold("clown"), 2.0), (toxicity.fold("ass") + " ", 3.0)), (toxicity.fold("clown fish"),)
+    )
+    hits = toxicity.Matcher(lexicon).hits
+    weights = lambda text: sorted(hits(toxicity.fold(text)).values())
+    assert weights("clown, Clowns! c10wn uclown") == [2.0, 2.0, 2.0]
+    assert weights("ass class assess a55.") == [3.0, 3.0]
+    assert weights("a clown fish and a clown") == [2.0]
+    assert weights("") == []
+
+
+def test_toxicity_on_held_out_rows(spark, corpus):
+    rows, marks = corpus
+    docs = documents(spark, rows, extra=True)
+    wrong = [(i, q, 1 - t if held_out(i) else t) for i, q, t in marks]
+    lexicon = toxicity.learn_lexicon(docs, labels(spark, wrong))
+    assert any(term.startswith("wozze") for term, _ in lexicon.terms)
+    scored = {r.doc_id: r.score for r in toxicity.score_texts(docs, lexicon).collect()}
+    assert all((scored[i] >= 0.5) == bool(t) for i, _, t in marks if held_out(i))
+    assert toxicity.text_score("such an 1D10T, w0zzela and wozze1u", lexicon)[0] > 0.5
+
+
+def test_a_copied_passage_teaches_no_terms(spark):
+    passage = "quolby fenwick tramblo yestrin vokkula"
+    rows = [(i, prose(i, 30) + (" " + passage + " idiot" if i % 2 else "")) for i in range(300)]
+    marks = [(i, 1, i % 2) for i in range(300)]
+    terms = [t for t, _ in toxicity.learn_lexicon(documents(spark, rows), labels(spark, marks)).terms]
+    assert not any(t.startswith(("fenwi", "tramb", "yestr", "vokku")) for t in terms)
+
+
+def test_toxicity_edge_cases(spark):
+    odd = documents(spark, [(1, None), (2, ""), (3, "idiot"), (3, "idiot"), (None, "x"), (4, prose(2, 50_000))])
+    for some in ([], [(1, 1, 1)], [(1, 1, None), (2, None, 0)]):
+        lexicon = toxicity.learn_lexicon(odd, labels(spark, some))
+        scored = [r.score for r in toxicity.score_texts(odd, lexicon).collect()]
+        assert len(scored) == 6 and all(0.0 <= s <= 1.0 for s in scored)
+    assert toxicity.score_texts(odd.limit(0), toxicity.Lexicon(toxicity.LISTED)).collect() == []
