@@ -180,6 +180,18 @@ def _counts(tables: dict[str, str]) -> str:
     )
 
 
+# Raw tables: the name that stands for each, and its first column.
+_RAW = {
+    "client": ("client", "client_id"),
+    "client_status": ("client_status", "client_status_id"),
+    "client_type": ("client_type", "client_type_id"),
+    "orders": ("sales_order", "order_id"),
+    "order_product": ("order_product", "order_product_id"),
+    "product": ("product", "product_id"),
+    "payment_method": ("payment_method", "payment_id"),
+}
+_SOLD = ("sum(total_units_sold)", "sum(total_revenue)")
+
 _SELECTS = {
     "stg_client": "select * from client",
     "stg_client_status": "select * from client_status",
@@ -215,17 +227,7 @@ _SELECTS = {
             union all select model, column_name, 'not_null', null_rows from ({_NULLS})
             union all select model, column_name, 'relationships', orphan_rows from ({_ORPHANS})
         )""",
-    "row_counts_raw": _counts(
-        {
-            "client": "client",
-            "client_status": "client_status",
-            "client_type": "client_type",
-            "orders": "sales_order",
-            "order_product": "order_product",
-            "product": "product",
-            "payment_method": "payment_method",
-        }
-    ),
+    "row_counts_raw": _counts({table: name for table, (name, _) in _RAW.items()}),
     "row_counts_star": _counts(
         {
             "dim_client": "dim_client",
@@ -235,11 +237,18 @@ _SELECTS = {
         }
     ),
     "kpi_totals": "select * from kpi",
+    # The cards are formatted from the exact decimals, cents rounded half to even.
     "kpi_cards": """
-        select format('${:,.2f}', cast(revenue as double)) as total_revenue,
+        select '$' || format('{:,}', cents // 100) || '.' || lpad(cast(cents % 100 as varchar), 2, '0')
+                   as total_revenue,
                format('{:,}', orders) as total_orders, format('{:,}', clients) as unique_clients,
-               format('{:,.0f}', cast(units as double)) as units_sold
-        from kpi""",
+               format('{:,}', whole) as units_sold
+        from (select *, cast(mils // 10 + case when mils % 10 > 5 or (mils % 10 = 5 and mils // 10 % 2 = 1)
+                                          then 1 else 0 end as bigint) as cents,
+                     cast(tenths // 10 + case when tenths % 10 > 5 or (tenths % 10 = 5 and tenths // 10 % 2 = 1)
+                                         then 1 else 0 end as bigint) as whole
+              from (select orders, clients, cast(revenue * 1000 as hugeint) as mils,
+                           cast(units * 10 as hugeint) as tenths from kpi))""",
     "monthly_sales_series": """
         select month, strftime(month, '%b %Y') as month_label, total_revenue
         from monthly order by month""",
@@ -264,6 +273,35 @@ _SELECTS = {
         order by total_revenue desc, client_id limit 10""",
     "ingest_csv_batch": "select * from order_product",
     "ingest_csv_stream": "select * from sales_order",
+    **{
+        f"ingest_csv_{form}_{table}": f"select * from {_RAW[table][0]}"
+        for form, registered in (("batch", "order_product"), ("stream", "orders"))
+        for table in _RAW
+        if table != registered
+    },
+    "ingest_file_listing": " union all ".join(
+        f"select '{table}' as table_name, if(coalesce({key} % 2 = 0, false), 'first', 'second') "
+        f"as delivery, count(*) as row_count, cast(0 as bigint) as rejected_rows "
+        f"from {name} group by all"
+        for table, (name, key) in _RAW.items()
+    ),
+    "warehouse_build": " union all ".join(
+        f"select '{name}' as table_name, count(*) as row_count, "
+        f"cast({units} as decimal(38,1)) as units, cast({revenue} as decimal(38,3)) as revenue "
+        f"from {table}"
+        for name, table, units, revenue in (
+            ("dim_client", "dim_client", "null", "null"),
+            ("dim_product", "product", "null", "null"),
+            ("dim_payment", "payment_method", "null", "null"),
+            ("fact_orders", "sale", "sum(quantity)", "sum(revenue)"),
+            ("mart_monthly_sales", "monthly", *_SOLD),
+            ("mart_sales_by_category", "by_category", *_SOLD),
+            ("mart_sales_by_client_type", "by_client_type", "null", "sum(total_revenue)"),
+            ("mart_sales_by_client", "by_client", *_SOLD),
+            ("mart_cube_category_month", "cube_category_month", *_SOLD),
+            ("mart_cube_payment_status", "cube_payment_status", *_SOLD),
+        )
+    ),
 }
 
 ORACLE_SQL: dict[str, str] = {name: _with_ctes(select) for name, select in _SELECTS.items()}

@@ -8,16 +8,19 @@ reduced before they meet their orders.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.model import SOURCES
+from tallyloom.functions.measures import REVENUE, UNITS, line_revenue
+from tallyloom.model import SOURCES, Schemas
 from tallyloom.operators import checks
 from tallyloom.operators.counts import row_counts
-from tallyloom.plans import extracts, marts, rollups, staging, star
+from tallyloom.plans import extracts, marts, rollups, staging, star, warehouse
 from tallyloom.session import scratch_folder, tune
 from tallyloom.sources import benchmark_tables
-from tallyloom.sources.csv_files import FileDrop, accepted, list_files, read_delivered
+from tallyloom.sources.csv_files import FileDrop, accepted, read_delivered, rows_by_file
 from tallyloom.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,11 +171,9 @@ def heatmap_series(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def heatmap_category_month(spark: SparkSession, folder: str) -> DataFrame:
-    # The columns depend on the months in the cells. The cells are few but costly, so
-    # they are stored and read back instead of being computed twice.
-    stored = scratch_folder(spark, "cells")
-    cells_category_month(spark, folder).write.parquet(stored)
-    cells = spark.read.parquet(stored)
+    # The columns depend on the months in the cells. The cells are few but costly, so they
+    # are kept between the two looks at them.
+    cells = cells_category_month(spark, folder).persist()
     return extracts.heatmap_category_month(cells, extracts.sold_months(cells))
 
 
@@ -180,7 +181,8 @@ def top_clients(spark: SparkSession, folder: str) -> DataFrame:
     return extracts.top_clients(_by_client(spark, folder))
 
 
-# Ingest: the test tables are written as CSV by Spark, then loaded back with types.
+# Ingest: the test tables are written as CSV by Spark, then loaded back with types. Spark
+# chooses the names of the files it writes, so these queries set their own name pattern.
 
 SPARK_PART_FILES = "part-*"
 
@@ -189,28 +191,95 @@ def _deliver(rows: DataFrame, folder: str, mode: str = "errorifexists") -> None:
     rows.write.mode(mode).option("header", True).option("nullValue", "NULL").csv(folder)
 
 
-def ingest_csv_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines by way of CSV files, read as one batch."""
-    drop = FileDrop(scratch_folder(spark, "delivered"), pattern=SPARK_PART_FILES)
-    (lines,) = _staged(spark, folder, "order_product")
-    _deliver(lines, drop.folder("order_product"))
-    return accepted(read_delivered(spark, drop, "order_product"), "order_product")
+def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows in two parts by their key; a NULL key belongs to the second."""
+    key = F.col(rows.columns[0])
+    first = F.coalesce(F.pmod(key, F.lit(2)) == 0, F.lit(False))
+    return rows.filter(first), rows.filter(~first)
 
 
-def ingest_csv_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders by way of CSV files in two deliveries, each loaded when it has arrived."""
-    base = scratch_folder(spark, "landing")
-    drop = FileDrop(f"{base}/delivered", pattern=SPARK_PART_FILES)
-    (orders,) = _staged(spark, folder, "orders")
-    early = orders.order_date < "1998-01-01"
-    for delivery in (orders.filter(early), orders.filter(~early)):
-        _deliver(delivery, drop.folder("orders"), mode="append")
-        landing.land(spark, drop, f"{base}/landed", f"{base}/checkpoints", ["orders"])
-    return landing.landed_rows(spark, f"{base}/landed", "orders")
+def _ingest_batch(table: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        drop = FileDrop(scratch_folder(spark, "delivered"), pattern=SPARK_PART_FILES)
+        (rows,) = _staged(spark, folder, table)
+        _deliver(rows, drop.folder(table))
+        return accepted(read_delivered(spark, drop, table), table)
+
+    query.__doc__ = f"Table {table} by way of CSV files, read as one batch."
+    return query
+
+
+def _ingest_stream(table: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        base = scratch_folder(spark, "landing")
+        drop = FileDrop(f"{base}/delivered", pattern=SPARK_PART_FILES)
+        (rows,) = _staged(spark, folder, table)
+        for delivery in _halves(rows):
+            _deliver(delivery, drop.folder(table), mode="append")
+            landing.land(spark, drop, f"{base}/landed", f"{base}/checkpoints", [table])
+        return landing.landed_rows(spark, f"{base}/landed", table)
+
+    query.__doc__ = f"Table {table} by way of CSV files in two deliveries, each loaded on arrival."
+    return query
+
+
+DELIVERIES = ("first", "second")
 
 
 def ingest_file_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return list_files(spark, folder, "*.parquet")
+    """Every table delivered in two folders: good and bad rows by table and delivery, told by
+    the path of the file a row came from."""
+    base = scratch_folder(spark, "listed")
+    drop = FileDrop(base, pattern=SPARK_PART_FILES)
+    counts = []
+    for table, rows in zip(SOURCES, _staged(spark, folder, *SOURCES), strict=True):
+        for name, delivery in zip(DELIVERIES, _halves(rows), strict=True):
+            _deliver(delivery, f"{drop.folder(table)}/{name}")
+        listed = rows_by_file(spark, drop, table)
+        delivery = F.element_at(F.split("file_path", "/"), -2).alias("delivery")
+        counts.append(
+            listed.groupBy(F.lit(table).alias("table_name"), delivery).agg(
+                F.sum("rows").alias("row_count"), F.sum("rejected_rows").alias("rejected_rows")
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
+def warehouse_build(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole build over stored raw tables, in schemas of its own: rows, units and revenue
+    of every gold table as stored."""
+    schemas = Schemas.prefixed("rebuilt")
+    base = scratch_folder(spark, "warehouse")
+    for name in (schemas.raw, schemas.silver, schemas.gold, schemas.work):
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+        spark.sql(f"CREATE SCHEMA {name} LOCATION '{base}/{name}'")
+    for table, rows in benchmark_tables.load(tune(spark), folder).items():
+        rows.write.saveAsTable(f"{schemas.raw}.{table}")
+    warehouse.build(spark, schemas=schemas)
+    fact = warehouse.gold_table(spark, "fact_orders", schemas)
+    tables = {
+        name: warehouse.gold_table(spark, name, schemas)
+        for name in (*warehouse.STAR_TABLES, *warehouse.MART_TABLES)
+    }
+    tables["fact_orders"] = fact.withColumns(
+        {"total_units_sold": F.col("quantity"), "total_revenue": line_revenue()}
+    )
+
+    def total(df: DataFrame, column: str, kind: str) -> Column:
+        value = F.sum(column) if column in df.columns else F.lit(None)
+        return value.cast(kind)
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(
+                F.count("*").alias("row_count"),
+                total(df, "total_units_sold", UNITS).alias("units"),
+                total(df, "total_revenue", REVENUE).alias("revenue"),
+            ).select(F.lit(name).alias("table_name"), "*")
+            for name, df in tables.items()
+        ],
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -242,7 +311,10 @@ QUERIES: dict[str, Query] = {
     "heatmap_series": heatmap_series,
     "heatmap_category_month": heatmap_category_month,
     "top_clients": top_clients,
-    "ingest_csv_batch": ingest_csv_batch,
-    "ingest_csv_stream": ingest_csv_stream,
+    "ingest_csv_batch": _ingest_batch("order_product"),
+    "ingest_csv_stream": _ingest_stream("orders"),
+    **{f"ingest_csv_batch_{t}": _ingest_batch(t) for t in SOURCES if t != "order_product"},
+    **{f"ingest_csv_stream_{t}": _ingest_stream(t) for t in SOURCES if t != "orders"},
     "ingest_file_listing": ingest_file_listing,
+    "warehouse_build": warehouse_build,
 }

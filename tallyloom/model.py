@@ -14,6 +14,24 @@ GOLD_SCHEMA = "hand_on_output"
 # Rollups the marts are built from; not part of the public layers.
 WORK_SCHEMA = "work"
 
+
+@dataclass(frozen=True)
+class Schemas:
+    """The catalog schemas of one warehouse."""
+
+    raw: str = RAW_SCHEMA
+    silver: str = SILVER_SCHEMA
+    gold: str = GOLD_SCHEMA
+    work: str = WORK_SCHEMA
+
+    @classmethod
+    def prefixed(cls, prefix: str) -> Schemas:
+        """Schemas of a second warehouse beside the usual one."""
+        return cls(*(f"{prefix}_{name}" for name in (RAW_SCHEMA, SILVER_SCHEMA, GOLD_SCHEMA, WORK_SCHEMA)))
+
+
+SCHEMAS = Schemas()
+
 # Ids are 64-bit: an integer id in the order system is not limited to 32 bits.
 _ID = T.LongType()
 _TEXT = T.StringType()

@@ -6,7 +6,7 @@ Every mart reads a rollup (see :mod:`tallyloom.plans.rollups`). Results are not
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.measures import (
@@ -46,17 +46,55 @@ def mart_sales_by_category(category_sales: DataFrame) -> DataFrame:
 
 
 def mart_sales_by_client_type(sales: DataFrame, client: DataFrame) -> DataFrame:
-    """Orders of unknown clients drop out; clients without a type form a NULL group."""
-    types = client.select("client_id", F.col("type_name").alias("client_type"))
+    """Orders of unknown clients drop out; clients without a type form a NULL group.
+
+    Sales are added up per client before the join, so it sees one row per client. Orders add
+    up too where all rows of an order have one client, of which the first is marked; orders
+    spread over several clients (none, if order ids are unique) are counted apart, as distinct
+    ids per type. A client id that occurs in several dimension rows of one type counts
+    its orders once and its revenue once a row, as grouping after the join would.
+    """
+    by_order = Window.partitionBy("order_id")
+    marked = sales.select(
+        "order_id",
+        "client_id",
+        "revenue",
+        # Rows without a client come last, so the first row has one if any has.
+        F.row_number().over(by_order.orderBy(F.asc_nulls_last("client_id"))).alias("nth"),
+        F.min("client_id").over(by_order).alias("low"),
+        F.max("client_id").over(by_order).alias("high"),
+    )
+    whole = F.col("order_id").isNotNull() & (F.col("low") == F.col("high"))
+    per_client = marked.groupBy("client_id").agg(
+        F.count_if(whole & (F.col("nth") == 1)).alias("orders"),
+        F.sum("revenue").alias("revenue"),
+    )
+    types = client.groupBy("client_id", F.col("type_name").alias("client_type")).agg(
+        F.count("*").alias("copies")
+    )
     totals = (
-        sales.join(types, "client_id")
+        per_client.join(types, "client_id")
         .groupBy("client_type")
         .agg(
-            F.count_distinct("client_id").alias("total_clients"),
-            F.count_distinct("order_id").alias("total_orders"),
-            total_revenue().alias("total_revenue"),
+            F.count("client_id").alias("total_clients"),
+            F.sum("orders").alias("orders"),
+            F.sum(F.col("revenue") * F.col("copies")).alias("revenue"),
         )
     )
+    spread = marked.filter("order_id is not null and client_id is not null and low < high")
+    spread = (
+        spread.select("order_id", "client_id")
+        .join(types, "client_id")
+        .groupBy("client_type")
+        .agg(F.count_distinct("order_id").alias("more"))
+    )
+    same = totals.client_type.eqNullSafe(spread.client_type)
+    totals = totals.join(spread, same, "left").select(
+        totals.client_type,
+        "total_clients",
+        (F.col("orders") + F.coalesce("more", F.lit(0))).alias("total_orders"),
+        F.col("revenue").cast(REVENUE).alias("total_revenue"),
+    )
     average = average_per_count(F.col("total_revenue"), F.col("total_clients"))
     return totals.withColumn("revenue_per_client", average)
 

@@ -12,7 +12,3 @@ STAGING = {f"stg_{table}": table for table in SOURCES}
 def stage(table: str, source: DataFrame) -> DataFrame:
     """The declared columns of a source table, by name and in order."""
     return source.select(*SOURCES[table].fieldNames())
-
-
-def stage_all(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {f"stg_{table}": stage(table, source) for table, source in sources.items()}

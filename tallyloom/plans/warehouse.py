@@ -7,32 +7,33 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.model import (
-    DESCRIPTIONS,
-    GOLD_SCHEMA,
-    RAW_SCHEMA,
-    SILVER_SCHEMA,
-    SOURCES,
-    WORK_SCHEMA,
-    key_comments,
-)
+from tallyloom.model import DESCRIPTIONS, SCHEMAS, SOURCES, Schemas, key_comments
 from tallyloom.operators.checks import quality_report
 from tallyloom.operators.counts import row_counts
 from tallyloom.plans import marts, rollups, staging, star
 from tallyloom.session import tune
 from tallyloom.sources.csv_files import REJECTED
+from tallyloom.streaming import landing
 
 LAYERS = ("silver", "gold")
 STAR_TABLES = ("dim_client", "dim_product", "dim_payment", "fact_orders")
+MART_TABLES = (
+    "mart_monthly_sales",
+    "mart_sales_by_category",
+    "mart_sales_by_client_type",
+    "mart_sales_by_client",
+    "mart_cube_category_month",
+    "mart_cube_payment_status",
+)
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def build_silver(spark: SparkSession) -> None:
+def build_silver(spark: SparkSession, schemas: Schemas = SCHEMAS) -> None:
     """Staging views over the raw tables. A view stores nothing and always reads the latest rows."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SILVER_SCHEMA}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schemas.silver}")
     for view, table in staging.STAGING.items():
         columns = SOURCES[table].fieldNames()
         comments = key_comments(view)
@@ -40,12 +41,12 @@ def build_silver(spark: SparkSession) -> None:
             f"{c} COMMENT {_quoted(comments[c])}" if c in comments else c for c in columns
         )
         readable = ""
-        if REJECTED in spark.table(f"{RAW_SCHEMA}.{table}").columns:
+        if REJECTED in spark.table(f"{schemas.raw}.{table}").columns:
             readable = f" WHERE {REJECTED} IS NULL"
         spark.sql(
-            f"CREATE OR REPLACE VIEW {SILVER_SCHEMA}.{view} ({described}) "
+            f"CREATE OR REPLACE VIEW {schemas.silver}.{view} ({described}) "
             f"COMMENT {_quoted(DESCRIPTIONS[view])} "
-            f"AS SELECT {', '.join(columns)} FROM {RAW_SCHEMA}.{table}{readable}"
+            f"AS SELECT {', '.join(columns)} FROM {schemas.raw}.{table}{readable}"
         )
 
 
@@ -58,7 +59,7 @@ def _location(spark: SparkSession, table: str) -> str:
     return details.filter("col_name = 'Location'").first().data_type
 
 
-def _store(name: str, df: DataFrame) -> DataFrame:
+def _store(name: str, df: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
     """Replace a gold table and return it as stored.
 
     The new rows go to whichever of two folders the table does not use now, and the table
@@ -66,13 +67,13 @@ def _store(name: str, df: DataFrame) -> DataFrame:
     that dies half way leaves them in place, and the next one overwrites what it left.
     """
     spark = df.sparkSession
-    table = f"{GOLD_SCHEMA}.{name}"
+    table = f"{schemas.gold}.{name}"
     for column, comment in key_comments(name).items():
         df = df.withMetadata(column, {"comment": comment})
 
     stored = spark.catalog.tableExists(table)
     used = _location(spark, table) if stored else ""
-    folder = f"{_folder(spark, GOLD_SCHEMA)}/{name}/{'b' if used.endswith('/a') else 'a'}"
+    folder = f"{_folder(spark, schemas.gold)}/{name}/{'b' if used.endswith('/a') else 'a'}"
     df.write.mode("overwrite").parquet(folder)
 
     if stored and spark.table(table).schema.simpleString() != df.schema.simpleString():
@@ -88,13 +89,14 @@ def _store(name: str, df: DataFrame) -> DataFrame:
     return spark.table(table)
 
 
-def _store_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _store_all(tables: dict[str, DataFrame], schemas: Schemas) -> dict[str, DataFrame]:
     """Store tables that do not read each other side by side, so they share the cluster."""
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        return dict(zip(tables, pool.map(_store, tables, tables.values()), strict=True))
+        stored = pool.map(lambda item: _store(*item, schemas), tables.items())
+        return dict(zip(tables, stored, strict=True))
 
 
-def _store_rollup(name: str, rollup: DataFrame) -> DataFrame:
+def _store_rollup(name: str, rollup: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
     """Replace a work table, bucketed by order, and return it as stored.
 
     Every mart counts distinct orders or looks at the rows of one order together. One
@@ -103,12 +105,12 @@ def _store_rollup(name: str, rollup: DataFrame) -> DataFrame:
     """
     spark = rollup.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"{WORK_SCHEMA}.{name}"
+    table = f"{schemas.work}.{name}"
     (
         rollup.repartition(buckets, "order_id")
         .write.mode("overwrite")
         .format("parquet")
-        .option("path", f"{_folder(spark, WORK_SCHEMA)}/{name}")
+        .option("path", f"{_folder(spark, schemas.work)}/{name}")
         .bucketBy(buckets, "order_id")
         .saveAsTable(table)
     )
@@ -116,16 +118,16 @@ def _store_rollup(name: str, rollup: DataFrame) -> DataFrame:
     return spark.table(table)
 
 
-def build_gold(spark: SparkSession) -> None:
+def build_gold(spark: SparkSession, schemas: Schemas = SCHEMAS) -> None:
     """Star schema, rollups, then marts.
 
     Every step reads what the step before it stored, so the join of orders and lines
     runs once, and a lost executor costs at most the tasks of the current step. The two
     rollups feed six marts; they are stored as work tables for the same reason.
     """
-    for schema in (GOLD_SCHEMA, WORK_SCHEMA):
+    for schema in (schemas.gold, schemas.work):
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    stg = {view: spark.table(f"{SILVER_SCHEMA}.{view}") for view in staging.STAGING}
+    stg = {view: spark.table(f"{schemas.silver}.{view}") for view in staging.STAGING}
 
     base = _store_all(
         {
@@ -135,12 +137,13 @@ def build_gold(spark: SparkSession) -> None:
             "dim_product": star.dim_product(stg["stg_product"]),
             "dim_payment": star.dim_payment(stg["stg_payment_method"]),
             "fact_orders": star.fact_orders(stg["stg_orders"], stg["stg_order_product"]),
-        }
+        },
+        schemas,
     )
     client, fact = base["dim_client"], base["fact_orders"]
-    sales = _store_rollup("order_sales", rollups.order_sales(fact))
+    sales = _store_rollup("order_sales", rollups.order_sales(fact), schemas)
     category_sales = _store_rollup(
-        "category_sales", rollups.category_sales(fact, base["dim_product"])
+        "category_sales", rollups.category_sales(fact, base["dim_product"]), schemas
     )
     _store_all(
         {
@@ -152,44 +155,54 @@ def build_gold(spark: SparkSession) -> None:
             "mart_cube_payment_status": marts.mart_cube_payment_status(
                 sales, base["dim_payment"]
             ),
-        }
+        },
+        schemas,
     )
 
 
-def build(spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:
+def build(
+    spark: SparkSession, layers: Iterable[str] = LAYERS, schemas: Schemas = SCHEMAS
+) -> None:
     """Build the chosen layers from the tables of the raw schema."""
     chosen = set(layers)
     if unknown := chosen - set(LAYERS):
         raise ValueError(f"unknown layers: {sorted(unknown)}")
     tune(spark)
-    for table in SOURCES:
-        spark.catalog.refreshTable(f"{RAW_SCHEMA}.{table}")
+    landing.refresh(spark, schemas=schemas)
     if "silver" in chosen:
-        build_silver(spark)
+        build_silver(spark, schemas)
     if "gold" in chosen:
-        build_gold(spark)
+        build_gold(spark, schemas)
 
 
-def gold_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(f"{GOLD_SCHEMA}.{name}")
+def gold_table(spark: SparkSession, name: str, schemas: Schemas = SCHEMAS) -> DataFrame:
+    return spark.table(f"{schemas.gold}.{name}")
 
 
-def stored_order_sales(spark: SparkSession) -> DataFrame:
+def stored_order_sales(spark: SparkSession, schemas: Schemas = SCHEMAS) -> DataFrame:
     """Units and revenue per order, as of the last build; the input of the overall totals."""
-    return spark.table(f"{WORK_SCHEMA}.order_sales")
+    return spark.table(f"{schemas.work}.order_sales")
 
 
-def tested_models(spark: SparkSession) -> dict[str, DataFrame]:
-    silver = {view: spark.table(f"{SILVER_SCHEMA}.{view}") for view in staging.STAGING}
-    return silver | {name: gold_table(spark, name) for name in STAR_TABLES}
+def tested_models(spark: SparkSession, schemas: Schemas = SCHEMAS) -> dict[str, DataFrame]:
+    silver = {view: spark.table(f"{schemas.silver}.{view}") for view in staging.STAGING}
+    return silver | {name: gold_table(spark, name, schemas) for name in STAR_TABLES}
 
 
-def check(spark: SparkSession) -> DataFrame:
+def check(spark: SparkSession, schemas: Schemas = SCHEMAS) -> DataFrame:
     """The quality report of the built warehouse."""
-    return quality_report(tested_models(spark))
+    return quality_report(tested_models(spark, schemas))
+
+
+def audit_raw(spark: SparkSession, schemas: Schemas = SCHEMAS) -> DataFrame:
+    """Row counts of the raw tables, right after loading; no layer need be built."""
+    return row_counts(landing.raw_tables(spark, schemas))
+
+
+def audit_star(spark: SparkSession, schemas: Schemas = SCHEMAS) -> DataFrame:
+    """Row counts of the star schema."""
+    return row_counts({name: gold_table(spark, name, schemas) for name in STAR_TABLES})
 
 
-def audit(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """Row counts of the raw tables and of the star schema."""
-    raw = {table: spark.table(f"{SILVER_SCHEMA}.stg_{table}") for table in SOURCES}
-    return row_counts(raw), row_counts({name: gold_table(spark, name) for name in STAR_TABLES})
+def audit(spark: SparkSession, schemas: Schemas = SCHEMAS) -> tuple[DataFrame, DataFrame]:
+    return audit_raw(spark, schemas), audit_star(spark, schemas)

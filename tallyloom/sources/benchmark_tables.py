@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.model import SOURCES
-from tallyloom.operators.sizing import broadcast_if_small
-
 
 # Columns used, with their stored types: declared, so that no file is opened to infer them.
 _STORED = {
@@ -112,12 +110,11 @@ def _product(read: Callable[[str], DataFrame]) -> DataFrame:
 
 def _payment_method(read: Callable[[str], DataFrame]) -> DataFrame:
     methods = read("orders").select("o_orderpriority").distinct()
-    methods = methods.select(
+    # Spark learns the size of this lookup from its own shuffle and joins accordingly.
+    return methods.select(
         F.left("o_orderpriority", F.lit(1)).cast("bigint").alias("payment_id"),
         F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("payment_method"),
     )
-    # Unlike a stored lookup table this one has no size on disk for Spark to judge by.
-    return broadcast_if_small(methods)
 
 
 _DERIVATIONS: dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = {

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -15,6 +16,14 @@ from tallyloom.model import SOURCES
 REJECTED = "rejected_record"
 _MALFORMED = "_corrupt_record"
 
+# What a whole cell must look like to have a value of its type. A cast alone would read a
+# beginning (``2024-06-01 junk``) or round (``2.06`` to one place) and pass for clean.
+_BLANK = r"\s*"
+_WHOLE = rf"^{_BLANK}[+-]?\d+{_BLANK}$"
+_DAY = r"\d{4}-\d{2}-\d{2}"
+_DATE = rf"^{_BLANK}{_DAY}{_BLANK}$"
+_TIMESTAMP = rf"^{_BLANK}{_DAY}([ T]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d{{1,6}})?)?)?{_BLANK}$"
+
 # Columns are matched by position, the header line is only skipped. Two texts mean
 # NULL: "NULL" and the empty string, quoted or not. Without column pruning a missing or
 # surplus cell is noticed whatever columns a query asks for.
@@ -53,8 +62,13 @@ class FileDrop:
 
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     """Whether anything has been delivered yet; object stores have no empty folders."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    try:
+        spark.read.format("binaryFile").option("pathGlobFilter", "-").load(folder).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def with_rejects(schema: T.StructType) -> T.StructType:
@@ -76,23 +90,45 @@ def read_cells(
     )
 
 
+def fits(cell: Column, kind: T.DataType) -> Column:
+    """Whether the whole text of a cell has the form of its type."""
+    if isinstance(kind, T.LongType):
+        return cell.rlike(_WHOLE)
+    if isinstance(kind, T.DateType):
+        return cell.rlike(_DATE)
+    if isinstance(kind, T.TimestampNTZType):
+        return cell.rlike(_TIMESTAMP)
+    if isinstance(kind, T.DecimalType):
+        # More places than the column has may only be zeros.
+        places = rf"\d{{0,{kind.scale}}}0*"
+        return cell.rlike(rf"^{_BLANK}[+-]?(\d+(\.{places})?|\.(?=\d){places}){_BLANK}$")
+    return F.lit(True)
+
+
 def typed(cells: DataFrame, table: str) -> DataFrame:
     """Declared columns, and the record text of every row that does not fit them.
 
     The CSV reader only converts the columns a query uses, so its own verdict on a row
     changes with the query. Cells are therefore read as text and converted here: a row
-    is rejected if any cell has a text but no value of its type, or if it has too few or
-    too many cells.
+    is rejected if any cell has a text that is not, as a whole, a value of its type, or if
+    it has too few or too many cells. A rejected row is kept as one CSV record that the same
+    options read back into the same cells.
+
+    Columns that are not declared, such as where a row came from, are kept behind.
     """
     fields = SOURCES[table].fields
+    names = [f.name for f in fields]
     values = {f.name: F.col(f.name).try_cast(f.dataType) for f in fields}
     unfit = F.col(_MALFORMED).isNotNull()
-    for name, value in values.items():
-        unfit = unfit | (F.col(name).isNotNull() & value.isNull())
-    as_read = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("NULL")) for f in fields])
+    for f in fields:
+        cell = F.col(f.name)
+        bad = values[f.name].isNull() | ~fits(cell, f.dataType)
+        unfit = unfit | (cell.isNotNull() & bad)
+    as_read = F.to_csv(F.struct(*names), {"nullValue": "NULL", "emptyValue": '""'})
     record = F.when(unfit, F.coalesce(F.col(_MALFORMED), as_read))
+    others = [c for c in cells.columns if c not in (*names, _MALFORMED)]
     return cells.select(
-        *[value.alias(name) for name, value in values.items()], record.alias(REJECTED)
+        *[value.alias(name) for name, value in values.items()], record.alias(REJECTED), *others
     )
 
 
@@ -117,6 +153,22 @@ def tables_from_csv(spark: SparkSession, drop: FileDrop) -> dict[str, DataFrame]
     return {table: accepted(read_delivered(spark, drop, table), table) for table in SOURCES}
 
 
+def rows_by_file(spark: SparkSession, drop: FileDrop, table: str) -> DataFrame:
+    """Delivered files of a table, with their size, time, and good and bad rows."""
+    where = F.col("_metadata")
+    cells = read_cells(spark.read, drop, table).select(
+        "*",
+        where["file_path"].alias("file_path"),
+        where["file_size"].alias("file_size"),
+        where["file_modification_time"].alias("file_time"),
+    )
+    return (
+        typed(cells, table)
+        .groupBy("file_path", "file_size", "file_time")
+        .agg(F.count("*").alias("rows"), F.count(REJECTED).alias("rejected_rows"))
+    )
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Path, size and modification time of the files below a folder; contents are not read."""
     return (

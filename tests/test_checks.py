@@ -7,7 +7,6 @@ from fixtures import Shop, client, line, order, product, rows_of
 from tallyloom.model import FOREIGN_KEYS, PRIMARY_KEYS
 from tallyloom.operators import checks
 from tallyloom.operators.counts import row_counts
-from tallyloom.operators.sizing import broadcast_if_small
 
 
 def faulty(spark):
@@ -94,10 +93,3 @@ def test_row_counts(spark):
     shop = faulty(spark)
     counts = row_counts({"orders": shop.orders, "fact": shop.fact, "none": shop.orders.limit(0)})
     assert dict(rows_of(counts)) == {"orders": 4, "fact": 5, "none": 0}
-
-
-def test_broadcast_only_below_the_row_limit(spark):
-    names = spark.range(10)
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in plan(broadcast_if_small(names, 10))
-    assert "ResolvedHint" not in plan(broadcast_if_small(names, 9))

@@ -11,7 +11,7 @@ import pytest
 from fixtures import rows_of
 from pyspark.errors import PySparkException
 
-from tallyloom.model import SOURCES
+from tallyloom.model import SOURCES, Schemas
 from tallyloom.plans import extracts, warehouse
 from tallyloom.session import scratch_folder
 from tallyloom.sources.csv_files import (
@@ -20,6 +20,7 @@ from tallyloom.sources.csv_files import (
     list_files,
     read_delivered,
     rejected,
+    rows_by_file,
     tables_from_csv,
 )
 from tallyloom.streaming import landing
@@ -85,6 +86,12 @@ BAD = [
     "4,1,1,2024-06-01,Pending,1.00,surplus",
     "5,1,1,2024-06-01,Pending,99999999999.00",
     "6,1,1.5,2024-06-01,Pending,1.00",
+    "7,1,1,2024-06-01 junk,Pending,1.00",
+    "8,1,1,2024,Pending,1.00",
+    "9,1,1,2024-6-1,Pending,1.00",
+    "10,1,1,2024-06-01,Pending,15.005",
+    "11,1,1,2024-06-01,Pending,1e2",
+    "12x,1,1,2024-06-01,Pending,1.00",
 ]
 
 
@@ -104,6 +111,62 @@ def test_acceptance_does_not_depend_on_the_columns_read(spark, tmp_path, columns
     assert bad.count() == len(BAD)
 
 
+def test_whole_cells_are_converted_or_rejected(spark, tmp_path):
+    lines = [
+        "1,1,1,2.0,15.00", "2,1,1,2.06,15.00", "3,1,1,2.60,15", "4,1,1,-.5,+1.500", "5,1,1, 3 ,1.",
+        "6,1,1,.,1", "7,1,1,1,1.001",
+    ]
+    deliver(tmp_path / "order_product", "order_product__1.csv", lines)
+    rows = read_delivered(spark, FileDrop(str(tmp_path)), "order_product")
+    good = rows_of(accepted(rows, "order_product"), "order_product_id", "quantity", "price_unit")
+    d = Decimal
+    assert good == [
+        (1, d("2.0"), d("15.00")), (3, d("2.6"), d("15.00")), (4, d("-0.5"), d("1.50")), (5, d("3.0"), d("1.00")),
+    ]
+    assert sorted(row.record[0] for row in rejected(rows).collect()) == ["2", "6", "7"]
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("2020-05-10", datetime(2020, 5, 10)),
+        ("2020-05-10 07:08", datetime(2020, 5, 10, 7, 8)),
+        ("2020-05-10T07:08:09.5", datetime(2020, 5, 10, 7, 8, 9, 500_000)),
+        ("2020-05-10 noon", None),
+        ("2020", None),
+        ("2020-05-10 25:00", None),
+    ],
+)
+def test_timestamps(spark, tmp_path, text, value):
+    lines = [f"1,Ada,ada@mail.example,(555) 000-0001,12 Sample St,1,1,{text}"]
+    deliver(tmp_path / "client", CLIENTS, lines)
+    rows = accepted(read_delivered(spark, FileDrop(str(tmp_path)), "client"), "client")
+    assert [row.registration_date for row in rows.collect()] == ([value] if value else [])
+
+
+def test_a_rejected_record_reads_back_into_its_cells(spark, tmp_path):
+    cells = ['"Lovelace, Ada"', "a@b", '" 1,2 "', "NULL", "1", "x", "2020-05-10"]
+    deliver(tmp_path / "first" / "client", CLIENTS, [",".join(["1", *cells])])
+    bad = rejected(read_delivered(spark, FileDrop(f"{tmp_path}/first"), "client"))
+    (record,) = [row.record for row in bad.collect()]
+    repaired = record.replace(",x,", ",2,")
+    deliver(tmp_path / "second" / "client", CLIENTS, [repaired])
+    rows = accepted(read_delivered(spark, FileDrop(f"{tmp_path}/second"), "client"), "client")
+    assert rows_of(rows) == [
+        (1, "Lovelace, Ada", "a@b", " 1,2 ", None, 1, 2, datetime(2020, 5, 10))
+    ]
+
+
+def test_rows_by_file(spark, tmp_path):
+    deliver(tmp_path / "orders" / "first", "orders__1.csv", [an_order(1), BAD[0]])
+    deliver(tmp_path / "orders" / "second", "orders__2.csv", [an_order(2)])
+    found = rows_by_file(spark, FileDrop(str(tmp_path)), "orders").collect()
+    assert sorted((Path(r.file_path).name, r.rows, r.rejected_rows) for r in found) == [
+        ("orders__1.csv", 2, 1), ("orders__2.csv", 1, 0),
+    ]
+    assert all(r.file_size > 0 and r.file_time for r in found)
+
+
 def test_names_in_one_flat_folder(spark, tmp_path):
     deliver(tmp_path, "product__1.csv", ["1,Mouse,Electronics,15.00"])
     deliver(tmp_path, "order_product__1.csv", ["7,1,1,2.0,15.00"])
@@ -144,10 +207,17 @@ class Landing:
         self.drop = FileDrop(f"{folder}/delivered")
 
     def run(self, tables=("orders",), **options):
-        queries = landing.land(
+        landing.land(
             self.spark, self.drop, f"{self.base}/landed", f"{self.base}/checks", tables, **options
         )
-        return landing.landing_status(self.spark, queries)
+
+    def status(self, tables=("orders",)):
+        """(table, batch, file, rows, rejects) in order."""
+        rows = landing.landing_status(self.spark, f"{self.base}/landed", tables).collect()
+        return sorted(
+            (r.table_name, r.batch_id, Path(r.source_file).name, r.input_rows, r.rejected_rows)
+            for r in rows
+        )
 
     def deliver(self, table, name, lines):
         deliver(self.drop.folder(table), name, lines)
@@ -164,10 +234,11 @@ def an_order(number):
 def test_each_file_is_loaded_once(spark, tmp_path):
     shop = Landing(spark, tmp_path)
     shop.deliver("orders", "orders__1.csv", [an_order(1), an_order(2)])
-    status = shop.run().collect()
-    assert [(row.query, row.input_rows) for row in status] == [("land_orders", 2)]
+    shop.run()
+    assert shop.status() == [("orders", 0, "orders__1.csv", 2, 0)]
     assert shop.ids() == [1, 2]
-    assert shop.run().count() == 0
+    shop.run()
+    assert len(shop.status()) == 1
     assert shop.ids() == [1, 2]
     shop.deliver("orders", "orders__2.csv", [an_order(3)])
     shop.deliver("orders", "other.csv", [an_order(9)])
@@ -181,8 +252,8 @@ def test_each_file_is_loaded_once(spark, tmp_path):
 def test_tables_without_a_delivery_are_empty(spark, tmp_path):
     shop = Landing(spark, tmp_path)
     shop.deliver("orders", "orders__1.csv", [an_order(1)])
-    status = shop.run(tables=SOURCES)
-    assert [row["query"] for row in status.collect()] == ["land_orders"]
+    shop.run(tables=SOURCES)
+    assert [row[0] for row in shop.status(SOURCES)] == ["orders"]
     for table in SOURCES:
         rows = landing.landed_rows(spark, f"{tmp_path}/landed", table)
         assert rows.schema == SOURCES[table]
@@ -194,7 +265,8 @@ def test_tables_without_a_delivery_are_empty(spark, tmp_path):
 def test_folder_with_only_foreign_files_is_empty(spark, tmp_path):
     shop = Landing(spark, tmp_path)
     shop.deliver("product", "order_product__1.csv", ["7,1,1,2.0,15.00"])
-    assert shop.run(tables=["product"]).count() == 0
+    shop.run(tables=["product"])
+    assert shop.status(["product"]) == []
     assert landing.landed_rows(spark, f"{tmp_path}/landed", "product").count() == 0
     assert read_delivered(spark, shop.drop, "product").count() == 0
 
@@ -203,11 +275,80 @@ def test_backlog_is_committed_in_steps(spark, tmp_path):
     shop = Landing(spark, tmp_path)
     for number in range(5):
         shop.deliver("orders", f"orders__{number}.csv", [an_order(number)])
-    status = shop.run(files_per_batch=2).collect()
-    assert [row.input_rows for row in status] == [2, 2, 1]
+    shop.run(files_per_batch=2)
+    assert [row[1] for row in shop.status()] == [0, 0, 1, 1, 2]
     assert shop.ids() == [0, 1, 2, 3, 4]
 
 
+def test_status_is_complete_for_a_long_backlog(spark, tmp_path):
+    """More micro-batches than Spark remembers the progress of."""
+    shop = Landing(spark, tmp_path)
+    for number in range(120):
+        shop.deliver("orders", f"orders__{number:03d}.csv", [an_order(number)])
+    shop.run(files_per_batch=1)
+    status = shop.status()
+    assert len(status) == 120 and {row[1] for row in status} == set(range(120))
+    assert sum(row[3] for row in status) == 120
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    shop = Landing(spark, tmp_path)
+    for number in range(3):
+        shop.deliver("orders", f"orders__{number}.csv", [an_order(number)])
+    shop.run(files_per_batch=1)
+    before = shop.status()
+    # As if the driver had died after writing the last batch and before noting it.
+    commits = Path(f"{tmp_path}/checks/orders/commits")
+    for name in ("2", ".2.crc"):
+        (commits / name).unlink()
+    # A part that a first attempt left is replaced with the rest.
+    left = Path(f"{tmp_path}/landed/orders/batch-000000000002")
+    part = next(left.glob("part-*.parquet"))
+    (left / "part-from-the-first-attempt.parquet").write_bytes(part.read_bytes())
+    shop.run()
+    assert shop.status() == before
+    assert shop.ids() == [0, 1, 2]
+
+
+def test_a_lost_checkpoint_is_noticed(spark, tmp_path):
+    shop = Landing(spark, tmp_path)
+    shop.deliver("orders", "orders__1.csv", [an_order(1)])
+    shop.run()
+    with pytest.raises(ValueError, match="checkpoint"):
+        landing.land(spark, shop.drop, f"{tmp_path}/landed", f"{tmp_path}/other", ["orders"])
+    assert shop.ids() == [1]
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    shop = Landing(spark, tmp_path)
+    shop.deliver("orders", "orders__1.csv", [an_order(1)])
+    shop.deliver("product", "product__1.csv", ["1,Mouse,Electronics,15.00"])
+    usual = landing._write_batch
+
+    def writes(folder):
+        if folder.endswith("/orders"):
+            def fail(batch, batch_id):
+                raise OSError("no space")
+            return fail
+        return usual(folder)
+
+    monkeypatch.setattr(landing, "_write_batch", writes)
+    with pytest.raises(landing.LandingFailed, match="land_orders"):
+        shop.run(tables=["orders", "product"])
+    assert landing.landed_rows(spark, f"{tmp_path}/landed", "product").count() == 1
+    monkeypatch.undo()
+    shop.run()
+    assert shop.ids() == [1]
+
+
+def test_missing_dates_are_kept_by_both_deliveries(spark, tmp_path):
+    shop = Landing(spark, tmp_path)
+    shop.deliver("orders", "orders__1.csv", ["1,1,1,NULL,NULL,1.00", "NULL,1,1,,Pending,NULL"])
+    shop.run()
+    rows = landing.landed_rows(spark, f"{tmp_path}/landed", "orders")
+    assert rows.count() == 2 and rows.filter("order_date is null").count() == 2
+
+
 def test_late_files_are_not_dropped(spark, tmp_path):
     import os
 
@@ -253,6 +394,8 @@ def test_warehouse_from_files_to_extracts(spark, tmp_path, fresh_catalog):
     for table, lines in DELIVERY.items():
         shop.deliver(table, f"{table}__1.csv", lines)
     landing.create_raw_tables(spark, f"{tmp_path}/landed")
+    # The raw tables can be counted before any layer is built.
+    assert {row.row_count for row in warehouse.audit_raw(spark).collect()} == {0}
 
     warehouse.build(spark)
     raw, star = warehouse.audit(spark)
@@ -373,6 +516,21 @@ def test_silver_layer_alone(spark, tmp_path, fresh_catalog):
     assert comment.first().data_type
 
 
+def test_two_warehouses_side_by_side(spark, tmp_path, fresh_catalog):
+    load_delivery(spark, tmp_path)
+    other = Schemas.prefixed("second")
+    try:
+        landing.create_raw_tables(spark, f"{tmp_path}/landed", other)
+        warehouse.build(spark, schemas=other)
+        assert not spark.catalog.databaseExists("hand_on_output")
+        assert warehouse.gold_table(spark, "fact_orders", other).count() == 1
+        assert warehouse.audit_star(spark, other).agg({"row_count": "sum"}).first()[0] == 4
+        assert warehouse.check(spark, other).filter("not passed").isEmpty()
+    finally:
+        for name in (other.raw, other.silver, other.gold, other.work):
+            spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+
+
 def test_unknown_layer_is_refused(spark):
     with pytest.raises(ValueError, match="bronze"):
         warehouse.build(spark, layers=["bronze"])

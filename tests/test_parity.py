@@ -8,10 +8,12 @@ import duckdb
 import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
+from parity_sql import ORACLE_SQL
+from tallyloom import catalog
 from tallyloom.plans import warehouse
 from tallyloom.sources import benchmark_tables
 
-QUERIES, ORACLE = queries(), oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -40,14 +42,20 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
     assert rows
 
 
-def test_only_the_file_listing_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"ingest_file_listing"}
+def test_every_query_has_its_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-def test_file_listing_names_every_table(spark, sf_dir):
-    listed = QUERIES["ingest_file_listing"](spark, sf_dir)
-    found = {Path(row.path.removeprefix("file:")): row.size for row in listed.collect()}
-    assert found == {file: file.stat().st_size for file in Path(sf_dir).glob("*.parquet")}
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("ingest", "warehouse", "heatmap"))))
+def test_no_query_runs_a_job_before_it_is_asked_for_rows(spark, sf_dir, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"construct-{name}", name)
+    try:
+        QUERIES[name](spark, sf_dir)
+        assert not tracker.getJobIdsForGroup(f"construct-{name}")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
 
 
 def test_flagship_query_runs(spark):
