@@ -38,6 +38,14 @@ CSV_OPTIONS = {
     "columnPruning": "false",
 }
 
+# A record is written so that CSV_OPTIONS read it back into the same cells.
+RECORD_OPTIONS = {
+    "nullValue": "NULL",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 @dataclass(frozen=True)
 class FileDrop:
@@ -124,7 +132,7 @@ def typed(cells: DataFrame, table: str) -> DataFrame:
         cell = F.col(f.name)
         bad = values[f.name].isNull() | ~fits(cell, f.dataType)
         unfit = unfit | (cell.isNotNull() & bad)
-    as_read = F.to_csv(F.struct(*names), {"nullValue": "NULL", "emptyValue": '""'})
+    as_read = F.to_csv(F.struct(*names), RECORD_OPTIONS)
     record = F.when(unfit, F.coalesce(F.col(_MALFORMED), as_read))
     others = [c for c in cells.columns if c not in (*names, _MALFORMED)]
     return cells.select(
