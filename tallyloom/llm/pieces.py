@@ -7,9 +7,9 @@ its start. Characters no piece covers become byte pieces (or the unknown piece,
 model has none) at a penalty below the least score.
 
 Pieces of the vocabulary never continue from a character to a meta mark after it, nor
-across a character that only stands alone, which is checked when a model is loaded. A text
-is therefore cut before every run of spaces and around line feeds, and each part, whose
-best path does not depend on the others, is encoded once and remembered.
+across a line feed, nor from a letter to a stop; this is checked when a model is loaded. A
+text is therefore cut there, and each part, whose best path does not depend on the others,
+is encoded once and remembered.
 
 Scores are the model's own, so for a model of type BPE the result is its best-scoring
 segmentation, not the one its merge order gives; the tests hold the ids against the
@@ -23,10 +23,12 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import ahocorasick
@@ -37,10 +39,11 @@ from pyspark.sql import DataFrame
 # Fixed values of the format.
 META = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED_PARTS = 200_000
+REMEMBERED_PARTS = 400_000
 REMEMBERED_CHARS = 64
 ROWS_AT_ONCE = 1000
-PARTS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
+STOPS = ".,;:!?"
+PARTS = r" +[^ \n]*|\n|[^ \n]+"
 WHOLE = re.compile(r"(?s).+")
 
 
@@ -68,42 +71,63 @@ class PieceModel:
         self.automaton.make_automaton()
         cut_at_spaces = not any(META in pieces[i].lstrip(META) for i in own)
         cut_at_lines = not any("\n" in pieces[i] and pieces[i] != "\n" for i in own)
-        self.parts = PARTS if cut_at_spaces and cut_at_lines else WHOLE
+        stops = "".join(
+            c for c in STOPS if not any(re.search(rf"[^\W\d_]\{c}", pieces[i]) for i in own)
+        )
+        self.parts = WHOLE
+        if cut_at_spaces and cut_at_lines:
+            before_stop = rf" *[^\W\d_]+(?=[{stops}])|" if stops else ""
+            self.parts = re.compile(before_stop + PARTS)
         self.known: dict[str, tuple[int, ...]] = {}
 
     def best_path(self, part: str) -> tuple[int, ...]:
         """Viterbi over one part, which has meta marks for its spaces."""
-        best = [0.0]
-        back: list[tuple[int, int]] = [(0, self.unknown)]
-        found = self.automaton.iter(part) if part else iter(())
-        match = next(found, None)
-        for end in range(1, len(part) + 1):
-            # The character alone, as unknown, unless a piece does better.
-            score, start, piece = best[end - 1] + self.penalty, end - 1, self.unknown
-            while match is not None and match[0] == end - 1:
-                size, gain, i = match[1]
-                if best[end - size] + gain > score:
-                    score, start, piece = best[end - size] + gain, end - size, i
-                match = next(found, None)
-            best.append(score)
-            back.append((start, piece))
+        n = len(part)
+        best = [0.0] + [-math.inf] * n
+        back: list[tuple] = [()] * (n + 1)
+        reached = 0
+        for last, match in self.automaton.iter(part):
+            if last > reached:
+                self._bridge(best, back, reached, last)
+                reached = last
+            score = best[last + 1 - match[0]] + match[1]
+            if score > best[last + 1]:
+                best[last + 1] = score
+                back[last + 1] = match
+        self._bridge(best, back, reached, n)
         out: list[int] = []
-        end = len(part)
-        while end > 0:
-            start, piece = back[end]
-            if piece != self.unknown:
-                out.append(piece)
+        while n > 0:
+            size, _, piece = back[n]
+            n -= size
+            if piece == self.unknown:
+                out.extend(reversed(self.fallback(part[n])))
             else:
-                out.extend(reversed(self.fallback(part[start])))
-            end = start
+                out.append(piece)
         return tuple(reversed(out))
 
+    def _bridge(self, best: list[float], back: list[tuple], first: int, last: int) -> None:
+        """Positions up to `last` that no piece ends at: the character alone, as unknown."""
+        for end in range(first + 1, last + 1):
+            if best[end] == -math.inf:
+                best[end] = best[end - 1] + self.penalty
+                back[end] = (1, self.penalty, self.unknown)
+
     def fallback(self, character: str) -> list[int]:
         """A character no piece covers: its bytes, or the unknown piece."""
         if len(self.bytes) == 256:
             return [self.bytes[b] for b in character.encode()]
         return [self.unknown]
 
+    def _remembered(self, part: str) -> tuple[int, ...]:
+        path = self.known.get(part)
+        if path is None:
+            path = self.best_path(part.replace(" ", META))
+            if len(self.known) >= REMEMBERED_PARTS:
+                self.known.clear()
+            if len(part) <= REMEMBERED_CHARS:
+                self.known[part] = path
+        return path
+
     def encode(self, text: str) -> array:
         ids = array("i")
         if not text:
@@ -112,15 +136,12 @@ class PieceModel:
         for n, stretch in enumerate((" " + text).split(META)):
             if n:
                 ids.extend(self.fallback(META))
-            for part in self.parts.findall(stretch):
-                path = self.known.get(part)
+            parts = self.parts.findall(stretch)
+            paths = list(map(self.known.get, parts))
+            for n_part, path in enumerate(paths):
                 if path is None:
-                    if len(self.known) >= REMEMBERED_PARTS:
-                        self.known.clear()
-                    path = self.best_path(part.replace(" ", META))
-                    if len(part) <= REMEMBERED_CHARS:
-                        self.known[part] = path
-                ids.extend(path)
+                    paths[n_part] = self._remembered(parts[n_part])
+            ids.extend(chain.from_iterable(paths))
         return ids
 
     def decode(self, ids: Iterable[int]) -> str:
