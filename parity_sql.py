@@ -192,6 +192,14 @@ _RAW = {
 }
 _SOLD = ("sum(total_units_sold)", "sum(total_revenue)")
 
+# Whole dollars of total_revenue, half to even, from the exact decimal.
+_LABEL = """'$' || format('{:,}', cast(
+    cast(total_revenue * 1000 as hugeint) // 1000
+    + case when cast(total_revenue * 1000 as hugeint) % 1000 > 500
+             or (cast(total_revenue * 1000 as hugeint) % 1000 = 500
+                 and cast(total_revenue * 1000 as hugeint) // 1000 % 2 = 1)
+           then 1 else 0 end as bigint)) as revenue_label"""
+
 _SELECTS = {
     "stg_client": "select * from client",
     "stg_client_status": "select * from client_status",
@@ -249,27 +257,27 @@ _SELECTS = {
                                          then 1 else 0 end as bigint) as whole
               from (select orders, clients, cast(revenue * 1000 as hugeint) as mils,
                            cast(units * 10 as hugeint) as tenths from kpi))""",
-    "monthly_sales_series": """
-        select month, strftime(month, '%b %Y') as month_label, total_revenue
+    "monthly_sales_series": f"""
+        select month, strftime(month, '%b %Y') as month_label, total_revenue, {_LABEL}
         from monthly order by month""",
-    "category_revenue_share": """
-        select category, total_revenue,
+    "category_revenue_share": f"""
+        select category, total_revenue, {_LABEL},
                cast(cast((20000 * mils + whole) // (2 * whole) as bigint) * 0.01
                     as decimal(38,2)) as share_pct
         from (select *, sum(mils) over () as whole from by_category)""",
-    "client_type_revenue": "select client_type, total_revenue from by_client_type",
+    "client_type_revenue": f"select client_type, total_revenue, {_LABEL} from by_client_type",
     "cells_category_month": "select * from cell_category_month",
     "cells_payment_status": """
         select * from cube_payment_status
         where payment_method != 'ALL METHODS' and order_status != 'ALL STATUSES'""",
-    "heatmap_series": """
+    "heatmap_series": f"""
         select category, cast(month as date) as month,
-               strftime(cast(month as date), '%b %Y') as month_label, total_revenue
+               strftime(cast(month as date), '%b %Y') as month_label, total_revenue, {_LABEL}
         from cell_category_month""",
     "heatmap_category_month": f"""
         select category, {_MONTH_COLUMNS} from cell_category_month group by category""",
-    "top_clients": """
-        select client_id, client_name, client_type, total_revenue from by_client
+    "top_clients": f"""
+        select client_id, client_name, client_type, total_revenue, {_LABEL} from by_client
         order by total_revenue desc, client_id limit 10""",
     "ingest_csv_batch": "select * from order_product",
     "ingest_csv_stream": "select * from sales_order",

@@ -72,22 +72,27 @@ def in_display_order(mart: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*orders[mart])
 
 
+def _labelled(chart: DataFrame) -> DataFrame:
+    """With the revenue in whole dollars, as charts write it beside a mark."""
+    return chart.withColumn("revenue_label", money_text(F.col("total_revenue"), 0))
+
+
 def monthly_sales_series(monthly: DataFrame) -> DataFrame:
-    return monthly.select(
+    series = monthly.select(
         "month", month_label(F.col("month")).alias("month_label"), "total_revenue"
-    ).orderBy("month")
+    )
+    return _labelled(series).orderBy("month")
 
 
 def category_revenue_share(by_category: DataFrame) -> DataFrame:
     """Revenue per category and its percentage of the revenue of all categories."""
     whole = by_category.agg(F.sum("total_revenue")).scalar()
-    return by_category.select(
-        "category", "total_revenue", share_percent(F.col("total_revenue"), whole).alias("share_pct")
-    )
+    share = share_percent(F.col("total_revenue"), whole).alias("share_pct")
+    return _labelled(by_category.select("category", "total_revenue", share))
 
 
 def client_type_revenue(by_client_type: DataFrame) -> DataFrame:
-    return by_client_type.select("client_type", "total_revenue")
+    return _labelled(by_client_type.select("client_type", "total_revenue"))
 
 
 def _without_subtotals(cube: DataFrame, labels: dict[str, str]) -> DataFrame:
@@ -108,9 +113,10 @@ def cells_payment_status(cube: DataFrame) -> DataFrame:
 def heatmap_series(cells: DataFrame) -> DataFrame:
     """Cells in long form, with the month as a date and as a label such as ``Jun 2024``."""
     month = F.to_date("month")
-    return cells.select(
+    series = cells.select(
         "category", month.alias("month"), month_label(month).alias("month_label"), "total_revenue"
     )
+    return _labelled(series)
 
 
 def sold_months(cells: DataFrame) -> list[str]:
@@ -126,8 +132,9 @@ def heatmap_category_month(cells: DataFrame, months: Sequence[str]) -> DataFrame
 
 def top_clients(by_client: DataFrame, n: int = 10) -> DataFrame:
     """The clients with the highest revenue; of equal ones the lower id comes first."""
-    return (
+    top = (
         by_client.select("client_id", "client_name", "client_type", "total_revenue")
         .orderBy(F.desc("total_revenue"), F.asc("client_id"))
         .limit(n)
     )
+    return _labelled(top)

@@ -102,6 +102,19 @@ def test_clients_are_reduced_before_the_dimension_join(spark, sf_dir):
     assert "count(distinct order_id" in plan.split("SortMergeJoin [client_id")[1]
 
 
+def test_totals_shuffle_one_row_per_client(spark, sf_dir):
+    with shuffle_joins(spark):
+        plan = planned(QUERIES["kpi_totals"](spark, sf_dir))
+    assert "Expand" not in plan
+    assert shuffles(plan) == ["client_id", "order_id", "order_id"]
+
+
+def test_sales_by_client_type_expand_no_orders(spark, sf_dir):
+    with shuffle_joins(spark):
+        plan = planned(QUERIES["mart_sales_by_client_type"](spark, sf_dir))
+    assert "Expand" not in plan
+
+
 def test_cube_expands_cells_not_sales(spark, sf_dir):
     with shuffle_joins(spark):
         plan = planned(QUERIES["mart_cube_category_month"](spark, sf_dir))
@@ -236,6 +249,9 @@ def test_hot_client_is_split_or_reduced(spark, skewed):
         by_client = marts.mart_sales_by_client(sales, clients)
         assert "skew=true" not in executed(by_client)
         by_type = marts.mart_sales_by_client_type(sales, clients)
+        plan = executed(by_type)
+        # One row per client reaches the join: nothing is expanded, nothing left to split.
+        assert "Expand" not in plan.split("count(distinct order_id")[0] and "skew=true" not in plan
         counted = by_type.agg(F.sum("total_clients"), F.sum("total_orders")).first()
         sold = sales.agg(F.count_distinct("client_id"), F.count_distinct("order_id")).first()
         assert tuple(counted) == tuple(sold)
