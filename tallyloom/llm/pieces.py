@@ -28,7 +28,6 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 from pathlib import Path
 
 import ahocorasick
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 # Fixed values of the format.
 META = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED_PARTS = 400_000
+REMEMBERED_PARTS = 200_000
 REMEMBERED_CHARS = 64
 ROWS_AT_ONCE = 1000
 STOPS = ".,;:!?"
@@ -78,7 +77,8 @@ class PieceModel:
         if cut_at_spaces and cut_at_lines:
             before_stop = rf" *[^\W\d_]+(?=[{stops}])|" if stops else ""
             self.parts = re.compile(before_stop + PARTS)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Ids of a part as bytes: a quarter of the memory of a tuple, and quick to join.
+        self.known: dict[str, bytes] = {}
 
     def best_path(self, part: str) -> tuple[int, ...]:
         """Viterbi over one part, which has meta marks for its spaces."""
@@ -118,10 +118,10 @@ class PieceModel:
             return [self.bytes[b] for b in character.encode()]
         return [self.unknown]
 
-    def _remembered(self, part: str) -> tuple[int, ...]:
+    def _remembered(self, part: str) -> bytes:
         path = self.known.get(part)
         if path is None:
-            path = self.best_path(part.replace(" ", META))
+            path = array("i", self.best_path(part.replace(" ", META))).tobytes()
             if len(self.known) >= REMEMBERED_PARTS:
                 self.known.clear()
             if len(part) <= REMEMBERED_CHARS:
@@ -141,7 +141,7 @@ class PieceModel:
             for n_part, path in enumerate(paths):
                 if path is None:
                     paths[n_part] = self._remembered(parts[n_part])
-            ids.extend(chain.from_iterable(paths))
+            ids.frombytes(b"".join(paths))
         return ids
 
     def decode(self, ids: Iterable[int]) -> str:

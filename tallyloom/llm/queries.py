@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import chat, decontaminate, htmltext, minhash, pieces, quality, secret_scan, suffixes, topk, toxicity
-from tallyloom.llm.tables import learns, table
+from tallyloom.llm.tables import bounded, learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,15 +136,26 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _in_bounded_session(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return query(bounded(spark), folder)
+
+    run.__doc__ = query.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    "op1_decontamination": op1_decontamination,
-    "op2_exact_topk": op2_exact_topk,
-    "op3_chat_format": op3_chat_format,
-    "op4_sentencepiece": op4_sentencepiece,
-    "op5_html_text": op5_html_text,
-    "op6_minhash_near_dedup": op6_minhash_near_dedup,
-    "op7_suffix_dedup": op7_suffix_dedup,
-    "op8_quality": op8_quality,
-    "op9_toxicity": op9_toxicity,
-    "op10_secret_scan": op10_secret_scan,
+    query.__name__: _in_bounded_session(query)
+    for query in (
+        op1_decontamination,
+        op2_exact_topk,
+        op3_chat_format,
+        op4_sentencepiece,
+        op5_html_text,
+        op6_minhash_near_dedup,
+        op7_suffix_dedup,
+        op8_quality,
+        op9_toxicity,
+        op10_secret_scan,
+    )
 }
