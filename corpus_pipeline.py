@@ -16,9 +16,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, minhash, pieces, quality, secret_scan
+from tallyloom.llm import bitmaps, decontaminate, minhash, pieces, quality, secret_scan
 from tallyloom.llm.queries import PIECE_MODEL
-from tallyloom.llm.tables import stored, table
+from tallyloom.llm.tables import bounded, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,24 +27,25 @@ QUALITY_THRESHOLD = 0.3
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go. It learns from the labels of these documents."""
-    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    model = quality.fit_quality(docs, table(bounded(spark), sf_dir, "labels"))
     return quality.good_documents(docs, model, QUALITY_THRESHOLD)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
-    near = minhash.near_duplicates(docs)
-    copies = near.filter("doc <> component").select(F.col("doc").alias("_copy"))
-    return docs.join(copies.distinct(), F.col("doc_id") == F.col("_copy"), "left_anti")
+    bounded(spark)
+    copies = minhash.near_duplicates(docs).filter("doc <> component")
+    return bitmaps.without(docs, "doc_id", copies, "doc")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_contaminated(docs, table(bounded(spark), sf_dir, "benchmark"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; every document stays. The recorded length follows the text."""
+    bounded(spark)
     cleaned = secret_scan.redact_secrets(docs)
     if "n_chars" not in docs.columns:
         return cleaned
@@ -55,6 +56,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as piece ids."""
+    bounded(spark)
     return pieces.encode_texts(docs, PIECE_MODEL, checked=True)
 
 

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import mix
+from tallyloom.llm.tables import stored
 
+BITMAP_BITS = 1 << 25  # four megabytes
 BUCKET_BYTES = 4096  # fixed by the bitmap functions: 32768 bits a bucket
 
 
@@ -49,14 +51,26 @@ def in_bitmap(values: np.ndarray, bitmap: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1 == 1
 
 
-def probably_in(rows: DataFrame, column: str, bitmap: np.ndarray, bits: int) -> DataFrame:
-    """The rows whose value may be in the bitmap; null values are not."""
+def probably_in(
+    rows: DataFrame, column: str, bitmap: np.ndarray, bits: int, inside: bool = True
+) -> DataFrame:
+    """The rows whose value may be in the bitmap, or the others; null values are not in it."""
     at = rows.columns.index(column)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            ids = batch.column(at)
+            ids = batch.column(at).cast(pa.int64())
             hit = in_bitmap(ids.fill_null(0).to_numpy(), bitmap, bits)
-            yield batch.filter(pa.array(hit & ids.is_valid().to_numpy(zero_copy_only=False)))
+            hit &= ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == inside))
 
     return rows.mapInArrow(batches, rows.schema)
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame, column: str) -> DataFrame:
+    """The rows whose key is not in the column; only rows that may be in it are shuffled."""
+    gone = stored(gone.select(F.col(column).alias("_gone")).distinct(), "gone")
+    bitmap = bitmap_of(gone, "_gone", BITMAP_BITS)
+    doubtful = probably_in(rows, key, bitmap, BITMAP_BITS)
+    kept = doubtful.join(gone, doubtful[key] == gone["_gone"], "left_anti")
+    return probably_in(rows, key, bitmap, BITMAP_BITS, inside=False).union(kept)

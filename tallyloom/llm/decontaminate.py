@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import Words, mix, text_chunks, token_alphabet, words
-from tallyloom.llm.bitmaps import bitmap_of, in_bitmap
+from tallyloom.llm.bitmaps import BITMAP_BITS, bitmap_of, in_bitmap, probably_in, without
+from tallyloom.llm.tables import stored
 
 # Fixed masks: 1 takes part in the hash, 0 is ignored. Every mask has weight 7.
 MASKS = ("1111111", "110110111", "1101010111")
 MIN_MATCHES = 10
 MIN_MATCH_SHARE = 0.8
 SUBSTITUTION_COST = 2.0
-BITMAP_BITS = 1 << 22  # half a megabyte, whatever the size of the benchmark
+SEED_BITS = 1 << 22  # half a megabyte, whatever the size of the benchmark
 
 FACTORS = mix(np.arange(31, 31 + 64, dtype=np.uint64)) | np.uint64(1)
 
@@ -80,7 +81,7 @@ def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
             for chunk in text_chunks(batch.column(1)):
                 for text, at, seeds in all_seeds(words(chunk, alphabet)):
                     if bitmap is not None:
-                        hit = in_bitmap(seeds, bitmap, BITMAP_BITS)
+                        hit = in_bitmap(seeds, bitmap, SEED_BITS)
                         text, at, seeds = text[hit], at[hit], seeds[hit]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -171,12 +172,16 @@ def contaminations(
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     benchmark = items.select(F.col(item_key).alias("id"), F.col(item_text).alias("text"))
     theirs = _seed_rows(benchmark, None)
-    ours = _seed_rows(texts, bitmap_of(theirs, "seed", BITMAP_BITS))
+    ours = _seed_rows(texts, bitmap_of(theirs, "seed", SEED_BITS))
     theirs = theirs.select("seed", F.col("id").alias("item"), F.col("at").alias("item_at"))
     met = ours.join(theirs, "seed").select(
         F.col("id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("diagonal")
     )
     pairs = met.groupBy("doc", "item").agg(F.collect_set("diagonal").alias("diagonals"))
+    pairs = stored(pairs, "seed-pairs")
+    # Only texts with a seed are compared; the bitmap spares most others the shuffle.
+    seeded = bitmap_of(pairs, "doc", BITMAP_BITS)
+    texts = probably_in(texts, "id", seeded, BITMAP_BITS)
     pairs = pairs.join(texts.withColumnRenamed("id", "doc"), "doc")
     pairs = pairs.join(
         benchmark.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item"
@@ -195,5 +200,4 @@ def contaminations(
 
 def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of documents in which no benchmark item was found."""
-    links = contaminations(docs, items, key, text).select(F.col("doc").alias("_leaked"))
-    return docs.join(links.distinct(), docs[key] == F.col("_leaked"), "left_anti")
+    return without(docs, key, contaminations(docs, items, key, text), "doc")

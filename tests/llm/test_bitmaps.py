@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import documents, prose
+
+from tallyloom.llm import bitmaps
+from tallyloom.llm.arrays import text_chunks, word_alphabet, words
+from tallyloom.llm.tables import bounded
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 20])
+def test_nothing_that_is_in_the_bitmap_is_missed(spark, bits):
+    ids = spark.range(0, 4000, 7)
+    bitmap = bitmaps.bitmap_of(ids, "id", bits)
+    values = np.arange(4000, dtype=np.int64)
+    hit = bitmaps.in_bitmap(values, bitmap, bits)
+    assert hit[::7].all()
+    assert hit.sum() < 600 + 4000 * 600 / bits * 2
+    assert len(bitmap) == -(-bits // 32768) * 4096
+
+
+def test_rows_without(spark, monkeypatch):
+    rows = [(i, "t") for i in range(50)] + [(7, "again"), (None, "no id")]
+    frame = documents(spark, rows, extra=True)
+    gone = spark.createDataFrame([(i,) for i in (3, 7, 7, 99, None)], "gone long")
+    for bits in (1 << 25, 8):  # the second is full: every row is in doubt
+        monkeypatch.setattr(bitmaps, "BITMAP_BITS", bits)
+        left = bitmaps.without(frame, "doc_id", gone, "gone")
+        assert left.schema == frame.schema
+        expected = [str(i) for i, _ in rows if i not in (3, 7)]
+        assert sorted(str(r.doc_id) for r in left.collect()) == sorted(expected)
+    assert bitmaps.without(frame.limit(0), "doc_id", gone, "gone").count() == 0
+    assert bitmaps.without(frame, "doc_id", gone.limit(0), "gone").count() == len(rows)
+
+
+@pytest.mark.parametrize("chunk_bytes", [1, 40, 1 << 20])
+def test_words_do_not_depend_on_chunks(chunk_bytes):
+    texts = ["Ab  cd\n", None, "", "é x", "cd", " ", prose(1, 50), "cd"]
+    column = pa.array(["skipped", *texts], pa.string()).slice(1)
+    seen = {}
+    for chunk in text_chunks(column, chunk_bytes):
+        found = words(chunk, word_alphabet())
+        for i in range(chunk.first, chunk.last):
+            a, b = found.bounds[i - chunk.first], found.bounds[i - chunk.first + 1]
+            raw = [bytes(chunk.data[s:e]) for s, e in zip(found.starts[a:b], found.ends[a:b], strict=True)]
+            assert [w.decode() for w in raw] == (texts[i] or "").split()
+            seen[i] = found.hashes[a:b].tolist()
+    assert sorted(seen) == list(range(len(texts)))
+    assert seen[0][1] == seen[4][0] == seen[7][0]
+    assert len({h for hashes in seen.values() for h in hashes}) == len(
+        {w.lower() for t in texts for w in (t or "").split()}
+    )
+
+
+def test_batches_are_bounded(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for given, kept in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            spark.conf.set(setting, given)
+            assert bounded(spark).conf.get(setting) == kept
+    finally:
+        spark.conf.set(setting, before)
