@@ -40,6 +40,7 @@ WINDOW = 50
 ANCHOR = 16
 LEFT = WINDOW - ANCHOR
 BATCH_BYTES = 16 << 20
+BUCKETS_A_PARTITION = 16
 SORT_ROWS = 1 << 16
 MAX48 = np.uint64((1 << 48) - 1)
 
@@ -486,19 +487,22 @@ def remove_repeats(
     """(doc, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document: what is left
     of its bytes without those a repeated string covers."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    named = texts.filter("doc is not null and octet_length(text) >= 50")
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("body"))
+    # Both joins below ask for the named texts by document, so one shuffle serves both (which
+    # the plan test holds; it needs names that both sides keep).
+    named, nameless = texts.filter("doc is not null"), texts.filter("doc is null")
+    long = named.filter(F.octet_length("body") >= WINDOW)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blobs = anchor_blobs(named, 4 * parts).repartition(F.expr("if(bucket < 0, -1 - bucket, bucket)"))
+    blobs = anchor_blobs(long, BUCKETS_A_PARTITION * parts).repartition(F.expr("if(bucket < 0, -1 - bucket, bucket)"))
     marks = stored(context_marks(blobs), "marks")
     opened = marks.filter("anchor >= 0").groupBy("doc").agg(
         F.collect_list(F.struct("first", "anchor")).alias("marks")
     )
-    opened = texts.join(opened, "doc").select("doc", "text", "marks")
+    opened = named.join(opened, "doc").select("doc", "body", "marks")
     contexts = open_contexts(opened).repartition("anchor").sortWithinPartitions("anchor", "doc", "at")
     ends = sorted_marks(contexts)
     spans = marks.filter("anchor < 0").unionByName(ends)
     spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "past")).alias("spans"))
-    return _without(
-        texts.join(spans, "doc", "left").select("doc", "text", "spans"), keep_bytes
-    )
+    marked = named.join(spans, "doc", "left").select("doc", "body", "spans")
+    unmarked = nameless.withColumn("spans", F.lit(None).cast("array<struct<first int, past int>>"))
+    return _without(marked.unionByName(unmarked), keep_bytes)

@@ -81,3 +81,19 @@ def test_a_hash_collision_is_noticed(monkeypatch):
     made = suffixes.SuffixOrder(strings, np.zeros(4, np.int64))
     assert [strings[i] for i in made.order] == sorted(strings)
     assert made.common.tolist() == [0, 1, 0, 1]
+
+
+def test_one_shuffle_of_the_texts_serves_both_joins(spark, sf_dir):
+    before = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = suffixes.remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+        execution = made._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        assert "ReusedExchange" in execution.executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        if before is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
