@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import Chunk, mix, text_chunks, word_alphabet, words
-from tallyloom.llm.bitmaps import bitmap_of, probably_in
+from tallyloom.llm.bitmaps import BITMAP_BITS, bitmap_of, probably_in
 from tallyloom.llm.components import components
 from tallyloom.llm.tables import stored
 
@@ -40,7 +40,6 @@ SHINGLE_WORDS = 5
 MIN_SIMILARITY_PERCENT = 75
 BANDS, BAND_ROWS = 40, 4
 BINS = BANDS * BAND_ROWS
-BITMAP_BITS = 1 << 25  # four megabytes, whatever the number of documents
 MEMBERS_A_BLOCK = 256
 
 WORD_FACTORS = mix(np.arange(11, 11 + SHINGLE_WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -133,12 +132,14 @@ def confirmed(edges: DataFrame, docs: DataFrame) -> DataFrame:
     """The edges (centre, member) whose whole sets are similar enough.
 
     The texts of members travel once for each edge. A centre's text travels once for each
-    block of its members, so a centre of very many is shared among tasks; each task then
-    reads a centre's text, keeps its set, and streams the members that follow.
+    block of its members, of which there are as many as the crowd in their fullest common
+    bucket asks for; so a centre of very many is shared among tasks. Each task reads a
+    centre's text, keeps its set, and streams the members that follow.
     """
-    blocks = F.pmod(F.xxhash64("member"), F.greatest(F.lit(1), F.ceil(F.col("n_members") / MEMBERS_A_BLOCK)))
-    sized = edges.join(edges.groupBy("centre").agg(F.count("*").alias("n_members")), "centre")
-    dealt = sized.select("centre", "member", blocks.alias("block"))
+    blocks = F.ceil(F.col("crowd") / MEMBERS_A_BLOCK).cast("long")
+    dealt = edges.select(
+        "centre", "member", F.pmod(F.xxhash64("member"), blocks).alias("block")
+    )
     members = dealt.join(docs, dealt.member == docs.doc).select("centre", "block", "member", "text")
     centres = dealt.select("centre", "block").distinct()
     centres = centres.join(docs, centres.centre == docs.doc).select(
@@ -217,15 +218,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             F.max(F.struct(rank.alias("rank"), "rep", "component")).alias("c"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
+            F.count("*").alias("crowd"),
         )
         centres = centres.filter("low < high").select(
-            "key", F.col("c.rep").alias("centre"), F.col("c.component").alias("centre_component")
+            "key",
+            F.col("c.rep").alias("centre"),
+            F.col("c.component").alias("centre_component"),
+            "crowd",
         )
         edges = (
             placed.join(centres, "key")
             .filter("component <> centre_component")
-            .select("centre", F.col("rep").alias("member"))
-            .distinct()
+            .groupBy("centre", F.col("rep").alias("member"))
+            .agg(F.max("crowd").alias("crowd"))
         )
         if tested is not None:
             edges = edges.join(
