@@ -30,6 +30,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     pairs = stored(pairs.distinct(), "links")
+    digest = _digest(pairs)
     while True:
         # Large star: each larger neighbour (and the node) is joined to the least of all.
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -42,8 +43,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = lower.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.unionByName(low.select("a", F.col("low").alias("b"))).distinct()
         after = stored(small, "links")
-        if _digest(after) == _digest(pairs):
-            break
+        before, digest = digest, _digest(after)
         pairs = after
+        if digest == before:
+            break
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
