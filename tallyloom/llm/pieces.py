@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 # Fixed values of the format.
 META = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED_PARTS = 200_000
+REMEMBERED_PARTS = 120_000  # in each of two generations
 REMEMBERED_CHARS = 64
 ROWS_AT_ONCE = 1000
 STOPS = ".,;:!?"
@@ -75,10 +75,12 @@ class PieceModel:
         )
         self.parts = WHOLE
         if cut_at_spaces and cut_at_lines:
-            before_stop = rf" *[^\W\d_]+(?=[{stops}])|" if stops else ""
+            # Possessive: a shorter run of letters is followed by a letter, never by a stop.
+            before_stop = rf" *+[^\W\d_]++(?=[{stops}])|" if stops else ""
             self.parts = re.compile(before_stop + PARTS)
         # Ids of a part as bytes: a quarter of the memory of a tuple, and quick to join.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def best_path(self, part: str) -> tuple[int, ...]:
         """Viterbi over one part, which has meta marks for its spaces."""
@@ -119,13 +121,14 @@ class PieceModel:
         return [self.unknown]
 
     def _remembered(self, part: str) -> bytes:
-        path = self.known.get(part)
+        path = self.known.get(part) or self.older.get(part)
         if path is None:
             path = array("i", self.best_path(part.replace(" ", META))).tobytes()
+        if len(part) <= REMEMBERED_CHARS:
             if len(self.known) >= REMEMBERED_PARTS:
-                self.known.clear()
-            if len(part) <= REMEMBERED_CHARS:
-                self.known[part] = path
+                # What is not asked for again goes with the next change; the rest comes back.
+                self.older, self.known = self.known, {}
+            self.known[part] = path
         return path
 
     def encode(self, text: str) -> array:
