@@ -9,8 +9,12 @@ bands; classes that agree on a band share a bucket.
 A bucket yields a star, not all its pairs: every member is compared with the member whose
 buckets are the fullest over all bands, since the text the others were made from agrees
 with more of them than they do with each other. Comparisons are exact, on whole sets.
-After the links found are joined to components, buckets that still hold several components
-yield further stars, each round with another centre, until a round finds no new link.
+After the links found are joined to components, the centres are set aside, for they have met
+their whole buckets, and every bucket that still holds several components yields further
+stars, more in each round. It ends bucket by bucket, when no two members of different
+components are left that have not been compared. Pairs whose sizes, or whose parities of
+shingles by residue, prove them unlike are not compared on sets: the number of parities in
+which two sets differ is at most the number of shingles only one of them has.
 
 A pair at similarity s agrees on a band with probability s**4; at 0.75 it shares none of 40
 bands with probability 0.68**40, about 2e-7, and 12.7 bands on average.
@@ -41,6 +45,8 @@ MIN_SIMILARITY_PERCENT = 75
 BANDS, BAND_ROWS = 40, 4
 BINS = BANDS * BAND_ROWS
 MEMBERS_A_BLOCK = 256
+CENTRES_MORE = 4  # the factor by which a mixed bucket's centres grow from round to round
+PARITY_LONGS, BRIEF_LONGS = 32, 8
 
 WORD_FACTORS = mix(np.arange(11, 11 + SHINGLE_WORDS, dtype=np.uint64)) | np.uint64(1)
 # For each bin, the fixed random order in which it looks for a bin to copy.
@@ -128,6 +134,54 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each residue of the hashes, whether the set has an odd number of shingles there."""
+    n = 64 * PARITY_LONGS
+    odd = np.bincount((shingles % np.uint64(n)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _outlines(texts: DataFrame) -> DataFrame:
+    """(doc, words, odd, brief): set size of every text, parities by many residues and by few."""
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = word_alphabet()
+        for batch in rows:
+            for chunk in text_chunks(batch.column(1)):
+                made = [(len(found), parities(found)) for found in shingle_sets(chunk, alphabet)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(chunk.first, chunk.last - chunk.first),
+                        pa.array([n for n, _ in made], pa.int64()),
+                        pa.array([odd for _, odd in made], pa.list_(pa.int64())),
+                        # Residues of a divisor: equal parts of the long form, added up.
+                        pa.array(
+                            [np.bitwise_xor.reduce(odd.reshape(-1, BRIEF_LONGS)) for _, odd in made],
+                            pa.list_(pa.int64()),
+                        ),
+                    ],
+                    names=["doc", "words", "odd", "brief"],
+                )
+
+    return texts.select("doc", "text").mapInArrow(batches, "doc long, words long, odd array<long>, brief array<long>")
+
+
+def _may_be_similar(other: str) -> str:
+    """A condition on (words, brief, odd) and the same columns of the other side, that holds
+    for every pair similar enough and for few others."""
+    least = MIN_SIMILARITY_PERCENT
+
+    def close(differ: str) -> str:
+        both = f"(words + {other}_words)"
+        return f"{100 + least} * ({both} - ({differ})) >= {2 * least} * {both}"
+
+    # The short form is compiled; the long one is a method too long for that, so it is a loop.
+    brief = " + ".join(f"bit_count(brief[{i}] ^ {other}_brief[{i}])" for i in range(BRIEF_LONGS))
+    odd = f"aggregate(zip_with(odd, {other}_odd, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y)"
+    sizes = f"100 * least(words, {other}_words) >= {least} * greatest(words, {other}_words)"
+    return f"{sizes} and {close(brief)} and {close(odd)}"
+
+
 def confirmed(edges: DataFrame, docs: DataFrame) -> DataFrame:
     """The edges (centre, member) whose whole sets are similar enough.
 
@@ -204,53 +258,66 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     texts = stored(texts, "candidates")
 
+    outlines = stored(_outlines(texts), "outlines").withColumnRenamed("doc", "rep")
+    open_rows = crowd.select("key", "rep", "weight")
     links = None
     tested = None
     found = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
     turn = 0
     while True:
-        placed = crowd.join(found.withColumnRenamed("node", "rep"), "rep")
+        # What is left of the buckets that still hold several components.
+        placed = open_rows.join(found.withColumnRenamed("node", "rep"), "rep")
         if turn == 0:
-            rank = F.struct(F.col("weight").alias("w"), (-F.col("rep")).alias("r"))
+            draw = F.col("weight")
         else:
-            rank = F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("w"), (-F.col("rep")).alias("r"))
-        centres = placed.groupBy("key").agg(
-            F.max(F.struct(rank.alias("rank"), "rep", "component")).alias("c"),
+            draw = F.xxhash64("rep", "key", F.lit(turn))
+        placed = placed.withColumn("draw", draw)
+        mixed = placed.groupBy("key").agg(
+            F.max(F.struct("draw", (-F.col("rep")).alias("r"))).alias("top"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
             F.count("*").alias("crowd"),
         )
-        centres = centres.filter("low < high").select(
+        mixed = mixed.filter("low < high").select("key", (-F.col("top.r")).alias("top"), "crowd")
+        # The first of each draw is a centre, and in later rounds about CENTRES_MORE**turn others.
+        is_centre = F.col("rep") == F.col("top")
+        if turn:
+            is_centre |= F.pmod("draw", F.col("crowd")) < CENTRES_MORE**turn - 1
+        placed = placed.join(mixed, "key").withColumn("is_centre", is_centre).drop("draw", "top")
+        placed = stored(placed, "open-buckets")
+        if placed.isEmpty():
+            break
+        outlined = placed.join(outlines, "rep")
+        centres = outlined.filter("is_centre").select(
             "key",
-            F.col("c.rep").alias("centre"),
-            F.col("c.component").alias("centre_component"),
-            "crowd",
+            F.col("rep").alias("centre"),
+            F.col("component").alias("centre_component"),
+            *[F.col(name).alias(f"centre_{name}") for name in ("words", "odd", "brief")],
         )
         edges = (
-            placed.join(centres, "key")
-            .filter("component <> centre_component")
-            .groupBy("centre", F.col("rep").alias("member"))
-            .agg(F.max("crowd").alias("crowd"))
+            outlined.join(centres, "key")
+            .filter("component <> centre_component and (not is_centre or centre < rep)")
+            .filter(_may_be_similar("centre"))
+            .groupBy(F.least("centre", "rep").alias("x"), F.greatest("centre", "rep").alias("y"))
+            .agg(F.max("crowd").alias("crowd"), F.min("centre").alias("centre"))
         )
         if tested is not None:
-            edges = edges.join(
-                tested, (edges.centre == tested.x) & (edges.member == tested.y), "left_anti"
-            )
+            edges = edges.join(tested, ["x", "y"], "left_anti")
         edges = stored(edges, "edges")
-        if edges.isEmpty():
-            break
-        new = stored(confirmed(edges, texts), "confirmed")
-        both_ways = edges.select(F.col("centre").alias("x"), F.col("member").alias("y"))
-        both_ways = both_ways.unionByName(both_ways.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        tested = both_ways if tested is None else tested.unionByName(both_ways)
-        if new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
-        linked = components(links)
-        found = classes.join(linked, classes.rep == linked.node, "left").select(
-            F.col("rep").alias("node"), F.coalesce("component", "rep").alias("component")
+        ends = edges.select(
+            "centre", F.when(F.col("centre") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("member"), "crowd"
         )
-        found = stored(found, "components")
+        new = stored(confirmed(ends, texts), "confirmed")
+        tested = edges.select("x", "y") if tested is None else tested.unionByName(edges.select("x", "y"))
+        # A centre has met all members of its bucket, whatever component they are in.
+        open_rows = placed.filter("not is_centre").select("key", "rep", "weight")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            linked = components(links)
+            found = classes.join(linked, classes.rep == linked.node, "left").select(
+                F.col("rep").alias("node"), F.coalesce("component", "rep").alias("component")
+            )
+            found = stored(found, "components")
         turn += 1
 
     named = classes.join(found, classes.rep == found.node).select("n", "low", "high", "component")

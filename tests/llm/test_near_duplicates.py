@@ -36,6 +36,24 @@ def test_equals_comparing_all_pairs(spark, groups):
     assert found(minhash.near_duplicates(documents(spark, groups))) == expected(groups)
 
 
+def test_a_family_without_its_base_is_compared_to_the_end(spark):
+    """Each member replaces two of twelve places: similar to nobody but one, in crowded buckets."""
+    base = [f"base{i}" for i in range(150)]
+
+    def member(doc, places):
+        words = list(base)
+        for place in places:
+            words[12 * place + 3 : 12 * place + 8] = [f"own{doc}at{place}n{k}" for k in range(5)]
+        return " ".join(words)
+
+    pairs = [(a, b) for b in range(12) for a in range(b)]
+    rows = [(i, member(i, places)) for i, places in enumerate(pairs)]
+    rows.append((500, member(500, pairs[27])))  # neither is the heaviest of any bucket
+    roots = expected(rows)
+    assert [i for i, (_, root) in roots.items() if root != i] == [500]
+    assert found(minhash.near_duplicates(documents(spark, rows))) == roots
+
+
 def test_edge_cases_and_clashing_columns(spark):
     long = prose(3, 6000)
     rows = [
