@@ -61,8 +61,9 @@ class EntropyRule(NamedTuple):
         re.compile(r"[0-9]+([-/_=+][0-9]+)*\Z"),  # numbers, dates, card and phone numbers
         re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z"),  # UUIDs
         re.compile(r"[A-Za-z]*[0-9]{0,4}\Z"),  # a word, perhaps numbered
-        re.compile(r"([A-Za-z]+[0-9]{0,4}[-_/+=]+)+[A-Za-z]*[0-9]{0,4}\Z"),  # words joined, paths
-        re.compile(r"=+|-+|_+|/+"),  # rules drawn with one character
+        # Words joined, paths, options; they may start with what joins them.
+        re.compile(r"[-_/+=]*([A-Za-z]+[0-9]{0,4}[-_/+=]+)+[A-Za-z]*[0-9]{0,4}\Z"),
+        re.compile(r"(=+|-+|_+|/+)\Z"),  # rules drawn with one character
     )
 
 

@@ -57,6 +57,15 @@ def test_entropy_finds_keys_and_the_allow_list_holds():
         assert s.scan(text, s.EntropyRule())[1] == []
 
 
+def test_keys_behind_separators_are_found():
+    for lead in ("=", "-", "_", "/", "==", "--key="):
+        text = f"run {lead}{KEY} now"
+        spans = s.scan(text, s.EntropyRule())[1]
+        assert spans and text.index(KEY) + len(KEY) == spans[0][1], lead
+    for text in ("--no-colour-in-the-output", "/usr/local/share/some_folder/file_name12", "-" * 40, "__init_subclass_of_me__"):
+        assert s.scan(text, s.EntropyRule())[1] == []
+
+
 def test_vectorised_gates_lose_nothing(spark):
     rows = list(enumerate(t for t in TEXTS if t))
     made = {r.doc_id: r.found for r in s.scan_secrets(documents(spark, rows)).collect()}
