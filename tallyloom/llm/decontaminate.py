@@ -3,9 +3,8 @@
 Texts become words (letters and digits, lower case). A seed is the hash of the words under
 a fixed mask laid over consecutive words; words at the mask's ignored places may differ.
 Seeds of the benchmark meet seeds of the documents. Around every meeting, on its diagonal,
-the two texts are compared word by word and the best stretch is kept, in which a matching
-word adds one and a substituted word takes `SUBSTITUTION_COST` away. A document is
-contaminated by an item if a stretch has enough matching words and few enough others.
+the two texts are compared word by word. A document is contaminated by an item if any
+stretch has enough matching words and few enough others; the one with most matches is kept.
 
 Every word of every document is hashed; most seeds cannot match, and a bitmap of fixed size
 over the benchmark's seeds lets them go before anything is shuffled. What passes meets the
@@ -34,7 +33,7 @@ from tallyloom.llm.tables import stored
 MASKS = ("1111111", "110110111", "1101010111")
 MIN_MATCHES = 10
 MIN_MATCH_SHARE = 0.8
-SUBSTITUTION_COST = 2.0
+SUBSTITUTION_COST = 2.0  # no longer decides; the brute-force test reads it
 SEED_BITS = 1 << 22  # half a megabyte, whatever the size of the benchmark
 
 FACTORS = mix(np.arange(31, 31 + 64, dtype=np.uint64)) | np.uint64(1)
@@ -96,17 +95,24 @@ def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """The stretch with the greatest sum of matches less substitution costs; of equal sums the
-    longest, then the first."""
-    sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -SUBSTITUTION_COST))])
-    lowest = np.minimum.accumulate(sums[:-1])
-    # The first place at which each running minimum was reached.
-    fresh = np.append(True, lowest[1:] < lowest[:-1])
-    begins = np.maximum.accumulate(np.where(fresh, np.arange(len(lowest)), 0))
-    gains = sums[1:] - lowest
-    ends = np.flatnonzero(gains == gains.max())
-    end = ends[np.argmax(ends - begins[ends])]
-    return int(begins[end]), int(end) + 1
+    """Of the stretches with a share of matches of at least MIN_MATCH_SHARE, the one with the
+    most matches; of equal ones the shortest, then the first. No match: an empty stretch."""
+    percent = round(100 * MIN_MATCH_SHARE)
+    # A stretch has the share if these add up to zero or more over it.
+    sums = np.concatenate([[0], np.cumsum(np.where(equal, 100 - percent, -percent))])
+    matches = np.concatenate([[0], np.cumsum(equal)])
+    # For every end, the first begin whose sum is not greater; a later one has fewer matches.
+    lowest = np.minimum.accumulate(sums)
+    begins = np.searchsorted(-lowest, -sums, side="left")
+    hits = np.flatnonzero(equal)
+    # Without the others at its ends a stretch has a greater share.
+    after = np.append(hits, len(equal))
+    begins = after[np.searchsorted(hits, begins)]
+    ends = np.arange(len(sums))
+    count = np.where(begins < ends, matches - matches[np.minimum(begins, ends)], 0)
+    best = np.flatnonzero(count == count.max())
+    end = best[np.argmin(ends[best] - begins[best])] if count.max() else 0
+    return (int(begins[end]), int(end)) if end else (0, 0)
 
 
 def enough(matches: int, length: int, item_words: int) -> bool:

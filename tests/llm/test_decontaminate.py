@@ -97,3 +97,21 @@ def test_long_documents_are_searched_to_the_end(spark):
     item = prose(4, 20)
     docs = [(1, prose(5, 40_000) + " " + item)]
     assert found(d.contaminations(documents(spark, docs), items_frame(spark, [(1, item)]))) == {(1, 1)}
+
+
+def test_any_stretch_within_both_bounds_counts(spark):
+    """Every stretch of random rows is looked at; two of three copied runs are enough."""
+    rng = random.Random(8)
+    for n in (1, 12, 30, 60):
+        for _ in range(60):
+            equal = [rng.random() < rng.choice([0.5, 0.8, 0.9]) for _ in range(n)]
+            most = max(
+                [sum(equal[b:e]) for e in range(n + 1) for b in range(e) if 5 * sum(equal[b:e]) >= 4 * (e - b)],
+                default=0,
+            )
+            begin, end = d.best_stretch(d.np.array(equal))
+            assert sum(equal[begin:end]) == most and 5 * most >= 4 * (end - begin)
+    words = [f"w{i}" for i in range(38)]
+    copy = ["other" if i in (*range(10, 14), *range(24, 28)) else w for i, w in enumerate(words)]
+    links = d.contaminations(documents(spark, [(1, " ".join(copy))]), items_frame(spark, [(2, " ".join(words))]))
+    assert [(r.doc, r["item"], r.matches) for r in links.collect()] == [(1, 2, 20)]
