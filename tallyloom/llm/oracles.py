@@ -121,9 +121,129 @@ SUFFIX_DEDUP = """
     from texts left join joined using (doc_id)
 """
 
+# The common CRC-32 (reflected polynomial EDB88320) of UTF-8 hex text: its table, then one
+# step for each byte.
+CRC_TABLE = """
+    crc_table as materialized (
+        select list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, _:
+                    case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as crcs
+        from (select cast(unnest(range(256)) as bigint) as i)
+    )"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"[cast(concat('0x', substr(hex(encode({text})), 2 * i - 1, 2)) as bigint) for i in range(1, octet_length(encode({text})) + 1)]"
+    return f"""xor(4294967295, list_reduce([cast(4294967295 as bigint)] || {codes}, lambda c, b:
+        xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))"""
+
+
+def _merkle_manifest() -> str:
+    def field(name: str, value: str) -> str:
+        text = f"cast({value} as varchar)"
+        return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+    def leaf(n_chars: str) -> str:
+        values = ("doc_id", "source", "lang", n_chars, "text")
+        return "sha256(" + " || ".join(field(v, v) for v in values) + ")"
+
+    def levels(name: str, of: str) -> str:
+        return f"""
+    {name} as (
+        select tree, 0 as level, place, size, h from {of}
+        union all
+        select tree, any_value(level) + 1, place // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' order by place))
+        from {name} where size > 1 group by tree, place // 2
+    )"""
+
+    tampers = f"{_crc32('cast(doc_id as varchar)')} % 7 = 0"
+    return f"""
+    with recursive {CRC_TABLE}, leaves as (
+        select doc_id, lang, {leaf("n_chars")} as leaf,
+               case when {tampers} then {leaf("n_chars + 1")} else {leaf("n_chars")} end as seen
+        from documents, crc_table
+    ), placed as (
+        select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+               dense_rank() over (order by lang nulls first) - 1 as tree,
+               count(*) over (partition by lang) as size, row_number() over () as row
+        from leaves
+    ), starts as (
+        select tree, place, size, leaf as h from placed
+    ), {levels("nodes", "starts")}, langs as (
+        select 0 as tree, tree as place, count(*) over () as size, h from nodes where size = 1
+    ), {levels("tops", "langs")}, steps as (
+        select row, l.level, n.h, ((placed.place >> l.level) & 1) = 1 as left_of
+        from placed join (select distinct tree, level, size from nodes where size > 1) l using (tree)
+        left join nodes n on n.tree = placed.tree and n.level = l.level and n.place = xor(placed.place >> l.level, 1)
+        union all
+        select row, 1000 + l.level, n.h, ((placed.tree >> l.level) & 1) = 1
+        from placed, (select distinct level, size from tops where size > 1) l
+        left join tops n on n.level = l.level and n.place = xor(placed.tree >> l.level, 1)
+    ), paths as (
+        select row, list(coalesce(case when left_of then 'l' else 'r' end || h, '-') order by level) as path,
+               string_agg(h, '' order by level) as siblings
+        from steps group by row
+    ), folded as (
+        select doc_id, leaf, sub.h as subroot, top.h as root, sha256(coalesce(siblings, '')) as proof_sha256,
+               list_reduce([seen] || coalesce(path, []), lambda a, s: sha256(
+                   case s[1] when 'l' then s[2:] || a when 'r' then a || s[2:] else a end)) as folded_root
+        from placed left join paths using (row)
+        join (select tree, h from nodes where size = 1) sub using (tree),
+             (select h from tops where size = 1) top
+    )
+    select *, folded_root = root as verified from folded
+    """
+
+
+RESAMPLING = rf"""
+    with {CRC_TABLE}, worded as (
+        select *, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from (select true as mine, row_number() over () as row, doc_id, text from documents
+              union all select false, -1, -1, text from benchmark)
+    ), runs as (
+        select mine, row, unnest(
+            w || [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]
+              || [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) as feature
+        from worded
+    ), counted as (
+        select mine, row, feature, count(*) as n from runs group by all
+    ), known as (
+        select feature, {_crc32("feature")} % 10000 as bucket
+        from (select distinct feature from counted), crc_table
+    ), sums as (
+        select bucket, coalesce(sum(n) filter (mine), 0) as s, coalesce(sum(n) filter (not mine), 0) as t
+        from counted join known using (feature) group by bucket
+    ), gains as (
+        select bucket, cast(floor(1000 * ln((t + 1.0::double) * (sum(s) over () + 10000.0::double)
+                   / ((s + 1.0::double) * (sum(t) over () + 10000.0::double)))) as bigint) as gain
+        from sums
+    ), weights as (
+        select row, sum(n) as n_features, sum(n * gain) as weight
+        from counted join known using (feature) join gains using (bucket) where mine group by row
+    ), draws as (
+        select doc_id, len(w) as n_words, cast(coalesce(n_features, 0) as bigint) as n_features,
+               cast(coalesce(weight, 0) as bigint) as weight,
+               cast(concat('0x', sha256('42:' || coalesce(cast(doc_id as varchar), ''))[:8]) as bigint) as h
+        from worded left join weights using (row) where mine
+    ), scored as (
+        select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296.0::double))) as bigint) as score
+        from draws
+    ), ranked as (
+        select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls first, weight, n_features) as r,
+               count(*) filter (n_words >= 20) over () as enough
+        from scored
+    )
+    select doc_id, n_features, weight, score,
+           case when n_words >= 20 and r <= 5 * enough // 100 then r end as rank
+    from ranked
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": EXACT_TOPK,
     "op3_chat_format": _chat_format(),
     "op6_minhash_near_dedup": NEAR_DEDUP,
     "op7_suffix_dedup": SUFFIX_DEDUP,
+    "op12_merkle_manifest": _merkle_manifest(),
+    "op13_resampling": RESAMPLING,
 }

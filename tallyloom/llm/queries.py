@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, htmltext, minhash, pieces, quality, secret_scan, suffixes, topk, toxicity
+from tallyloom.llm import chat, decontaminate, htmltext, merkle, minhash, pieces, quality, resampling
+from tallyloom.llm import secret_scan, suffixes, topk, toxicity
 from tallyloom.llm.tables import bounded, learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +137,36 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its leaf, its proof, and whether a leaf, tampered with in one row
+    of seven, still leads to the root."""
+    docs = table(spark, folder, "documents")
+    fields = {name: F.col(name) for name in merkle.FIELDS}
+    tampers = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    changed = fields | {"n_chars": F.when(tampers, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        merkle.leaf_digest(*fields.values()).alias("leaf"),
+        merkle.leaf_digest(*changed.values()).alias("seen"),
+    )
+    made = merkle.manifest(leaves, "lang", "doc_id", keep=["seen"])
+    made = made.withColumn("folded_root", merkle.folded(F.col("seen"), F.col("steps")))
+    return made.select(
+        "doc_id",
+        *[merkle.hex_text(name).alias(name) for name in ("leaf", "subroot", "root")],
+        merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == merkle.hex_text("root")).alias("verified"),
+    )
+
+
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """The weight of every document towards the benchmark's features, and the rank of those drawn."""
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resampling.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def _in_bounded_session(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return query(bounded(spark), folder)
@@ -157,5 +188,7 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_toxicity,
         op10_secret_scan,
+        op12_merkle_manifest,
+        op13_resampling,
     )
 }
