@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, htmltext, merkle, minhash, pieces, quality, resampling
-from tallyloom.llm import secret_scan, suffixes, topk, toxicity
+from tallyloom.llm import chat, decontaminate, htmltext, langid, merkle, minhash, pieces, quality
+from tallyloom.llm import resampling, secret_scan, suffixes, topk, toxicity
 from tallyloom.llm.tables import bounded, learns, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +137,13 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, by a network trained on rows not held out."""
+    docs = table(spark, folder, "documents")
+    found = langid.predict_languages(docs, langid.fit_languages(docs))
+    return found.select("doc_id", (~langid.may_learn("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its leaf, its proof, and whether a leaf, tampered with in one row
     of seven, still leads to the root."""
@@ -188,6 +195,7 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_toxicity,
         op10_secret_scan,
+        op11_language_id,
         op12_merkle_manifest,
         op13_resampling,
     )
