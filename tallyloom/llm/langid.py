@@ -239,10 +239,16 @@ def fit_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     The ids of the sample may be broadcast, and its windows reach the driver: at most
     LANGUAGE_ROWS * SAMPLE_WINDOWS windows of WINDOW bytes for each language.
     """
-    labelled = docs.filter(may_learn(key) & F.col(lang).isNotNull() & (F.length(text) > 0))
+    labelled = docs.filter(may_learn(key) & F.col(lang).isNotNull())
     ids = labelled.select(F.col(key).alias("_id"), F.col(lang).cast("string").alias("_lang"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", F.lit(SEED)), "_id")
-    picked = ids.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= LANGUAGE_ROWS)
+    # As many rows as there are languages, which the model holds too.
+    sizes = F.broadcast(ids.groupBy(F.col("_lang").alias("_of")).agg(F.count("*").alias("_n")))
+    place = F.xxhash64("_id", F.lit(SEED))
+    # Four times the rows wanted pass by their hash, however many a language has.
+    passes = F.pmod(place, F.lit(1 << 31)) * F.col("_n") < 4 * LANGUAGE_ROWS * (1 << 31)
+    few = ids.join(sizes, F.col("_lang") == F.col("_of")).filter(passes)
+    order = Window.partitionBy("_lang").orderBy(place, "_id")
+    picked = few.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= LANGUAGE_ROWS)
     picked = F.broadcast(picked.select("_id", "_lang").distinct())
     texts = labelled.select(F.col(key).alias("_doc"), F.col(lang).cast("string").alias("_of"), F.col(text).alias("text"))
     sample = texts.join(picked, (F.col("_doc") == F.col("_id")) & (F.col("_of") == F.col("_lang")), "left_semi")
