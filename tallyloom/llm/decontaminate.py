@@ -10,15 +10,16 @@ Every word of every document is hashed; most seeds cannot match, and a bitmap of
 over the benchmark's seeds lets them go before anything is shuffled. What passes meets the
 benchmark's seeds in a join that may be shuffled and split.
 
-Defined cases: null and empty texts contain nothing; an item with fewer words than the
-shortest mask is found only in a document that consists of the same words; repeated items
+Defined cases: null and empty texts contain nothing; an item of three to six words is found
+where all of them stand in a row; one of one or two words, which any text may hold, only in a
+document that consists of the same words; repeated items
 and repeated rows give each link once; rows with a null id are left out of the links; empty
 tables give no links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,13 @@ from tallyloom.llm.arrays import Words, mix, text_chunks, token_alphabet, words
 from tallyloom.llm.bitmaps import BITMAP_BITS, bitmap_of, in_bitmap, probably_in, without
 from tallyloom.llm.tables import stored
 
-# Fixed masks: 1 takes part in the hash, 0 is ignored. Every mask has weight 7.
-MASKS = ("1111111", "110110111", "1101010111")
+# Fixed masks: 1 takes part in the hash, 0 is ignored. Every mask has weight 7. Together
+# they see every stretch of 11 words with one, 12 with two and 15 with three substitutions.
+MASKS = ("1111111", "110110111", "1101010111", "111000011011", "110011000111", "11101111")
+# Items of so many words have a seed of all their words, which every document is searched for.
+SHORT_ITEMS = (3, 4, 5, 6)
 MIN_MATCHES = 10
 MIN_MATCH_SHARE = 0.8
-SUBSTITUTION_COST = 2.0  # no longer decides; the brute-force test reads it
 SEED_BITS = 1 << 22  # half a megabyte, whatever the size of the benchmark
 
 FACTORS = mix(np.arange(31, 31 + 64, dtype=np.uint64)) | np.uint64(1)
@@ -51,34 +54,41 @@ def mask_seeds(hashes: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mix(total)
 
 
-def all_seeds(found: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, place in the text, seed) for each mask, over all texts of a chunk."""
-    for number, mask in enumerate(MASKS):
+def all_seeds(found: Words, own: bool, widths: Iterable[int]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, place in the text, seed, width) over all texts of a chunk, for each mask and
+    each of the widths. A width stands for runs of so many words: of texts of that length only
+    (own), or wherever they stand."""
+    sizes = np.diff(found.bounds)
+    masks = [(mask, number, 0) for number, mask in enumerate(MASKS)]
+    masks += [("1" * width, len(MASKS) + width, width) for width in widths]
+    for mask, number, width in masks:
         seeds = mask_seeds(found.hashes, mask, number)
         at = np.arange(len(seeds))
         text = np.searchsorted(found.bounds, at, side="right") - 1
         inside = at + len(mask) <= found.bounds[text + 1]
-        yield text[inside], (at - found.bounds[text])[inside], seeds[inside]
-    # Texts too short for a mask: one seed of all their words.
-    sizes = np.diff(found.bounds)
-    shortest = min(map(len, MASKS))
-    short = np.flatnonzero((sizes > 0) & (sizes < shortest))
+        if own and width:
+            inside &= sizes[text] == width
+        yield text[inside], (at - found.bounds[text])[inside], seeds[inside], width
+    # Texts shorter still: one seed of all their words.
+    least = min(SHORT_ITEMS)
+    short = np.flatnonzero((sizes > 0) & (sizes < least))
     total = sizes[short].astype(np.uint64)
-    for i in range(shortest - 1):
+    for i in range(least - 1):
         has = sizes[short] > i
         total[has] += found.hashes[found.bounds[short[has]] + i] * FACTORS[i]
-    yield short, np.zeros(len(short), np.int64), mix(total)
+    yield short, np.zeros(len(short), np.int64), mix(total), 0
 
 
-def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
-    """(id, at, seed) of (id, text); with a bitmap, only seeds whose bit is set."""
+def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None, widths: Iterable[int]) -> DataFrame:
+    """(id, at, seed, width) of (id, text); with a bitmap, only seeds whose bit is set."""
+    widths = tuple(widths)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = token_alphabet()
         for batch in source:
             ids = batch.column(0).to_numpy()
             for chunk in text_chunks(batch.column(1)):
-                for text, at, seeds in all_seeds(words(chunk, alphabet)):
+                for text, at, seeds, width in all_seeds(words(chunk, alphabet), bitmap is None, widths):
                     if bitmap is not None:
                         hit = in_bitmap(seeds, bitmap, SEED_BITS)
                         text, at, seeds = text[hit], at[hit], seeds[hit]
@@ -87,11 +97,12 @@ def _seed_rows(rows: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
                             pa.array(ids[chunk.first + text], pa.int64()),
                             pa.array(at, pa.int32()),
                             pa.array(seeds.view(np.int64), pa.int64()),
+                            pa.array(np.full(len(seeds), width, np.int32)),
                         ],
-                        names=["id", "at", "seed"],
+                        names=["id", "at", "seed", "width"],
                     )
 
-    return rows.filter("id is not null").mapInArrow(batches, "id long, at int, seed long")
+    return rows.filter("id is not null").mapInArrow(batches, "id long, at int, seed long, width int")
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
@@ -177,8 +188,10 @@ def contaminations(
     longest stretch there."""
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     benchmark = items.select(F.col(item_key).alias("id"), F.col(item_text).alias("text"))
-    theirs = _seed_rows(benchmark, None)
-    ours = _seed_rows(texts, bitmap_of(theirs, "seed", SEED_BITS))
+    theirs = _seed_rows(benchmark, None, SHORT_ITEMS)
+    # Documents are searched for the lengths that some item has.
+    widths = [row.width for row in theirs.filter("width > 0").select("width").distinct().collect()]
+    ours = _seed_rows(texts, bitmap_of(theirs, "seed", SEED_BITS), sorted(widths)).drop("width")
     theirs = theirs.select("seed", F.col("id").alias("item"), F.col("at").alias("item_at"))
     met = ours.join(theirs, "seed").select(
         F.col("id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("diagonal")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from itertools import combinations
 
 from helpers import documents, edited, prose
 
@@ -15,8 +16,7 @@ def tokens(text):
 
 
 def brute(docs, items):
-    """Every pair on every diagonal, without seeds: what has enough matching words and lies
-    on a run that some mask can see."""
+    """Every pair with a long enough stretch of matching words on any diagonal."""
     out = set()
     for i, text in docs:
         own = tokens(text)
@@ -24,20 +24,12 @@ def brute(docs, items):
             other = tokens(other_text)
             for g in range(-len(other) + 1, len(own)):
                 first, last = max(g, 0), min(g + len(other), len(own))
-                equal = [own[x] == other[x - g] for x in range(first, last)]
-                sums = [0.0]
-                for same in equal:
-                    sums.append(sums[-1] + (1.0 if same else -d.SUBSTITUTION_COST))
-                spans = [(sums[e] - sums[b], e - b, -b) for e in range(1, len(sums)) for b in range(e)]
-                _, size, begin = max(spans)
-                span = (-begin, size - begin)
-                matches = sum(equal[span[0] : span[1]])
-                seen = any(
-                    all(b == "0" or equal[n + k] for k, b in enumerate(mask))
-                    for mask in d.MASKS
-                    for n in range(len(equal) - len(mask) + 1)
-                )
-                if seen and matches and d.enough(matches, span[1] - span[0], len(other)):
+                sums = [0]
+                for x in range(first, last):
+                    sums.append(sums[-1] + (own[x] == other[x - g]))
+                if sums[-1] >= min(d.MIN_MATCHES, len(other)) and any(
+                    d.enough(sums[e] - sums[b], e - b, len(other)) for e in range(1, len(sums)) for b in range(e)
+                ):
                     out.add((i, j))
     return out
 
@@ -65,6 +57,46 @@ def test_equals_comparing_every_diagonal(spark):
     assert len(result) > 10
 
 
+def test_the_masks_see_what_they_are_said_to_see():
+    for n, changes in ((11, 1), (12, 2), (15, 3)):
+        for places in combinations(range(n), changes):
+            equal = [i not in places for i in range(n)]
+            assert any(
+                all(bit == "0" or equal[at + k] for k, bit in enumerate(mask))
+                for mask in d.MASKS
+                for at in range(n - len(mask) + 1)
+            )
+
+
+def test_recall_of_random_substitutions(spark):
+    """Copies at the edge of the tolerance: nothing else is found, and almost all of them are."""
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(16 + i % 30))) for i in range(60)]
+    docs = []
+    for i, (_, text) in enumerate(items):
+        rng, words = random.Random(i), text.split(" ")
+        for k in rng.sample(range(len(words)), len(words) // 5):
+            words[k] = f"other{k}"
+        docs.append((i, " ".join(["before", *words, "after"])))
+    # Every fifth word replaced, at any length.
+    docs += [(100 + i, " ".join(w if k % 5 else "other" for k, w in enumerate(t.split(" ")))) for i, t in items]
+    result, truth = (
+        found(d.contaminations(documents(spark, docs), items_frame(spark, items))),
+        brute(docs, items),
+    )
+    assert result <= truth and len(truth) > 100
+    assert len(result) >= 0.98 * len(truth)
+
+
+def test_short_items_are_found_inside_documents(spark):
+    items = [(1, "one two"), (2, "red green blue"), (3, "a b c d e f"), (4, "Six, words; stand: in a row!")]
+    docs = [
+        (1, "say one two three"), (2, "One. Two?"), (3, "the red, green BLUE flag"), (4, "red green x blue"),
+        (5, "z " * 50 + "a b c d e f"), (6, "a b c d e g"), (7, "six words stand in a row"), (8, "green blue red"),
+    ]
+    result = found(d.contaminations(documents(spark, docs), items_frame(spark, items)))
+    assert result == {(2, 1), (3, 2), (5, 3), (7, 4)}
+
+
 def test_substitutions_are_tolerated_and_strangers_left_alone(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda my ny xi omikron pi"
     words = item.split(" ")
