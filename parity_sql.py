@@ -112,6 +112,20 @@ _CTES = {
     "cell_category_month": """
         select * from cube_category_month
         where category != 'ALL CATEGORIES' and month != 'ALL MONTHS'""",
+    "client_delivery": """
+        select client.* replace ((type_id + n * (client_id % 3)) % 25 as type_id,
+                                 (status_id + n // 2) % 7 as status_id), delivered_at
+        from client, (values (0, timestamp '1995-06-30 08:00'), (1, timestamp '1996-09-15 13:50'),
+                             (2, timestamp '1998-03-01 14:37'), (3, timestamp '2000-01-20 09:05')) d(n, delivered_at)
+        where case n when 0 then client_id % 5 != 4 when 1 then client_id % 2 = 0 or client_id % 5 = 4
+              else client_id % (n + 1) = 0 end""",
+    # A version opens where type or status, all that ever changes, differ from the row before.
+    "client_version": """
+        select * exclude (opens), row_number() over (partition by client_id order by delivered_at) as version,
+               delivered_at as valid_from, lead(delivered_at) over (partition by client_id order by delivered_at) as valid_to
+        from (select *, lag((type_id, status_id)) over (partition by client_id order by delivered_at)
+                        is distinct from (type_id, status_id) as opens from client_delivery)
+        where opens""",
     "kpi": """
         select count(distinct order_id) as orders, count(distinct client_id) as clients,
                cast(sum(quantity) as decimal(38,1)) as units,
@@ -279,6 +293,62 @@ _SELECTS = {
     "top_clients": f"""
         select client_id, client_name, client_type, total_revenue, {_LABEL} from by_client
         order by total_revenue desc, client_id limit 10""",
+    "client_history": """
+        select * exclude (delivered_at, version), cast(version as int) as version,
+               valid_to is null as is_current from client_version""",
+    # Replayed: the last row delivered by that day.
+    "clients_as_of": """
+        select * exclude (delivered_at, n) from (
+            select *, row_number() over (partition by client_id order by delivered_at desc) as n
+            from client_delivery where delivered_at <= timestamp '1999-01-01')
+        where n = 1""",
+    "orders_as_of": """
+        select order_id, o.client_id, order_date, type_id, status_id, valid_from
+        from sales_order o asof left join client_version v
+          on o.client_id = v.client_id and cast(o.order_date as timestamp) >= v.valid_from""",
+    "sales_by_type_then": """
+        select type_name as client_type, count(distinct client_id) as total_clients,
+               count(distinct (client_id, order_id)) as total_orders,
+               cast(sum(quantity) as decimal(38,1)) as total_units_sold,
+               cast(sum(revenue) as decimal(38,3)) as total_revenue
+        from (select s.*, v.type_id from sale s asof left join client_version v
+              on s.client_id = v.client_id and cast(s.order_date as timestamp) >= v.valid_from)
+        left join client_type on type_id = client_type_id group by type_name""",
+    "order_total_mismatches": """
+        select order_id, total_amount, line_total, cast(total_amount - line_total as decimal(38,3)) as difference,
+               coalesce(line_count, 0) as line_count
+        from sales_order full join (
+            select order_id, count(*) as line_count, cast(sum(price_unit * quantity) as decimal(38,3)) as line_total
+            from order_product group by order_id) using (order_id)
+        where total_amount is distinct from line_total""",
+    "ingest_named_files": " union all ".join(
+        f"select '{name}' as table_name, {key} as row_id, if(coalesce({key} % 2 = 0, false), "
+        f"timestamp '2025-03-22 14:30', timestamp '2025-04-22 07:20') as delivered_at from {name}"
+        for name, key in (("product", "product_id"), ("order_product", "order_product_id"))
+    ),
+    "ingest_freshness": """
+        select table_name, newest_delivery, cast(deliveries as bigint) as deliveries, cast(0 as bigint) as unstamped_files,
+               date_diff('minute', newest_delivery, timestamp '2025-04-23 07:20') as age_minutes,
+               coalesce(newest_delivery >= timestamp '2025-03-24 07:20', false) as fresh
+        from (values ('client', timestamp '2025-04-22 07:20', 2), ('client_type', timestamp '2025-03-22 14:30', 1),
+                     ('payment_method', timestamp '2025-04-22 07:20', 1), ('client_status', null, 0), ('orders', null, 0),
+                     ('order_product', null, 0), ('product', null, 0)) t(table_name, newest_delivery, deliveries)""",
+    # Line ids repeat in the data: of equal ones sent at once the greatest row counts.
+    "warehouse_resent": """
+        select month, count(distinct order_id) as total_orders,
+               cast(sum(quantity) as decimal(38,1)) as total_units_sold,
+               cast(sum(revenue) as decimal(38,3)) as total_revenue,
+               cast(cast((2 * sum(mils) + 10 * count(distinct order_id))
+                         // (20 * count(distinct order_id)) as bigint) * 0.01
+                    as decimal(38,2)) as avg_order_value
+        from (select *, row_number() over (partition by order_product_id order by
+                          order_id desc, product_id desc, quantity desc, price_unit desc) as n from sale)
+        where n = 1 group by month""",
+    "warehouse_incremental": """
+        select category, month, count(distinct order_id) as total_orders,
+               cast(sum(quantity) as decimal(38,1)) as total_units_sold,
+               cast(sum(revenue) as decimal(38,3)) as total_revenue
+        from sale join product using (product_id) group by category, month""",
     "ingest_csv_batch": "select * from order_product",
     "ingest_csv_stream": "select * from sales_order",
     **{

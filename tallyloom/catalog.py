@@ -8,6 +8,7 @@ reduced before they meet their orders.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +18,12 @@ from tallyloom.functions.measures import REVENUE, UNITS, line_revenue
 from tallyloom.model import SOURCES, Schemas
 from tallyloom.operators import checks
 from tallyloom.operators.counts import row_counts
-from tallyloom.plans import extracts, marts, rollups, staging, star, warehouse
-from tallyloom.session import scratch_folder, tune
+from tallyloom.plans import extracts, history, incremental, marts, rollups, staging, star, warehouse
+from tallyloom.plans.current import build_current
+from tallyloom.session import kept, scratch_folder, tune
 from tallyloom.sources import benchmark_tables
-from tallyloom.sources.csv_files import FileDrop, accepted, read_delivered, rows_by_file
+from tallyloom.sources.csv_files import REJECTED, FileDrop, accepted, read_delivered, rows_by_file
+from tallyloom.sources.deliveries import delivered_at, delivered_files, freshness
 from tallyloom.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,8 +175,8 @@ def heatmap_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def heatmap_category_month(spark: SparkSession, folder: str) -> DataFrame:
     # The columns depend on the months in the cells. The cells are few but costly, so they
-    # are kept between the two looks at them.
-    cells = cells_category_month(spark, folder).persist()
+    # are stored between the two looks at them.
+    cells = kept(cells_category_month(spark, folder), "cells")
     return extracts.heatmap_category_month(cells, extracts.sold_months(cells))
 
 
@@ -181,6 +184,39 @@ def top_clients(spark: SparkSession, folder: str) -> DataFrame:
     return extracts.top_clients(_by_client(spark, folder))
 
 
+# History
+
+
+def client_history(spark: SparkSession, folder: str) -> DataFrame:
+    return history.client_history(benchmark_tables.client_deliveries(tune(spark), folder))
+
+
+AS_OF_DAY = date(1999, 1, 1)
+
+
+def clients_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Clients as they were on a day between two deliveries."""
+    return history.clients_as_of(client_history(spark, folder), AS_OF_DAY)
+
+
+def orders_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order with the type and status its client had on the day of the order."""
+    (orders,) = _staged(spark, folder, "orders")
+    known = history.sales_as_of(orders, client_history(spark, folder))
+    return known.select("order_id", "client_id", "order_date", "type_id", "status_id", "valid_from")
+
+
+def sales_by_type_then(spark: SparkSession, folder: str) -> DataFrame:
+    (types,) = _staged(spark, folder, "client_type")
+    return history.sales_by_type_then(
+        _order_sales(spark, folder), client_history(spark, folder), types
+    )
+
+
+def order_total_mismatches(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.order_total_mismatches(*_staged(spark, folder, "orders", "order_product"))
+
+
 # Ingest: the test tables are written as CSV by Spark, then loaded back with types. Spark
 # chooses the names of the files it writes, so these queries set their own name pattern.
 
@@ -223,6 +259,111 @@ def _ingest_stream(table: str) -> Query:
     return query
 
 
+DELIVERY_STAMPS = ("2025_22_03_14_30", "2025_22_04_07_20", "2025_23_04_07_20")
+
+
+def _deliver_named(rows: DataFrame, drop: FileDrop, table: str, stamp: str) -> None:
+    """Files with the names deliveries have: Spark writes them, then they are renamed.
+
+    As many names pass through the driver as the rows have partitions.
+    """
+    spark = rows.sparkSession
+    written = scratch_folder(spark, "written")
+    _deliver(rows, written)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(written), hadoop.Path(drop.folder(table))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    parts = [f.getPath() for f in files.listStatus(source) if f.getPath().getName().startswith("part-")]
+    for n, part in enumerate(parts):
+        suffix = f"-{n}" if n else ""
+        if not files.rename(part, hadoop.Path(target, f"{table}__{stamp}{suffix}.csv")):
+            raise OSError(f"{part} was not renamed")
+
+
+def ingest_named_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Products and order lines in one flat folder, in two deliveries named as shops name them:
+    the key of every row and when it was delivered, which the name of its file tells."""
+    base = scratch_folder(spark, "named")
+    drop = FileDrop(f"{base}/delivered", by_table=False)
+    tables = ("product", "order_product")
+    for table, rows in zip(tables, _staged(spark, folder, *tables), strict=True):
+        for stamp, delivery in zip(DELIVERY_STAMPS, _halves(rows), strict=False):
+            _deliver_named(delivery, drop, table, stamp)
+    landing.land(spark, drop, f"{base}/landed", f"{base}/checkpoints", tables)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            landing.landed(spark, f"{base}/landed", table)
+            .filter(F.col(REJECTED).isNull())
+            .select(
+                F.lit(table).alias("table_name"),
+                F.col(SOURCES[table].fieldNames()[0]).alias("row_id"),
+                delivered_at(F.col("source_file")).alias("delivered_at"),
+            )
+            for table in tables
+        ],
+    )
+
+
+def ingest_freshness(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries of lookups and clients: the newest of each table against a limit of a month."""
+    base = scratch_folder(spark, "fresh")
+    drop = FileDrop(f"{base}/delivered")
+    sent = {"client": DELIVERY_STAMPS[:2], "client_type": DELIVERY_STAMPS[:1], "payment_method": DELIVERY_STAMPS[1:2]}
+    for table, stamps in sent.items():
+        (rows,) = _staged(spark, folder, table)
+        for stamp, delivery in zip(stamps, _halves(rows), strict=False):
+            _deliver_named(delivery.coalesce(1), drop, table, stamp)
+    files = delivered_files(spark, drop)
+    return freshness(files, datetime(2025, 4, 23, 7, 20), timedelta(days=30))
+
+
+def warehouse_resent(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly mart of a shop that sends rows again: a third of its orders first with another
+    status and a day too early, then right; all lines twice. What was delivered last counts."""
+    base = scratch_folder(spark, "resent")
+    drop = FileDrop(f"{base}/delivered")
+    schemas = _new_schemas(spark)
+    current = Schemas.prefixed(f"current_{base.rsplit('-', 1)[-1]}")
+    tables = dict(zip(SOURCES, _staged(spark, folder, *SOURCES), strict=True))
+    again = F.col("order_id") % 3 == 0
+    wrong = {
+        "status": F.when(again, "?").otherwise(F.col("status")),
+        "order_date": F.when(again, F.date_sub("order_date", 1)).otherwise(F.col("order_date")),
+    }
+    for table, rows in tables.items():
+        first = rows.withColumns(wrong) if table == "orders" else rows
+        _deliver_named(first, drop, table, DELIVERY_STAMPS[0])
+    _deliver_named(tables["orders"].filter(again), drop, "orders", DELIVERY_STAMPS[1])
+    _deliver_named(tables["order_product"], drop, "order_product", DELIVERY_STAMPS[2])
+    landing.create_raw_tables(spark, f"{base}/landed", schemas)
+    landing.land(spark, drop, f"{base}/landed", f"{base}/checkpoints", schemas=schemas)
+    build_current(spark, schemas, current, ("orders", "order_product"))
+    sales = rollups.order_sales_from_lines(
+        spark.table(f"{current.raw}.orders"), spark.table(f"{current.raw}.order_product")
+    )
+    return marts.mart_monthly_sales(sales)
+
+
+def warehouse_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales by category and month, built in three steps: most orders; then those held back from a
+    quarter; then orders that had been dated a month too late. Only touched months are computed."""
+    schemas = _new_schemas(spark)
+    orders, lines, product = _staged(spark, folder, "orders", "order_product", "product")
+    held = F.col("order_date").between(date(1998, 3, 1), date(1998, 5, 31)) & (F.col("order_id") % 2 == 0)
+    late = F.col("order_date").between(date(2000, 1, 1), date(2000, 1, 31)) & (F.col("order_id") % 3 == 0)
+    dated = orders.withColumn("order_date", F.when(late, F.add_months("order_date", 1)).otherwise(F.col("order_date")))
+    steps = [
+        (dated.filter(~held), dated.filter(~held)),
+        (dated.filter(held), dated),
+        (orders.filter(late), orders),
+    ]
+    for changed, now in steps:
+        incremental.refresh(changed, now, lines, product, schemas)
+    return incremental.stored(spark, incremental.BY_CATEGORY, schemas)
+
+
 DELIVERIES = ("first", "second")
 
 
@@ -245,14 +386,19 @@ def ingest_file_listing(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def warehouse_build(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole build over stored raw tables, in schemas of its own: rows, units and revenue
-    of every gold table as stored."""
-    schemas = Schemas.prefixed("rebuilt")
+def _new_schemas(spark: SparkSession) -> Schemas:
+    """Schemas no other run has, in a folder of their own; nothing that exists is touched."""
     base = scratch_folder(spark, "warehouse")
+    schemas = Schemas.prefixed(f"rebuilt_{base.rsplit('-', 1)[-1]}")
     for name in (schemas.raw, schemas.silver, schemas.gold, schemas.work):
-        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
         spark.sql(f"CREATE SCHEMA {name} LOCATION '{base}/{name}'")
+    return schemas
+
+
+def warehouse_build(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole build over stored raw tables, in new schemas of its own: rows, units and revenue
+    of every gold table as stored."""
+    schemas = _new_schemas(spark)
     for table, rows in benchmark_tables.load(tune(spark), folder).items():
         rows.write.saveAsTable(f"{schemas.raw}.{table}")
     warehouse.build(spark, schemas=schemas)
@@ -311,10 +457,19 @@ QUERIES: dict[str, Query] = {
     "heatmap_series": heatmap_series,
     "heatmap_category_month": heatmap_category_month,
     "top_clients": top_clients,
+    "client_history": client_history,
+    "clients_as_of": clients_as_of,
+    "orders_as_of": orders_as_of,
+    "sales_by_type_then": sales_by_type_then,
+    "order_total_mismatches": order_total_mismatches,
     "ingest_csv_batch": _ingest_batch("order_product"),
     "ingest_csv_stream": _ingest_stream("orders"),
     **{f"ingest_csv_batch_{t}": _ingest_batch(t) for t in SOURCES if t != "order_product"},
     **{f"ingest_csv_stream_{t}": _ingest_stream(t) for t in SOURCES if t != "orders"},
     "ingest_file_listing": ingest_file_listing,
+    "ingest_named_files": ingest_named_files,
+    "ingest_freshness": ingest_freshness,
     "warehouse_build": warehouse_build,
+    "warehouse_resent": warehouse_resent,
+    "warehouse_incremental": warehouse_incremental,
 }

@@ -85,6 +85,7 @@ DESCRIPTIONS: dict[str, str] = {
     "stg_product": "Product catalog as delivered",
     "stg_payment_method": "Lookup of payment methods",
     "dim_client": "Clients with type and status names; email, phone and address masked",
+    "dim_client_history": "Every version of a client with the interval it held in; contact data masked",
     "dim_product": "Products with category and list price",
     "dim_payment": "Payment methods",
     "fact_orders": "Order lines with the attributes of their order; total_amount repeats",
@@ -96,6 +97,9 @@ DESCRIPTIONS: dict[str, str] = {
     "mart_sales_by_client": "Orders, units, revenue and order date range per client",
     "mart_cube_category_month": "Sales by category and month with all subtotals",
     "mart_cube_payment_status": "Sales by payment method and order status with all subtotals",
+    "monthly_fact_orders": "Work table: order lines by month, rewritten month by month",
+    "monthly_sales": "mart_monthly_sales, stored and refreshed month by month",
+    "monthly_category_sales": "Sales by category and month, stored and refreshed month by month",
 }
 
 # Primary key of every tested relation: each must be unique and not null.

@@ -8,9 +8,35 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.measures import REVENUE, line_revenue
 from tallyloom.model import FACT, FOREIGN_KEYS, PRIMARY_KEYS, ForeignKey
 
 
+def order_total_mismatches(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders whose recorded total is not the sum of their lines, with both sums.
+
+    Lines are added up before the join, so it sees one row an order and side. An order without
+    lines, or without a total, is listed with NULL for what is missing; so is one whose
+    lines have no order. Orders that occur more than once are each compared. Lines and orders
+    without an id are left to the not-null checks.
+    """
+    sums = (
+        lines.filter(F.col("order_id").isNotNull())
+        .groupBy("order_id")
+        .agg(F.count("*").alias("line_count"), F.sum(line_revenue()).cast(REVENUE).alias("line_total"))
+    )
+    recorded = orders.filter(F.col("order_id").isNotNull()).select("order_id", "total_amount")
+    both = recorded.join(sums, "order_id", "full")
+    total = F.col("total_amount").cast(REVENUE)
+    return both.filter(~total.eqNullSafe(F.col("line_total"))).select(
+        "order_id",
+        "total_amount",
+        "line_total",
+        (total - F.col("line_total")).cast(REVENUE).alias("difference"),
+        F.coalesce("line_count", F.lit(0)).alias("line_count"),
+    )
+
+
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     """Key values that occur more than once. Two NULL keys count as a duplicate, too."""
     return df.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("occurrences")).filter(

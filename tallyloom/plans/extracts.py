@@ -85,10 +85,14 @@ def monthly_sales_series(monthly: DataFrame) -> DataFrame:
 
 
 def category_revenue_share(by_category: DataFrame) -> DataFrame:
-    """Revenue per category and its percentage of the revenue of all categories."""
-    whole = by_category.agg(F.sum("total_revenue")).scalar()
-    share = share_percent(F.col("total_revenue"), whole).alias("share_pct")
-    return _labelled(by_category.select("category", "total_revenue", share))
+    """Revenue per category and its percentage of the revenue of all categories.
+
+    The total is a window over the mart, which is one row a category: the plan holds the mart once.
+    """
+    whole = F.sum("total_revenue").over(Window.partitionBy()).alias("whole")
+    totals = by_category.select("category", "total_revenue", whole)
+    share = share_percent(F.col("total_revenue"), F.col("whole")).alias("share_pct")
+    return _labelled(totals.select("category", "total_revenue", share))
 
 
 def client_type_revenue(by_client_type: DataFrame) -> DataFrame:

@@ -54,26 +54,29 @@ def _folder(spark: SparkSession, schema: str) -> str:
     return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location(spark: SparkSession, table: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     return details.filter("col_name = 'Location'").first().data_type
 
 
-def _store(name: str, df: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
-    """Replace a gold table and return it as stored.
+def store(
+    name: str, df: DataFrame, schemas: Schemas = SCHEMAS, schema: str | None = None
+) -> DataFrame:
+    """Replace a gold table, or one of another schema, and return it as stored.
 
     The new rows go to whichever of two folders the table does not use now, and the table
     is pointed at them when they are complete. Until then readers see the old rows; a build
     that dies half way leaves them in place, and the next one overwrites what it left.
     """
     spark = df.sparkSession
-    table = f"{schemas.gold}.{name}"
+    schema = schema or schemas.gold
+    table = f"{schema}.{name}"
     for column, comment in key_comments(name).items():
         df = df.withMetadata(column, {"comment": comment})
 
     stored = spark.catalog.tableExists(table)
-    used = _location(spark, table) if stored else ""
-    folder = f"{_folder(spark, schemas.gold)}/{name}/{'b' if used.endswith('/a') else 'a'}"
+    used = location(spark, table) if stored else ""
+    folder = f"{_folder(spark, schema)}/{name}/{'b' if used.endswith('/a') else 'a'}"
     df.write.mode("overwrite").parquet(folder)
 
     if stored and spark.table(table).schema.simpleString() != df.schema.simpleString():
@@ -84,7 +87,7 @@ def _store(name: str, df: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
         spark.catalog.refreshTable(table)
     else:
         spark.catalog.createTable(
-            table, path=folder, source="parquet", schema=df.schema, description=DESCRIPTIONS[name]
+            table, path=folder, source="parquet", schema=df.schema, description=DESCRIPTIONS.get(name, "")
         )
     return spark.table(table)
 
@@ -92,7 +95,7 @@ def _store(name: str, df: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
 def _store_all(tables: dict[str, DataFrame], schemas: Schemas) -> dict[str, DataFrame]:
     """Store tables that do not read each other side by side, so they share the cluster."""
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        stored = pool.map(lambda item: _store(*item, schemas), tables.items())
+        stored = pool.map(lambda item: store(*item, schemas), tables.items())
         return dict(zip(tables, stored, strict=True))
 
 

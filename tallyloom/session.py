@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # forceOptimizeSkewedJoin: without it a hot order id is not split when the step
 # after the join reuses the join's partitioning; with it the extra shuffle is paid
@@ -37,3 +37,14 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tallyloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as they are now, written to the shared folder and read back.
+
+    For a small result that is looked at more than once: unlike a cache it is not mistaken
+    for the result of a later query, and no executor has to live on for it.
+    """
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -117,6 +117,29 @@ def _payment_method(read: Callable[[str], DataFrame]) -> DataFrame:
     )
 
 
+# Stamps of four deliveries of clients, as in file names: the day before the month.
+CLIENT_DELIVERIES = ("1995_30_06_08_00", "1996_15_09_13_50", "1998_01_03_14_37", "2000_20_01_09_05")
+
+
+def client_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """Clients as sent over time, with ``delivered_at``: the first delivery has most of them, a
+    later one every second, third or fourth, some with another type or status, some unchanged."""
+    clients = load(spark, folder, ["client"])["client"]
+    key, n = F.col("client_id"), F.col("n")
+    sends = (
+        F.when(n == 0, key % 5 != 4).when(n == 1, (key % 2 == 0) | (key % 5 == 4)).otherwise(key % (n + 1) == 0)
+    )
+    stamp = F.element_at(F.array(*map(F.lit, CLIENT_DELIVERIES)), n + 1)
+    sent = clients.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(3)))).filter(sends)
+    return sent.withColumns(
+        {
+            "type_id": (F.col("type_id") + n * (key % 3)) % 25,
+            "status_id": (F.col("status_id") + F.floor(n / 2)) % 7,
+            "delivered_at": F.to_timestamp_ntz(stamp, F.lit("yyyy_dd_MM_HH_mm")),
+        }
+    ).drop("n")
+
+
 _DERIVATIONS: dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = {
     "client": _client,
     "client_status": _client_status,

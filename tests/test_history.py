@@ -1,0 +1,178 @@
+"""Versions of clients, the state of a day, and the as-of join, against replaying deliveries."""
+
+from __future__ import annotations
+
+import random
+import re
+from datetime import date, datetime, timedelta
+
+import pytest
+from fixtures import client, rows_of
+from pyspark.sql import functions as F
+
+from tallyloom.model import SOURCES
+from tallyloom.operators.asof import asof_join
+from tallyloom.operators.versions import as_of, latest_rows, version_history
+from tallyloom.plans import history
+from tallyloom.plans.warehouse import gold_table
+from tallyloom.sources.csv_files import FileDrop
+from tallyloom.streaming import landing
+
+START = datetime(2024, 1, 1)
+SENT = "key long, a string, b long, at timestamp_ntz"
+
+
+def moment(day: float) -> datetime:
+    return START + timedelta(days=day)
+
+
+def random_deliveries(seed: int) -> list[tuple]:
+    rng = random.Random(seed)
+    return [
+        (rng.choice([None, 1, 2, 3, 4]), rng.choice([None, "x", "y"]), rng.choice([None, 1]), moment(rng.randrange(8)))
+        for _ in range(60)
+    ]
+
+
+def replayed(rows, until=None) -> dict:
+    """The last row of each key; of one delivery the greatest, NULL least."""
+    state = {}
+    order = sorted(rows, key=lambda r: (r[3], r[1] is not None, r[1] or "", r[2] is not None, r[2] or 0))
+    for key, a, b, at in order:
+        if key is not None and (until is None or at <= until):
+            state[key] = (a, b)
+    return state
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_day_equals_replaying_the_deliveries(spark, seed):
+    rows = random_deliveries(seed)
+    made = version_history(spark.createDataFrame(rows, SENT), "key", "at", ["key", "a", "b"]).cache()
+    for day in (-1, 0, 2.5, 3, 7, 90):
+        held = {r.key: (r.a, r.b) for r in as_of(made, moment(day)).collect()}
+        assert held == replayed(rows, moment(day))
+    assert {r.key: (r.a, r.b) for r in made.filter("is_current").collect()} == replayed(rows)
+    made.unpersist()
+
+
+def test_intervals_neither_overlap_nor_leave_a_gap(spark):
+    rows = random_deliveries(9)
+    made = version_history(spark.createDataFrame(rows, SENT), "key", "at", ["key", "a", "b"])
+    by_key: dict = {}
+    for r in sorted(made.collect(), key=lambda r: (r.key, r.version)):
+        by_key.setdefault(r.key, []).append(r)
+    assert set(by_key) == {1, 2, 3, 4}
+    for versions in by_key.values():
+        assert [v.version for v in versions] == list(range(1, len(versions) + 1))
+        for v, following in zip(versions, versions[1:], strict=False):
+            assert v.valid_to == following.valid_from > v.valid_from and not v.is_current
+            assert (v.a, v.b) != (following.a, following.b)
+        assert versions[-1].valid_to is None and versions[-1].is_current
+
+
+def test_sent_again_unchanged_or_late_opens_no_wrong_version(spark):
+    rows = [(1, "x", 1, moment(0)), (1, "x", 1, moment(1)), (1, "y", 1, moment(2)), (1, "y", 1, moment(2))]
+    late = [(1, "z", 1, moment(1.5)), (2, None, None, moment(3)), (2, None, None, None), (None, "x", 1, moment(1))]
+    made = version_history(spark.createDataFrame(rows, SENT), "key", "at", ["key", "a", "b"])
+    assert [(r.a, r.valid_from, r.valid_to) for r in made.collect()] == [
+        ("x", moment(0), moment(2)), ("y", moment(2), None)
+    ]
+    made = version_history(spark.createDataFrame(rows + late, SENT), "key", "at", ["key", "a", "b"])
+    assert rows_of(made, "key", "a", "version", "valid_from") == [
+        (1, "x", 1, moment(0)), (1, "y", 3, moment(2)), (1, "z", 2, moment(1.5)), (2, None, 1, moment(3))
+    ]
+    none = spark.createDataFrame([], SENT)
+    assert version_history(none, "key", "at", ["key", "a", "b"]).collect() == []
+
+
+def test_latest_rows_ties_and_keyless_rows(spark):
+    rows = [(1, "x", 1, moment(1)), (1, "y", None, moment(1)), (1, "z", 1, None), (None, "x", 1, moment(0)), (None, "x", 1, moment(0))]
+    frame = spark.createDataFrame(rows, SENT)
+    for parts in (1, 4):
+        latest = latest_rows(frame.repartition(parts), "key", ["at"], ["key", "a", "b"])
+        assert rows_of(latest) == [(None, "x", 1), (None, "x", 1), (1, "y", None)]
+
+
+ASKED = "key long, day date, n long"
+
+
+def plain_asof(asked, rows):
+    out = []
+    for key, day, n in asked:
+        when = day and datetime(day.year, day.month, day.day)
+        known = [r for r in rows if key is not None and when and r[0] == key and r[3] and r[3] <= when]
+        best = max(known, key=lambda r: (r[3], r[1] is not None, r[1] or "", r[2] is not None, r[2] or 0), default=None)
+        out.append((key, day, n, best and best[1], best and best[3]))
+    return out
+
+
+@pytest.mark.parametrize("span", ["week", "month", "year"])
+def test_asof_join_equals_looking_every_row_up(spark, span):
+    rng = random.Random(3)
+    rows = [(rng.randrange(6), rng.choice("xyz"), rng.randrange(2), moment(rng.randrange(-400, 400) / 2)) for _ in range(150)]
+    rows += [(None, "x", 1, moment(0)), (1, "x", 1, None), (1, None, None, moment(250))]
+    asked = [(rng.randrange(8), moment(rng.randrange(-250, 300)).date(), n) for n in range(400)]
+    asked += [(None, date(2024, 1, 1), 1), (1, None, 2), asked[0], asked[0]]
+    result = asof_join(
+        spark.createDataFrame(asked, ASKED),
+        spark.createDataFrame(rows, SENT).withColumnRenamed("at", "since"),
+        "key", "day", "since", ["a", "since"], span=span,
+    )
+    assert result.columns == ["key", "day", "n", "a", "since"]
+    assert sorted(map(str, map(tuple, result.collect()))) == sorted(map(str, plain_asof(asked, rows)))
+
+
+def test_asof_join_inner_and_empty_sides(spark):
+    asked = spark.createDataFrame([(1, date(2024, 1, 5), 1), (2, date(2024, 1, 5), 2)], ASKED)
+    known = spark.createDataFrame([(1, "x", 1, moment(0))], SENT)
+    joined = asof_join(asked, known, "key", "day", "at", ["a"], how="inner")
+    assert rows_of(joined) == [(1, date(2024, 1, 5), 1, "x")]
+    assert asof_join(asked, known.limit(0), "key", "day", "at", ["a"]).count() == 2
+    assert asof_join(asked.limit(0), known, "key", "day", "at", ["a"]).collect() == []
+
+
+def test_asof_join_asks_once_for_a_hot_key_and_makes_no_pairs(spark):
+    """Half of all rows have one key: windows see its days, not its rows."""
+    asked = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("key"),
+        F.date_add(F.lit(START.date()), (F.col("id") % 50).cast("int")).alias("day"),
+        F.col("id").alias("n"),
+    )
+    known = spark.createDataFrame([(0, str(d), d, moment(d)) for d in range(0, 50, 7)], SENT)
+    result = asof_join(asked, known, "key", "day", "at", ["b"])
+    assert result.filter("key = 0 and b <> floor(datediff(day, date'2024-01-01') / 7) * 7").isEmpty()
+    assert result.count() == 20_000
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    # The number of the row, which no moment has, never reaches a window.
+    assert not re.search(r"\bn#", plan[plan.index("Window") :].split("Aggregate")[0])
+    assert "Cartesian" not in plan and "NestedLoop" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_of_landed_deliveries_is_stored_masked(spark, tmp_path):
+    drop = FileDrop(str(tmp_path / "in"))
+    folder = tmp_path / "in" / "client"
+    folder.mkdir(parents=True)
+
+    def deliver(stamp, *rows):
+        lines = [",".join("NULL" if v is None else str(v) for v in row) for row in rows]
+        (folder / f"client__{stamp}.csv").write_text("\n".join(["h", *lines]) + "\n")
+
+    landed, checkpoints = str(tmp_path / "landed"), str(tmp_path / "checkpoints")
+    # Loaded in the wrong order; the day stands before the month.
+    deliver("2025_22_04_14_37", client(1, type_id=2), client(3))
+    landing.land(spark, drop, landed, checkpoints, ["client"])
+    deliver("2025_05_03_13_50", client(1), client(2), (None, *client(9)[1:]), ("bad", *client(9)[1:]))
+    landing.land(spark, drop, landed, checkpoints, ["client"])
+    rows = landing.landed(spark, landed, "client")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS hand_on_output")
+    try:
+        history.build_history(spark, rows)
+        stored = gold_table(spark, "dim_client_history")
+        first, second = datetime(2025, 3, 5, 13, 50), datetime(2025, 4, 22, 14, 37)
+        assert rows_of(stored, "client_id", "type_id", "valid_from", "valid_to") == [
+            (1, 1, first, second), (1, 2, second, None), (2, 1, first, None), (3, 1, second, None)
+        ]
+        assert {r.phone_number for r in stored.collect()} == {"(***) ***-0001"}
+        assert set(SOURCES["client"].fieldNames()) < set(stored.columns)
+    finally:
+        spark.sql("DROP SCHEMA hand_on_output CASCADE")

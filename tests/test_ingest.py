@@ -501,7 +501,7 @@ def test_gold_table_follows_a_changed_schema(spark, tmp_path, fresh_catalog):
     load_delivery(spark, tmp_path)
     warehouse.build(spark)
     old = warehouse.gold_table(spark, "dim_payment")
-    warehouse._store("dim_payment", old.withColumn("note", old.payment_method))
+    warehouse.store("dim_payment", old.withColumn("note", old.payment_method))
     assert warehouse.gold_table(spark, "dim_payment").columns[-1] == "note"
 
 
