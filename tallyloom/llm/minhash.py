@@ -10,11 +10,17 @@ A bucket yields a star, not all its pairs: every member is compared with the mem
 buckets are the fullest over all bands, since the text the others were made from agrees
 with more of them than they do with each other. Comparisons are exact, on whole sets.
 After the links found are joined to components, the centres are set aside, for they have met
-their whole buckets, and every bucket that still holds several components yields further
-stars, more in each round. It ends bucket by bucket, when no two members of different
-components are left that have not been compared. Pairs whose sizes, or whose parities of
-shingles by residue, prove them unlike are not compared on sets: the number of parities in
-which two sets differ is at most the number of shingles only one of them has.
+their whole buckets. What is left of buckets that still hold several components is gone through
+once more, so that no two members of different components stay uncompared: in buckets of
+few members by a join, in larger ones by blocks of bounded size. A block holds whole
+components, or a part of one too large for it; two blocks meet in one task, unless they
+are parts of one component, as bit vectors, of which only pairs that may be similar come out.
+So a bucket full of copies that are linked already costs one pass over it, and one of members
+that are all unlike costs operations on bits, not rows.
+
+Pairs whose sizes, or whose parities of shingles by residue, prove them unlike are not
+compared on sets: the number of parities in which two sets differ is at most the number of
+shingles only one of them has.
 
 A pair at similarity s agrees on a band with probability s**4; at 0.75 it shares none of 40
 bands with probability 0.68**40, about 2e-7, and 12.7 bands on average.
@@ -22,7 +28,8 @@ bands with probability 0.68**40, about 2e-7, and 12.7 bands on average.
 Defined cases: null and empty texts, and texts without words, have no shingles and are
 linked with nothing; a text of fewer than five words is one shingle; repeated rows of one
 doc_id are one document per row, linked to each other; a row without an id is placed like any
-other but names no component; an empty table gives no rows. A
+other but names no component; different texts under one doc_id are each linked by what they
+hold, and what is named after one of them is named alike; an empty table gives no rows. A
 64-bit hash stands for a shingle, and two 64-bit sums for a set.
 """
 
@@ -32,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import Chunk, mix, text_chunks, word_alphabet, words
@@ -45,7 +52,8 @@ MIN_SIMILARITY_PERCENT = 75
 BANDS, BAND_ROWS = 40, 4
 BINS = BANDS * BAND_ROWS
 MEMBERS_A_BLOCK = 256
-CENTRES_MORE = 4  # the factor by which a mixed bucket's centres grow from round to round
+SMALL_BUCKET = 32  # members of a mixed bucket whose pairs are joined
+BLOCK_MEMBERS = 1024
 PARITY_LONGS, BRIEF_LONGS = 32, 8
 
 WORD_FACTORS = mix(np.arange(11, 11 + SHINGLE_WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -207,7 +215,8 @@ def confirmed(edges: DataFrame, docs: DataFrame) -> DataFrame:
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = word_alphabet()
-        mine = np.zeros(0, np.uint64)
+        mine: list[np.ndarray] = []  # one set for each text under the centre's id
+        last = True
         for batch in rows:
             centre, member = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             similar = np.zeros(len(centre), bool)
@@ -215,12 +224,9 @@ def confirmed(edges: DataFrame, docs: DataFrame) -> DataFrame:
             for chunk in text_chunks(batch.column(3)):
                 for other in shingle_sets(chunk, alphabet):
                     if member[row] is None:
-                        mine = other
-                    else:
-                        at = np.searchsorted(mine, other)
-                        both = int((mine[np.minimum(at, len(mine) - 1)] == other).sum())
-                        union = len(mine) + len(other) - both
-                        similar[row] = 100 * both >= MIN_SIMILARITY_PERCENT * union
+                        mine = [other] if last else [*mine, other]
+                    last = member[row] is not None
+                    similar[row] = last and any(_alike(own, other) for own in mine)
                     row += 1
             keep = pa.array(similar)
             yield pa.RecordBatch.from_arrays(
@@ -230,6 +236,122 @@ def confirmed(edges: DataFrame, docs: DataFrame) -> DataFrame:
     return streams.mapInArrow(batches, "a long, b long")
 
 
+def _alike(own: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if not len(own) or not len(other):
+        return False
+    at = np.searchsorted(own, other)
+    both = int((own[np.minimum(at, len(own) - 1)] == other).sum())
+    return 100 * both >= MIN_SIMILARITY_PERCENT * (len(own) + len(other) - both)
+
+
+def _pairs_of_blocks(members: pa.Table) -> pa.Table:
+    """Pairs of (rep, component, words, odd, side) that may be similar: members of different
+    components, of both sides, or any two if there is one side only."""
+    rep = members["rep"].to_numpy()
+    component = members["component"].to_numpy()
+    size = members["words"].to_numpy()
+    odd = members["odd"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, PARITY_LONGS)
+    brief = np.bitwise_xor.reduce(odd.reshape(len(odd), -1, BRIEF_LONGS), axis=1)
+    side = members["side"].to_numpy()
+    one, other = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    least, found = MIN_SIMILARITY_PERCENT, []
+    for first in range(0, len(one), 64):
+        i = one[first : first + 64, None]
+        sizes = size[i] + size[other]
+        near = (component[i] != component[other]) & (
+            100 * np.minimum(size[i], size[other]) >= least * np.maximum(size[i], size[other])
+        )
+        differ = np.bitwise_count(brief[i] ^ brief[other]).sum(axis=2, dtype=np.int64)
+        near &= (100 + least) * (sizes - differ) >= 2 * least * sizes
+        a, b = np.nonzero(near)
+        a, b = one[first + a], other[b]
+        differ = np.bitwise_count(odd[a] ^ odd[b]).sum(axis=1, dtype=np.int64)
+        both = size[a] + size[b]
+        close = (100 + least) * (both - differ) >= 2 * least * both
+        found.append(np.column_stack([rep[a[close]], rep[b[close]]]))
+    pairs = np.sort(np.concatenate(found), axis=1)
+    pairs = np.unique(pairs[pairs[:, 0] < pairs[:, 1]], axis=0)
+    return pa.table({"x": pa.array(pairs[:, 0]), "y": pa.array(pairs[:, 1])})
+
+
+def _rest_of_buckets(placed: DataFrame, outlines: DataFrame) -> DataFrame:
+    """(x, y, crowd) of all pairs that share a bucket of (key, rep, component, crowd), are in
+    different components and may be similar."""
+    outlined = placed.filter(F.col("crowd") <= SMALL_BUCKET).join(outlines, "rep")
+    others = outlined.select(
+        "key",
+        F.col("rep").alias("other"),
+        F.col("component").alias("other_component"),
+        *[F.col(name).alias(f"other_{name}") for name in ("words", "odd", "brief")],
+    )
+    joined = (
+        outlined.join(others, "key")
+        .filter("rep < other and component <> other_component")
+        .filter(_may_be_similar("other"))
+        .select(F.col("rep").alias("x"), F.col("other").alias("y"), "crowd")
+    )
+
+    # Components of a large bucket: those that fill a block are parted, the others share blocks.
+    large = placed.filter(F.col("crowd") > SMALL_BUCKET)
+    shares = large.groupBy("key", "component").agg(F.count("*").alias("share"))
+    alone = F.col("share") > BLOCK_MEMBERS
+    pooled = shares.groupBy("key").agg(F.sum(F.when(~alone, F.col("share"))).alias("pool"))
+    dealt = large.join(shares, ["key", "component"]).join(pooled, "key")
+
+    def part(column: str, members: Column) -> Column:
+        blocks = F.greatest(F.ceil(members / BLOCK_MEMBERS), F.lit(1)).cast("long")
+        return F.pmod(F.xxhash64(column), blocks)
+
+    block = F.when(
+        alone, F.struct(F.col("component").alias("whole"), part("rep", F.col("share")).alias("part"))
+    ).otherwise(
+        F.struct(F.lit(None).cast("long").alias("whole"), part("component", F.coalesce("pool", F.lit(0))).alias("part"))
+    )
+    dealt = dealt.select("key", "rep", "component", "crowd", block.alias("block"))
+    blocks = dealt.groupBy("key").agg(F.collect_set("block").alias("blocks"))
+    dealt = dealt.join(outlines.select("rep", "words", "odd"), "rep").join(blocks, "key")
+    # Parts of one component do not meet; a block without such a one meets itself, too.
+    meets = F.filter("blocks", lambda b: b["whole"].isNull() | ~b["whole"].eqNullSafe(F.col("block.whole")))
+    met = dealt.withColumn("other", F.explode(meets))
+    met = met.select(
+        "key",
+        F.least("block", "other").alias("first"),
+        F.greatest("block", "other").alias("second"),
+        "rep",
+        "component",
+        "words",
+        "odd",
+        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
+        "crowd",
+    )
+    crowd = large.groupBy("rep").agg(F.max("crowd").alias("crowd"))
+    compared = met.groupBy("key", "first", "second").applyInArrow(
+        lambda _, table: _pairs_of_blocks(table), "x long, y long"
+    )
+    compared = compared.join(crowd.withColumnRenamed("rep", "x"), "x").select("x", "y", "crowd")
+    return joined.unionByName(compared).groupBy("x", "y").agg(F.max("crowd").alias("crowd"))
+
+
+def _stars(placed: DataFrame, outlines: DataFrame) -> DataFrame:
+    """(x, y, crowd, centre) of each bucket's first member with each other one that may be similar,
+    out of (key, rep, component, top, crowd)."""
+    outlined = placed.join(outlines, "rep")
+    centres = outlined.filter("rep = top").select(
+        "key",
+        F.col("rep").alias("centre"),
+        F.col("component").alias("centre_component"),
+        *[F.col(name).alias(f"centre_{name}") for name in ("words", "odd", "brief")],
+    )
+    return (
+        outlined.join(centres, "key")
+        .filter("component <> centre_component and rep <> top")
+        .filter(_may_be_similar("centre"))
+        .groupBy(F.least("centre", "rep").alias("x"), F.greatest("centre", "rep").alias("y"))
+        .agg(F.max("crowd").alias("crowd"), F.min("centre").alias("centre"))
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_shingles, component): each document's set size and the smallest document
     reachable over links of similarity of at least 0.75."""
@@ -239,6 +361,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # Equal sets are one class, under its smallest document.
     sets = made.filter("n > 0 and doc is not null").groupBy("n", "low", "high")
     classes = stored(sets.agg(F.min("doc").alias("rep")), "classes")
+    reps = classes.select("rep").distinct()
 
     # Buckets of one class lead to no comparison.
     rows = made.filter("doc is not null").select("doc", "low", F.explode("bands").alias("key"))
@@ -259,66 +382,40 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = stored(texts, "candidates")
 
     outlines = stored(_outlines(texts), "outlines").withColumnRenamed("doc", "rep")
-    open_rows = crowd.select("key", "rep", "weight")
-    links = None
-    tested = None
-    found = classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
-    turn = 0
-    while True:
-        # What is left of the buckets that still hold several components.
-        placed = open_rows.join(found.withColumnRenamed("node", "rep"), "rep")
-        if turn == 0:
-            draw = F.col("weight")
-        else:
-            draw = F.xxhash64("rep", "key", F.lit(turn))
-        placed = placed.withColumn("draw", draw)
+    links, found = None, reps.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
+    for stars in (True, False):
+        placed = crowd.join(found.withColumnRenamed("node", "rep"), "rep")
         mixed = placed.groupBy("key").agg(
-            F.max(F.struct("draw", (-F.col("rep")).alias("r"))).alias("top"),
+            F.max(F.struct("weight", (-F.col("rep")).alias("r"))).alias("top"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
             F.count("*").alias("crowd"),
         )
         mixed = mixed.filter("low < high").select("key", (-F.col("top.r")).alias("top"), "crowd")
-        # The first of each draw is a centre, and in later rounds about CENTRES_MORE**turn others.
-        is_centre = F.col("rep") == F.col("top")
-        if turn:
-            is_centre |= F.pmod("draw", F.col("crowd")) < CENTRES_MORE**turn - 1
-        placed = placed.join(mixed, "key").withColumn("is_centre", is_centre).drop("draw", "top")
-        placed = stored(placed, "open-buckets")
-        if placed.isEmpty():
-            break
-        outlined = placed.join(outlines, "rep")
-        centres = outlined.filter("is_centre").select(
-            "key",
-            F.col("rep").alias("centre"),
-            F.col("component").alias("centre_component"),
-            *[F.col(name).alias(f"centre_{name}") for name in ("words", "odd", "brief")],
-        )
-        edges = (
-            outlined.join(centres, "key")
-            .filter("component <> centre_component and (not is_centre or centre < rep)")
-            .filter(_may_be_similar("centre"))
-            .groupBy(F.least("centre", "rep").alias("x"), F.greatest("centre", "rep").alias("y"))
-            .agg(F.max("crowd").alias("crowd"), F.min("centre").alias("centre"))
-        )
-        if tested is not None:
-            edges = edges.join(tested, ["x", "y"], "left_anti")
-        edges = stored(edges, "edges")
+        placed = placed.join(mixed, "key")
+        if stars:
+            edges = stored(_stars(placed, outlines), "edges")
+            tested = edges.select("x", "y")
+            # A centre has met all members of its bucket, whatever component they are in.
+            met = placed.filter("rep = top").select("key", "rep")
+        else:
+            placed = placed.select("key", "rep", "component", "crowd")
+            edges = _rest_of_buckets(stored(placed, "open-buckets"), outlines)
+            edges = stored(edges.join(tested, ["x", "y"], "left_anti"), "edges")
+            edges = edges.withColumn("centre", F.col("x"))
         ends = edges.select(
             "centre", F.when(F.col("centre") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("member"), "crowd"
         )
         new = stored(confirmed(ends, texts), "confirmed")
-        tested = edges.select("x", "y") if tested is None else tested.unionByName(edges.select("x", "y"))
-        # A centre has met all members of its bucket, whatever component they are in.
-        open_rows = placed.filter("not is_centre").select("key", "rep", "weight")
+        if stars:
+            crowd = stored(crowd.join(met, ["key", "rep"], "left_anti"), "open-buckets")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             linked = components(links)
-            found = classes.join(linked, classes.rep == linked.node, "left").select(
+            found = reps.join(linked, reps.rep == linked.node, "left").select(
                 F.col("rep").alias("node"), F.coalesce("component", "rep").alias("component")
             )
             found = stored(found, "components")
-        turn += 1
 
     named = classes.join(found, classes.rep == found.node).select("n", "low", "high", "component")
     grouped = made.select("doc", "n", "low", "high").join(named, ["n", "low", "high"], "left")

@@ -54,6 +54,49 @@ def test_a_family_without_its_base_is_compared_to_the_end(spark):
     assert found(minhash.near_duplicates(documents(spark, rows))) == roots
 
 
+def family(first, n, changed, seed, base="base", size=120):
+    """n copies of one text, each with so many words of its own at random places."""
+    rng = np.random.default_rng(seed)
+    words = [f"{base}{i}" for i in range(size)]
+    rows = []
+    for doc in range(first, first + n):
+        own = list(words)
+        for place in rng.choice(size, changed, replace=False):
+            own[place] = f"own{doc}at{place}"
+        rows.append((doc, " ".join(own)))
+    return rows
+
+
+def test_large_mixed_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Hundreds of copies few of which are linked, a large linked family beside them in the same
+    buckets, and parts of it in blocks of their own: as comparing all pairs says."""
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 24)
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", 8)
+    rows = family(0, 150, 5, 1) + family(1000, 90, 1, 2) + family(2000, 40, 8, 3) + family(3000, 12, 3, 4, "other")
+    roots = expected(rows)
+    named = {root for _, root in roots.values()}
+    assert 20 < len(named) < len(rows) - 80
+    assert found(minhash.near_duplicates(documents(spark, rows))) == roots
+
+
+def test_two_thousand_copies_none_of_which_are_linked(spark):
+    rows = family(0, 2000, 6, 5)
+    result = found(minhash.near_duplicates(documents(spark, rows).repartition(8)))
+    sets = [shingles(text) for _, text in rows]
+    for i in range(0, 2000, 40):  # a sample of documents, each against all others
+        linked = [j for j in range(2000) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+        assert {result[j][1] for j in linked} == {result[i][1]}
+        assert len(linked) > 1 or result[i][1] == i
+    assert len({component for _, component in result.values()}) > 1500
+
+
+def test_different_texts_under_one_id_are_each_linked(spark):
+    one, other = prose(71, 90), prose(72, 90)
+    rows = [(1, one), (1, other), (2, one + " tail"), (3, other + " tail"), (4, prose(73, 90))]
+    result = sorted((r.doc, r.component) for r in minhash.near_duplicates(documents(spark, rows)).collect())
+    assert result == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
 def test_edge_cases_and_clashing_columns(spark):
     long = prose(3, 6000)
     rows = [
