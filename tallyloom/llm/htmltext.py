@@ -7,10 +7,13 @@ much plain text hangs below one node. The node with the greatest sum is found, a
 threshold is taken from its path to the body: every node on the path that is at least as
 dense as the body belongs to the article, so the highest such node is the article.
 
-Elements that are never article text (scripts, navigation, forms, ..) and those named as
-something else (advertisements, comments, sidebars, ..) do not take part at all, and below
-the article a block of mostly links that is thinner than the body is left out. What remains is
-written in blocks: character references decoded, white space in a block made one space.
+Elements that are never article text (scripts, navigation, footers, ..) do not take part at
+all. Those that are only named as something else (advertisements, comments, sidebars, ..), and
+forms, do not either, unless they hold the article: an `article` or `main` element, or so
+much of the page's plain text that little would be left. Below the article a list of mostly
+links that is thinner than the body, or another container of hardly anything but links, is left
+out; paragraphs are not. What remains is written in blocks: character references decoded,
+white space in a block made one space.
 
 Defined cases: null and empty pages, and pages without text, have an empty text; unclosed,
 misnested and cut off markup is closed where a browser would close it; equal sums go to the
@@ -23,7 +26,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,7 +57,7 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"se
 # Never article text, by element, by role, and by a word in class or id.
 DROPPED = frozenset(
     "script style noscript template iframe object embed svg canvas audio video map head title "
-    "nav aside footer form button select textarea input label dialog menu".split()
+    "nav aside footer button select textarea input label dialog menu".split()
 )
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search alert dialog alertdialog form menu "
@@ -68,6 +72,12 @@ DROPPED_NAMES = frozenset(
     "related recommended recommendations share sharing social copyright legal disclaimer".split()
 )
 NAME_WORDS = re.compile(r"[a-z0-9]+")
+# A class that says what an element has, or has not, names it nothing.
+MODIFIERS = frozenset("has with no without is not show hide".split())
+# Shares of the plain text of the page above which a name does not count.
+KEPT_IF_NAMED, KEPT_IF_PART_OF_NAME = 0.9, 0.6
+LINK_LISTS = frozenset("ul ol dl menu dir".split())
+TEXT_BLOCKS = frozenset("p li dt dd blockquote pre figcaption h1 h2 h3 h4 h5 h6 caption address summary".split())
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -79,43 +89,59 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|
 class Node:
     """An element: its children are nodes and strings."""
 
-    __slots__ = ("chars", "children", "density", "link_chars", "links", "name", "parent", "sum", "tags")
+    __slots__ = (
+        "chars", "children", "density", "drop", "holds", "link_chars", "links", "name", "parent", "sum", "tags"
+    )
 
-    def __init__(self, name: str, parent: Node | None):
+    def __init__(self, name: str, parent: Node | None, drop: float = 0.0):
         self.name = name
         self.parent = parent
+        self.drop = drop  # goes if it holds at most this share of the plain text; 1 for certain
         self.children: list[Node | str] = []
 
 
-def is_dropped(name: str, attributes: str, inside_article: bool) -> bool:
+def named_share(value: str, inside_article: bool, name: str) -> float:
+    """Up to which share of the plain text an element of this class or id goes; 0: it does not."""
+    share = 0.0
+    for token in value.split():
+        words = NAME_WORDS.findall(token)
+        if not words or words[0] in MODIFIERS or not DROPPED_NAMES.intersection(words):
+            continue
+        if inside_article and name in ("header", "h1", "h2") and "header" in words:
+            continue
+        share = max(share, KEPT_IF_NAMED if len(words) == 1 else KEPT_IF_PART_OF_NAME)
+    return share
+
+
+def dropped_share(name: str, attributes: str, inside_article: bool) -> float:
+    """1 for what is never article text, less for what only is named so, 0 for the rest."""
     if name in DROPPED or (name == "header" and not inside_article):
-        return True
-    if not attributes:
-        return False
-    for key, value in ATTRIBUTE.findall(attributes):
+        return 1.0
+    share = KEPT_IF_NAMED if name == "form" else 0.0
+    for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return 1.0
         if key == "role" and value in DROPPED_ROLES:
-            return True
+            return 1.0
         if key in ("class", "id") and name not in ("article", "main", "body", "html"):
-            words = NAME_WORDS.findall(value)
-            if DROPPED_NAMES.intersection(words) and not (
-                inside_article and name in ("header", "h1", "h2") and "header" in words
-            ):
-                return True
-    return False
+            share = max(share, named_share(value, inside_article, name))
+    return share
 
 
 def parse(page: str) -> Node:
-    """The tree of a page, without what is never article text."""
+    """The tree of a page, with what is to be dropped marked."""
     root = node = Node("html", None)
-    open_names = ["html"]
-    skipped: list[str] = []  # open elements since the start of a dropped one
+    opened = Counter({"html": 1})  # open elements by name, so that no list is searched
     at, n = 0, len(page)
 
+    def close() -> None:
+        nonlocal node
+        opened[node.name] -= 1
+        node = node.parent
+
     def text(piece: str) -> None:
-        if piece and not skipped:
+        if piece:
             node.children.append(html.unescape(piece))
 
     while at < n:
@@ -130,18 +156,11 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if closing:
-            if skipped:
-                if name in skipped:
-                    del skipped[len(skipped) - 1 - skipped[::-1].index(name) :]
-                elif name in open_names[1:] and name in ("body", "html", "article", "main"):
-                    skipped.clear()  # the dropped element was never closed
-            if not skipped and name in open_names[1:]:
-                while True:
-                    last = open_names.pop()
-                    node = node.parent or root
-                    if last == name:
-                        break
-            elif name == "br" and not skipped:
+            if opened[name] and name != "html":
+                while node.name != name:
+                    close()
+                close()
+            elif name == "br":
                 node.children.append(" ")
             continue
         if name in RAW:
@@ -150,50 +169,70 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
             continue
         if name in VOID:
-            if name in ("br", "hr", "wbr") and not skipped:
-                node.children.append(Node("hr", node) if name == "hr" else (" " if name == "br" else ""))
-            continue
-        closed_itself = attributes.rstrip().endswith("/") and name in ("svg", "path", "use")
-        if skipped:
-            if not closed_itself:
-                skipped.append(name)
-            continue
-        # Implied ends.
-        if name in ENDS_PARAGRAPH and "p" in open_names:
-            while open_names[-1] != "p":
-                if open_names[-1] in BLOCKS:
-                    break
-                open_names.pop()
-                node = node.parent
-            if open_names[-1] == "p":
-                open_names.pop()
-                node = node.parent
-        if name in CLOSES:
-            scope = SCOPES[name]
-            for depth in range(len(open_names) - 1, 0, -1):
-                if open_names[depth] in scope:
-                    break
-                if open_names[depth] in CLOSES[name]:
-                    while len(open_names) > depth:
-                        open_names.pop()
-                        node = node.parent
-        if name in ("html", "body") and name in open_names:
+            if name in ("br", "hr"):
+                node.children.append(Node("hr", node) if name == "hr" else " ")
             continue
-        inside_article = "article" in open_names or "main" in open_names
-        if is_dropped(name, attributes, inside_article):
-            if not closed_itself:
-                skipped.append(name)
-            # A dropped block still divides the text around it.
-            if name in BLOCKS:
-                node.children.append(Node("hr", node))
+        # Implied ends, alike inside and outside of what is dropped.
+        if name in ENDS_PARAGRAPH and opened["p"]:
+            while node.name != "p" and node.name not in BLOCKS:
+                close()
+            if node.name == "p":
+                close()
+        if name in CLOSES and any(opened[other] for other in CLOSES[name]):
+            _close_siblings(name, node, close)
+        if name in ("html", "body") and opened[name]:
             continue
-        child = Node(name, node)
+        inside_article = opened["article"] + opened["main"] > 0
+        child = Node(name, node, dropped_share(name, attributes, inside_article))
         node.children.append(child)
+        if attributes.rstrip().endswith("/") and name in ("svg", "path", "use"):
+            continue
         node = child
-        open_names.append(name)
+        opened[name] += 1
     return root
 
 
+def _close_siblings(name: str, node: Node, close: Callable[[], None]) -> None:
+    """Close the open elements that an element of this name ends, up to its list or table."""
+    depth = 0
+    last = 0
+    while node.parent is not None and node.name not in SCOPES[name]:
+        depth += 1
+        if node.name in CLOSES[name]:
+            last = depth
+        node = node.parent
+    for _ in range(last):
+        close()
+
+
+def prune(root: Node) -> None:
+    """Take out what is dropped. A dropped block still divides the text around it."""
+    order = _measure(root)
+    for node in reversed(order):
+        node.holds = node.name in ("article", "main") or any(
+            c.holds for c in node.children if isinstance(c, Node) and c.drop < 1.0
+        )
+    # Text counts where nothing is certain to go.
+    plain: dict[int, int] = {}
+    for node in reversed(order):
+        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        below = sum(plain[id(c)] for c in node.children if isinstance(c, Node))
+        plain[id(node)] = 0 if node.drop == 1.0 or node.name == "a" else own + below
+    whole = plain[id(root)]
+    for node in order:  # parents first: what hangs below a dropped one goes with it
+        if not any(isinstance(c, Node) and c.drop for c in node.children):
+            continue
+        kept: list[Node | str] = []
+        for child in node.children:
+            if isinstance(child, str) or not child.drop:
+                kept.append(child)
+            elif child.drop < 1.0 and (child.holds or plain[id(child)] > child.drop * whole):
+                kept.append(child)
+            elif child.name in BLOCKS:
+                kept.append(Node("hr", node))
+        node.children = kept
+
+
 def _measure(root: Node) -> list[Node]:
     """Counts of every node, children first, and all nodes in page order."""
     order, stack = [], [root]
@@ -256,12 +295,12 @@ def find_article(root: Node) -> tuple[Node, float]:
 
 
 def _is_link_list(node: Node, threshold: float) -> bool:
-    return (
-        node.name in BLOCKS
-        and node.links >= 2
-        and 2 * node.link_chars > node.chars
-        and node.density < threshold
-    )
+    """A list of mostly links, or another container of hardly anything else; never a paragraph."""
+    if node.links < 2 or node.density >= threshold or node.name in TEXT_BLOCKS:
+        return False
+    if node.name in LINK_LISTS:
+        return 2 * node.link_chars > node.chars
+    return node.name in BLOCKS and 10 * node.link_chars >= 9 * node.chars
 
 
 def blocks(article: Node, threshold: float) -> Iterator[str]:
@@ -293,7 +332,9 @@ def blocks(article: Node, threshold: float) -> Iterator[str]:
 def main_text(page: str) -> str:
     if not page:
         return ""
-    article, threshold = find_article(parse(page))
+    root = parse(page)
+    prune(root)
+    article, threshold = find_article(root)
     return "\n".join(blocks(article, threshold))
 
 

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import time
+
 import pytest
 
 from tallyloom.llm.htmltext import Node, _densities, _measure, extract_text, main_text, parse
@@ -48,6 +51,38 @@ CASES = {
 }
 
 
+# Names that only seem to say that an element is not the article.
+for wrapper in (
+    'class="content has-sidebar"', 'class="with-header"', 'class="no-comments"', 'class="page-share"',
+    'class="social-post"', 'class="legal-news"', 'id=discussion', 'class="widget"', 'class="story-comments"',
+):
+    for inner in ("article", "div"):
+        CASES[f"{wrapper} {inner}"] = (
+            page(f"<div {wrapper}><{inner}><h1>Head</h1><p>{WORDS}</p><p>{WORDS}</p></{inner}></div>"),
+            f"Head\n{WORDS}\n{WORDS}",
+        )
+CASES |= {
+    "unclosed advert": (page(f"<article><p class='ad'>Buy<p>{WORDS}<p>Two</article>"), f"{WORDS}\nTwo"),
+    "unclosed advert, closed paragraphs": (
+        page(f"<article><p class='ad'>Buy<p>One</p><p>{WORDS}</p></article>"), f"One\n{WORDS}"
+    ),
+    "advert in a list": (page(f"<article><p>{WORDS}</p><ul><li class=ad>Buy<li>one<li>two</ul></article>"), f"{WORDS}\none\ntwo"),
+    "paragraph of links": (
+        page(f"<article><p>{WORDS}</p><p>See <a href=1>Report One</a> and <a href=2>Report Two</a></p></article>"),
+        f"{WORDS}\nSee Report One and Report Two",
+    ),
+    "page in a form": (page(f"<form><div><p>{WORDS}</p><p>{WORDS}</p></div></form>"), f"{WORDS}\n{WORDS}"),
+    "long comments": (
+        page(f"<article><h1>H</h1><p>{WORDS}</p></article>", after=f"<div class=comments>{f'<p>{WORDS}</p>' * 6}</div>"),
+        f"H\n{WORDS}",
+    ),
+    "comments by part of a name": (
+        page(f"<article><h1>H</h1><p>{WORDS}</p><p>{WORDS}</p></article><div id='comment-list'><p>{WORDS}</p></div>"),
+        f"H\n{WORDS}\n{WORDS}",
+    ),
+}
+
+
 @pytest.mark.parametrize("name", [n for n in CASES if n != "article header"])
 def test_article_text(name):
     html, text = CASES[name]
@@ -59,6 +94,39 @@ def test_a_header_inside_the_article_is_part_of_it():
     assert main_text(html) == "Head\n" + text
 
 
+def test_generated_pages():
+    """Known articles in random wrappers, names and clutter: the blocks of the article, nothing else."""
+    rng = random.Random(6)
+    names = ["", "content", "has-sidebar", "no-ads", "post social-post", "entry-body", "main-widget"]
+    clutter = [
+        "<div class=ad>Buy this now</div>", "<aside>See also</aside>", "<div class='share social'>Tell all</div>",
+        "<!-- <p>no</p> -->", "<script>x='<p>'</script>", "<form><label>Mail</label><input></form>",
+        "<div role=alert>New rules</div>", "<p class='sponsored'>Paid",
+        "<ul class=related><li><a href=1>a</a><li><a href=2>b</a></ul>",
+    ]
+    for n in range(150):
+        wanted, article = [], ""
+        for k in range(rng.randint(2, 8)):
+            words = " ".join(rng.choice(WORDS.split()) for _ in range(rng.randint(8, 60)))
+            kind = rng.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>", "<div><p>{}</div>"])
+            marked = words.replace(" ", rng.choice([" ", "\n  ", "&#32;", " <i></i>"]), 1)
+            article += kind.format(marked) + (rng.choice(clutter) if rng.random() < 0.3 else "")
+            wanted.append(words)
+        article = f"<article>{article}</article>" if n % 3 else f"<main><div>{article}</div></main>"
+        for _ in range(rng.randint(0, 3)):
+            article = f'<div class="{rng.choice(names)}">{article}</div>'
+        sides = [rng.choice(clutter) for _ in range(2)]
+        assert main_text(page(article, sides[0], sides[1])) == "\n".join(wanted), n
+
+
+def test_deep_pages_take_linear_time():
+    began = time.time()
+    assert main_text("<div>" * 20_000 + f"<p>{WORDS}</p>") == WORDS
+    assert main_text("<div class=ad>" * 20_000 + "</div>" * 20_000 + f"<p>{WORDS}</p>") == WORDS
+    assert main_text("<ul>" + "<li><div>x" * 20_000) .count("x") == 20_000
+    assert time.time() - began < 3
+
+
 def test_counts_and_density_sums():
     root = parse("<body><div><p>abcd <a>ef</a></p><p>gh</p></div></body>")
     order = _measure(root)
