@@ -81,3 +81,24 @@ def test_unknown_piece_without_byte_pieces():
     mine = pieces.PieceModel(model.SerializeToString())
     assert list(mine.encode("ab?b")) == [1, 3, 0, 4]
     assert mine.decode([1, 3, 0, 4]) == "ab ⁇ b"
+
+
+def test_round_trips_are_judged_text_by_text(unigram):
+    model = pieces.PieceModel(unigram)
+    texts = [t for t in TEXTS if t] + [""]
+    ids = [model.encode(t) for t in texts]
+
+    def judged(texts, ids):
+        ends = pieces.np.cumsum([0, *map(len, ids)]).astype("int32")
+        flat = pieces.np.array([i for some in ids for i in some], "int32")
+        return pieces._round_trips(model, texts, flat, ends).tolist()
+
+    assert judged(texts, ids) == [model.decode(i) == t for i, t in zip(ids, texts, strict=True)] == [True] * len(texts)
+    # One id lost, one changed for another as long, one text too many blanks.
+    wrong = [list(i) for i in ids]
+    del wrong[0][-1]
+    at = next(n for n, piece in enumerate(wrong[1]) if len(model.raw[piece]) == 1)
+    wrong[1][at] = model.bytes[0]
+    assert judged(texts, wrong) == [False, False] + [True] * (len(texts) - 2)
+    assert judged(texts, [ids[0], wrong[1], *ids[2:]]) == [True, False] + [True] * (len(texts) - 2)
+    assert judged([], []) == []
