@@ -184,9 +184,9 @@ def load_model(serialised: bytes) -> PieceModel:
 def _round_trips(model: PieceModel, texts: list[str], ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Whether the ids of each text decode to it: all are decoded at once and compared as bytes."""
     wanted = [(" " + text).encode() if text else b"" for text in texts]
-    starts = np.concatenate([[0], np.cumsum([len(w) for w in wanted])])
+    starts = np.cumsum([0, *map(len, wanted)], dtype=np.int64)
     made, size = model.decoded_bytes(ids)
-    sums = np.concatenate([[0], np.cumsum(size)])[ends]
+    sums = np.append(0, np.cumsum(size))[ends]
     same = np.diff(sums) == np.diff(starts)
     given = np.frombuffer(b"".join(wanted), np.uint8)
     if same.all():
