@@ -344,6 +344,30 @@ _SELECTS = {
         from (select *, row_number() over (partition by order_product_id order by
                           order_id desc, product_id desc, quantity desc, price_unit desc) as n from sale)
         where n = 1 group by month""",
+    "ingest_distinct_stream": "select *, cast(1 as bigint) as times from (select distinct * from sales_order)",
+    "quarterly_clients": """
+        select cast(date_trunc('quarter', month) as date) as quarter, count(distinct client_id) as clients,
+               true as estimate_within_bound
+        from sale group by 1""",
+    # The watermark is the latest date of the deliveries before, less 31 days.
+    "ingest_stream_totals": """
+        select * from (with sold as (
+            select order_id, order_date, month, sum(quantity) as units, sum(revenue) as revenue,
+                   least(case when order_date < date '1997-01-01' then 0 when order_date < date '1999-01-01' then 1
+                              else 2 end + case when order_id % 7 = 0 then 1 else 0 end, 2) as delivery
+            from sale group by all
+        ), bounds as (
+            select d.delivery, max(s.order_date) - interval 31 days as bound
+            from (select distinct delivery from sold) d left join sold s on s.delivery < d.delivery group by 1
+        ), judged as (
+            select sold.*, coalesce(order_date < bound, false) as late from sold join bounds using (delivery)
+        )
+        select month, count(*) filter (not late) as total_orders,
+               cast(sum(units) filter (not late) as decimal(38,1)) as total_units_sold,
+               cast(sum(revenue) filter (not late) as decimal(38,3)) as total_revenue,
+               count(*) filter (late) as late_orders,
+               cast(sum(revenue) filter (late) as decimal(38,3)) as late_revenue
+        from judged group by month)""",
     "warehouse_incremental": """
         select category, month, count(distinct order_id) as total_orders,
                cast(sum(quantity) as decimal(38,1)) as total_units_sold,

@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.measures import REVENUE, UNITS, line_revenue
+from tallyloom.functions.measures import REVENUE, UNITS, line_revenue, month_of
 from tallyloom.model import SOURCES, Schemas
-from tallyloom.operators import checks
+from tallyloom.operators import checks, sketches
 from tallyloom.operators.counts import row_counts
 from tallyloom.plans import extracts, history, incremental, marts, rollups, staging, star, warehouse
 from tallyloom.plans.current import build_current
@@ -24,7 +24,7 @@ from tallyloom.session import kept, scratch_folder, tune
 from tallyloom.sources import benchmark_tables
 from tallyloom.sources.csv_files import REJECTED, FileDrop, accepted, read_delivered, rows_by_file
 from tallyloom.sources.deliveries import delivered_at, delivered_files, freshness
-from tallyloom.streaming import landing
+from tallyloom.streaming import landing, totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -364,6 +364,59 @@ def warehouse_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.stored(spark, incremental.BY_CATEGORY, schemas)
 
 
+def ingest_distinct_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in two deliveries, the first of which is sent again under another name: the rows
+    that landed, and how often each did."""
+    base = scratch_folder(spark, "distinct")
+    drop = FileDrop(f"{base}/delivered")
+    (orders,) = _staged(spark, folder, "orders")
+    first, second = _halves(orders)
+    for stamp, delivery in zip(DELIVERY_STAMPS, (first, second, first), strict=True):
+        _deliver_named(delivery, drop, "orders", stamp)
+        landing.land(spark, drop, f"{base}/landed", f"{base}/checkpoints", ["orders"], distinct_within="1 day")
+    return landing.landed_rows(spark, f"{base}/landed", "orders").groupBy(*orders.columns).agg(F.count("*").alias("times"))
+
+
+def quarterly_clients(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct clients of every quarter, from monthly sketches, beside the exact count."""
+    sales = _order_sales(spark, folder).withColumn("month", month_of(F.col("order_date")))
+    quarter = F.trunc("month", "quarter").alias("quarter")
+    monthly = sketches.distinct_sketches(sales, ["month"], "client_id")
+    estimated = sketches.merged_sketches(monthly, [quarter]).withColumn("estimate", sketches.estimate(F.col("sketch")))
+    exact = sales.groupBy(quarter).agg(F.count_distinct("client_id").alias("clients"))
+    near = sketches.within_bound(F.col("estimate"), F.col("clients")).alias("estimate_within_bound")
+    return exact.join(estimated, "quarter").select("quarter", "clients", near)
+
+
+SALES_UNTIL = ("1997-01-01", "1999-01-01")
+
+
+def ingest_stream_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly totals of sales that arrive in three deliveries, by date, but every seventh order one
+    delivery late: what was still counted, and what came too late, of every month."""
+    base = scratch_folder(spark, "totals")
+    sales = _order_sales(spark, folder).select("order_id", "order_date", "units", "revenue")
+    due = F.when(F.col("order_date") < SALES_UNTIL[0], 0).when(F.col("order_date") < SALES_UNTIL[1], 1).otherwise(2)
+    behind = F.when(F.col("order_id") % 7 == 0, 1).otherwise(0)
+    # Stored by delivery once; each delivery is then read from its own folder.
+    sales.withColumn("delivery", F.least(due + behind, F.lit(2))).write.partitionBy("delivery").parquet(f"{base}/due")
+    for n in range(len(SALES_UNTIL) + 1):
+        one = spark.read.schema(totals.SALES).parquet(f"{base}/due/delivery={n}")
+        one.write.mode("append").parquet(f"{base}/sales")
+        totals.start_totals(spark, f"{base}/sales", f"{base}/totals", f"{base}/checkpoint").awaitTermination()
+    counted = totals.monthly_totals(spark, f"{base}/totals")
+    late = totals.late_sales(spark, f"{base}/totals").groupBy(month_of(F.col("order_date")).alias("month"))
+    late = late.agg(F.count("*").alias("late_orders"), F.sum("revenue").cast(REVENUE).alias("late_revenue"))
+    return counted.join(late, "month", "full").select(
+        "month",
+        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        "total_units_sold",
+        "total_revenue",
+        F.coalesce("late_orders", F.lit(0)).alias("late_orders"),
+        "late_revenue",
+    )
+
+
 DELIVERIES = ("first", "second")
 
 
@@ -462,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "orders_as_of": orders_as_of,
     "sales_by_type_then": sales_by_type_then,
     "order_total_mismatches": order_total_mismatches,
+    "quarterly_clients": quarterly_clients,
     "ingest_csv_batch": _ingest_batch("order_product"),
     "ingest_csv_stream": _ingest_stream("orders"),
     **{f"ingest_csv_batch_{t}": _ingest_batch(t) for t in SOURCES if t != "order_product"},
@@ -469,6 +523,8 @@ QUERIES: dict[str, Query] = {
     "ingest_file_listing": ingest_file_listing,
     "ingest_named_files": ingest_named_files,
     "ingest_freshness": ingest_freshness,
+    "ingest_distinct_stream": ingest_distinct_stream,
+    "ingest_stream_totals": ingest_stream_totals,
     "warehouse_build": warehouse_build,
     "warehouse_resent": warehouse_resent,
     "warehouse_incremental": warehouse_incremental,

@@ -68,9 +68,15 @@ def start_landing(
     landing: str,
     checkpoints: str,
     files_per_batch: int = 1000,
+    distinct_within: str | None = None,
 ) -> StreamingQuery:
     """Start loading what has arrived for one table; the query ends when it is done.
 
+    With ``distinct_within`` (such as ``7 days``) a row that arrived before, alike in every
+    cell, within that time is not landed again, whatever the name of its file. Time is that of
+    arrival here, so that no late file is taken for an old one. The state holds the rows
+    of that time; a repeat after it is landed, and :func:`repeated_rows` reports it.
+
     ``files_per_batch`` bounds a micro-batch, so that a large backlog is committed in
     steps and an interrupted run resumes where it stopped. Batches are numbered by the
     checkpoint: without the checkpoint that numbered what has landed, the load is refused.
@@ -87,9 +93,13 @@ def start_landing(
         where["file_path"].alias("source_file"),
         where["file_modification_time"].alias("file_time"),
     )
+    rows = typed(cells, table)
+    if distinct_within:
+        content = with_rejects(SOURCES[table]).fieldNames()
+        rows = rows.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", distinct_within)
+        rows = rows.dropDuplicatesWithinWatermark(content).drop("arrived_at")
     return (
-        typed(cells, table)
-        .writeStream.foreachBatch(_write_batch(folder))
+        rows.writeStream.foreachBatch(_write_batch(folder))
         .option("checkpointLocation", checkpoint)
         .queryName(f"land_{table}")
         .trigger(availableNow=True)
@@ -105,6 +115,7 @@ def land(
     tables: Iterable[str] = tuple(SOURCES),
     files_per_batch: int = 1000,
     schemas: Schemas = SCHEMAS,
+    distinct_within: str | None = None,
 ) -> None:
     """Load all tables side by side and wait for all; then raise if any of them failed.
 
@@ -112,7 +123,7 @@ def land(
     """
     tables = [table for table in tables if folder_exists(spark, drop.folder(table))]
     queries = [
-        start_landing(spark, drop, table, landing, checkpoints, files_per_batch)
+        start_landing(spark, drop, table, landing, checkpoints, files_per_batch, distinct_within)
         for table in tables
     ]
     failures = []
@@ -151,6 +162,15 @@ def landed_rejects(spark: SparkSession, landing: str, table: str) -> DataFrame:
     return rejected(landed(spark, landing, table))
 
 
+def repeated_rows(spark: SparkSession, landing: str, table: str) -> DataFrame:
+    """Rows that have landed more than once, alike in every cell: how often, and from how many files."""
+    content = with_rejects(SOURCES[table]).fieldNames()
+    times = landed(spark, landing, table).groupBy(*content).agg(
+        F.count("*").alias("times"), F.count_distinct("source_file").alias("files")
+    )
+    return times.filter("times > 1")
+
+
 def landing_status(
     spark: SparkSession, landing: str, tables: Iterable[str] = tuple(SOURCES)
 ) -> DataFrame:
