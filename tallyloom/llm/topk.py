@@ -13,10 +13,13 @@ only as many as can be needed: the rest can change no result. So a query costs a
 bins and 2k rows a block, whatever the number of equal vectors.
 
 Defined cases: vectors that are null, empty, or hold nulls or values that are not finite
-take no part, on either side; vectors meet only vectors of their own length; a query's own
-id is not among its candidates; fewer than k candidates are all returned; equal scores go
-to the smaller id; repeated rows of an id are candidates of their own; rows with a null id
-take no part; no queries or no candidates give no rows.
+take no part, on either side; nor do vectors so long that a product of two such might not
+fit 64 bits (a squared norm of LARGEST_SQUARE and above, after scaling); vectors meet only vectors
+of their own length; a query's own id is not among its candidates; fewer than k candidates
+are all returned; equal scores go to the smaller id; repeated rows of an id are candidates
+of their own; a query id that is repeated asks once, with its greatest vector, compared
+component by component; rows with a null id take no part; no queries or no candidates give
+no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ BINS = 512
 BLOCK_ROWS = 2048
 QUERY_ROWS = 256
 EXACT_DOUBLE = float(1 << 53)
+LARGEST_SQUARE = float(1 << 61)
 
 STATE = ("low", "width", "span")
 BLOCKS = "block long, size int, ids binary, vectors binary, norm double"
@@ -45,6 +49,8 @@ def scaled(vector: Column, factor: int) -> Column:
     usable = vector.isNotNull() & (F.size(vector) > 0) & F.forall(
         doubles, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x)
     )
+    square = F.aggregate(doubles, F.lit(0.0), lambda sum_, x: sum_ + (x * factor) * (x * factor))
+    usable = usable & (square < LARGEST_SQUARE)
     return F.when(usable, F.transform(doubles, lambda x: F.floor(F.lit(factor) * x)))
 
 
@@ -200,7 +206,7 @@ def top_k(
     groups = max(1, n_blocks)
     part = F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")
     c_blocks = c_blocks.withColumn("part", part).drop("block")
-    q_blocks = stored(blocks(usable(queries).dropDuplicates(["id"]), QUERY_ROWS), "query-blocks")
+    q_blocks = stored(blocks(usable(queries).groupBy("id").agg(F.max("v").alias("v")), QUERY_ROWS), "query-blocks")
 
     def listed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:

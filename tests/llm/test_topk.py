@@ -60,3 +60,17 @@ def test_edge_cases(spark):
     assert found(topk.top_k(rows, rows, 3, "vec_id", "embedding")) == brute(vectors, vectors, 3)
     assert found(topk.top_k(rows.limit(0), rows, 3, "vec_id", "embedding")) == []
     assert found(topk.top_k(rows, rows.limit(0), 3, "vec_id", "embedding")) == []
+
+
+def test_huge_values_and_repeated_queries(spark):
+    """What might not fit 64 bits takes no part; large values that do are exact."""
+    vectors = [
+        (1, [1.0, 0.5]), (2, [1e8, 1.0]), (3, [1e30, 1.0]), (4, [-1e300, 1e300]), (5, [2e7, 3.0]), (6, [2e7 + 0.25, -5.0]),
+        (7, [0.25, 0.75]), (7, [0.5, -0.75]), (7, [0.5, -1.0]),
+    ]
+    fitting = [v for v in vectors if sum(64 * x * 64 * x for x in v[1]) < 2.0**61]
+    assert [i for i, _ in fitting] == [1, 5, 6, 7, 7, 7]
+    expected = brute([(i, v) for i, v in fitting if (i, v) not in (vectors[6], vectors[8])], fitting, 4)
+    for parts in (1, 3):
+        rows = frame(spark, vectors).repartition(parts)
+        assert found(topk.top_k(rows, rows, 4, "vec_id", "embedding")) == expected
