@@ -4,12 +4,15 @@ Folding lower-cases, strips accents, maps look-alike letters of other scripts an
 used as letters to plain ones, and makes i, l and 1 one letter, so that `1d10t` reads as
 `idiot`. An automaton over all terms and exception phrases passes once over each text. A
 term counts where a word starts with it (whole-word terms: where it is the word), once a
-word with its greatest weight, and not inside an exception phrase. The sum of weights, and
-that sum relative to the text's length, give the score through a logistic curve.
+word with its greatest weight, and not inside an exception phrase. White space, hyphens and
+low lines between words are one space, so `trash-can` is the phrase `trash can`. The sum of
+weights, and that sum relative to the text's length, give the score through a logistic curve.
 
 Terms are a small list of insults and stems learned from labels: word beginnings much more
 frequent in toxic texts than in others, weighted by their log odds. The learning sample is
-bounded (`FIT_TOXIC`, `FIT_CLEAN`). A term counts in it only as often as it follows different
+bounded (`FIT_TOXIC`, `FIT_CLEAN`), and with it all that is learned; nothing else bounds the
+terms. Exception phrases beside a few listed ones are learned, too: a hit with the word before
+or after it, if that pair of words is much more frequent in texts that are not toxic. A term counts in it only as often as it follows different
 words: all words of a copied passage are as frequent in toxic texts as the passage is, but
 always follow the same word.
 
@@ -40,7 +43,6 @@ from tallyloom.llm.tables import learns, stored
 FIT_TOXIC, FIT_CLEAN = 4_000, 12_000
 STEM_CHARS = range(4, 11)
 LEAST_EVIDENCE = 14.0  # log-likelihood ratio a learned term needs
-MAX_TERMS = 5_000
 CONTEXT_BITS = 62
 LISTED_WEIGHT = 2.0
 
@@ -63,6 +65,7 @@ SUBSTITUTES = {
 }
 
 WORD = re.compile(r"[^\W_]+")
+BETWEEN_WORDS = re.compile(r"[\s\-\u2010-\u2015_]+")
 
 
 @lru_cache
@@ -78,7 +81,7 @@ def fold_table() -> dict[int, str]:
 
 
 def fold(text: str) -> str:
-    return text.lower().translate(fold_table())
+    return BETWEEN_WORDS.sub(" ", text.lower().translate(fold_table()))
 
 
 @dataclass(frozen=True)
@@ -125,10 +128,18 @@ class Matcher:
                 weight = whole
             if weight > best.get(first, 0.0):
                 best[first] = weight
-        for first, last in free:
-            for at in [at for at in best if first <= at <= last]:
-                del best[at]
-        return best
+        if not free:
+            return best
+        # Exceptions by their beginning, hits in order: one pass over both.
+        free.sort()
+        kept, reach, n_free = {}, -1, 0
+        for at in sorted(best):
+            while n_free < len(free) and free[n_free][0] <= at:
+                reach = max(reach, free[n_free][1])
+                n_free += 1
+            if at > reach:
+                kept[at] = best[at]
+        return kept
 
 
 def features(weight: float, chars: int) -> tuple[float, float, float]:
@@ -277,7 +288,6 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> L
     # What no number of clean texts could make a term is not even counted in them.
     least = math.ceil(LEAST_EVIDENCE / -math.log(share))
     in_toxic = _document_counts(sample.filter("label = 1"), None).filter(F.col("n") >= least)
-    in_toxic = in_toxic.orderBy(F.desc("n"), "term").limit(40 * MAX_TERMS)
     toxic = {r.term: _independent(r.n, r.contexts) for r in in_toxic.collect()}
     toxic = {term: n for term, n in toxic.items() if n >= least}
     in_clean = _document_counts(sample.filter("label = 0"), frozenset(toxic))
@@ -289,10 +299,49 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> L
             odds = math.log((n + 0.5) / (n_toxic + 1)) - math.log((missed + 0.5) / (n_clean + 1))
             if odds >= LISTED_WEIGHT:
                 learned[term] = odds
-    terms = tuple(_plainest(learned, toxic)[:MAX_TERMS])
+    terms = tuple(_plainest(learned, toxic))
     known = {term.strip(): weight for term, weight in terms}
     terms += tuple((t, known.get(t, w)) for t, w in LISTED if (t, known.get(t)) not in terms)
-    return _with_curve(Lexicon(terms), sample)
+    lexicon = Lexicon(terms)
+    lexicon = Lexicon(terms, (*lexicon.exceptions, *_harmless(lexicon, sample, 1 - share)))
+    return _with_curve(lexicon, sample)
+
+
+def _harmless(lexicon: Lexicon, sample: DataFrame, share: float) -> tuple[str, ...]:
+    """Pairs of words, one of which is a hit, that mark a text as not toxic. Counted by texts;
+    `share` is that of the texts that are not toxic."""
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            counts: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                folded = fold(text or "")
+                hits = matcher(lexicon).hits(folded)
+                if hits:
+                    counts.update(set(_pairs_around(folded, hits)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["pair", "n"]
+            )
+
+    def counted(label: int, name: str) -> DataFrame:
+        texts = sample.filter(F.col("label") == label).select("text").mapInArrow(batches, "pair string, n long")
+        return texts.groupBy("pair").agg(F.sum("n").alias(name))
+
+    # What no number of toxic texts could make harmless need not be known.
+    least = math.ceil(LEAST_EVIDENCE / -math.log(share))
+    found = counted(0, "clean").filter(F.col("clean") >= least).join(counted(1, "toxic"), "pair", "left")
+    return tuple(
+        sorted(r.pair for r in found.collect() if _evidence(r.clean, r.toxic or 0, share) >= LEAST_EVIDENCE)
+    )
+
+
+def _pairs_around(folded: str, hits: dict[int, float]) -> Iterator[str]:
+    """Each hit's word with the word before it, and with the one after it."""
+    before = None
+    for word in WORD.finditer(folded):
+        if before and (before.start() in hits or word.start() in hits) and word.start() == before.end() + 1:
+            yield folded[before.start() : word.end()]
+        before = word
 
 
 def _with_curve(lexicon: Lexicon, sample: DataFrame, ridge: float = 1e-2) -> Lexicon:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import zlib
 
 import numpy as np
@@ -138,6 +139,39 @@ def test_a_copied_passage_teaches_no_terms(spark):
     assert not any(t.startswith(("fenwi", "tramb", "yestr", "vokku")) for t in terms)
 
 
+def test_exceptions_bridge_spaces_and_take_linear_time():
+    lexicon = toxicity.Lexicon(toxicity.LISTED)
+    for text in ("a trash can", "a trash-can", "a trash  can", "TRASH\n\tCAN", "trash\u2011can"):
+        assert toxicity.text_score(text, lexicon)[2] == 0, text
+    assert toxicity.text_score("trash, can", lexicon)[2] == 1
+
+    def seconds(n):
+        began = time.perf_counter()
+        assert toxicity.text_score("trash can idiot " * n, lexicon)[2] == n
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(40_000) < 40 * seconds(4_000) + 0.5
+
+
+def test_harmless_contexts_are_learned(spark):
+    """A listed word that is common in clean texts beside one word, and toxic elsewhere."""
+    rows, marks = [], []
+    for i in range(900):
+        words = prose(i, 40).split(" ")
+        if i % 3 == 0:
+            words[i % 30 : i % 30 + 2] = ["creep", "feed" if i % 2 else "Feed"]
+        elif i % 3 == 1:
+            words[i % 30] = words[i % 30 + 5] = "creep"
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(i % 3 == 1)))
+    lexicon = toxicity.learn_lexicon(documents(spark, rows), labels(spark, marks))
+    assert "creep feed" in lexicon.exceptions
+    assert len(lexicon.exceptions) == len(toxicity.EXCEPTIONS) + 1
+    assert toxicity.text_score(prose(1, 30) + " Creep-feed " + prose(2, 30), lexicon)[0] < 0.5
+    assert toxicity.text_score(prose(1, 30) + " creep " + prose(2, 30) + " creep", lexicon)[0] > 0.5
+
+
 def test_toxicity_edge_cases(spark):
     odd = documents(spark, [(1, None), (2, ""), (3, "idiot"), (3, "idiot"), (None, "x"), (4, prose(2, 50_000))])
     for some in ([], [(1, 1, 1)], [(1, 1, None), (2, None, 0)]):
