@@ -4,7 +4,9 @@ Patterns find assignments, access keys and hexadecimal runs. Beyond those, every
 string (a long unbroken run of token characters) is swept by a window of fixed width whose
 character counts are updated by one character in and one out; the Shannon entropy of the
 window is judged against the threshold of the string's character class. Windows above it
-make spans, unless an allow-list pattern covers the string. Offsets are code points.
+make spans, unless the allow list covers the string: by pattern (numbers, UUIDs, ruled lines), or
+because it is made of words, which is judged by how they are written and how common their
+letters are. Offsets are code points.
 
 Defined cases: null and empty texts have no spans; the whole text is scanned, however long;
 repeated rows are scanned alike; an empty table gives no rows.
@@ -55,16 +57,45 @@ class EntropyRule(NamedTuple):
     classes: tuple[CharacterClass, ...] = (
         CharacterClass("upperhex", re.compile(r"[0-9A-F]+\Z"), 3.0),
         CharacterClass("base32", re.compile(r"[A-Z0-9]+\Z"), 3.5),
+        CharacterClass("base36", re.compile(r"[a-z0-9]+\Z"), 3.5),
         CharacterClass("base64", re.compile(r"[A-Za-z0-9+/_=-]+\Z"), 3.7),
     )
     allowed: tuple[re.Pattern[str], ...] = (
         re.compile(r"[0-9]+([-/_=+][0-9]+)*\Z"),  # numbers, dates, card and phone numbers
         re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z"),  # UUIDs
-        re.compile(r"[A-Za-z]*[0-9]{0,4}\Z"),  # a word, perhaps numbered
-        # Words joined, paths, options; they may start with what joins them.
-        re.compile(r"[-_/+=]*([A-Za-z]+[0-9]{0,4}[-_/+=]+)+[A-Za-z]*[0-9]{0,4}\Z"),
         re.compile(r"(=+|-+|_+|/+)\Z"),  # rules drawn with one character
     )
+    words_allowed: bool = True  # words, also joined ones, by the evidence of their letters
+
+    def allows(self, run: str) -> bool:
+        return any(p.match(run) for p in self.allowed) or (self.words_allowed and are_words(run))
+
+
+# How often letters stand in text, in percent (rough figures over English,
+# French, German and Spanish).
+LETTER_SHARES = {
+    "a": 9.2, "b": 1.4, "c": 3.4, "d": 4.3, "e": 14.5, "f": 1.4, "g": 1.8, "h": 3.5, "i": 7.1,
+    "j": 0.4, "k": 0.6, "l": 4.8, "m": 2.8, "n": 7.8, "o": 6.3, "p": 2.4, "q": 0.7, "r": 6.6,
+    "s": 7.0, "t": 6.9, "u": 4.4, "v": 1.3, "w": 1.0, "x": 0.3, "y": 0.9, "z": 0.6,
+}
+LETTER_ODDS = {letter: math.log(share / 100 * 26) for letter, share in LETTER_SHARES.items()}
+LEAST_ODDS = -0.5
+# Words as they are written: small letters after a capital or not, or capitals only; several
+# in a row in the camel's way. A capital alone between small letters is no word.
+WRITTEN = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[A-Z][a-z]+|[A-Z]{2,6}(?![a-z]))*[0-9]{0,4}\Z")
+JOINTS = re.compile(r"[-_/+=]+")
+
+
+def are_words(run: str) -> bool:
+    """Whether a run is words, numbers of up to four digits, or both, joined or not.
+
+    All letters together must be likelier to be text than drawn evenly. A key has rare
+    letters, digits amid letters, or capitals amid small letters.
+    """
+    parts = [part for part in JOINTS.split(run) if part]
+    if not parts or not all(len(p) <= 4 and p.isdigit() or WRITTEN.match(p) for p in parts):
+        return False
+    return sum(LETTER_ODDS.get(c, 0.0) for c in run.lower()) > LEAST_ODDS
 
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
@@ -91,7 +122,7 @@ def entropy_spans(text: str, rule: EntropyRule) -> Iterator[tuple[int, int, str]
     """Maximal runs of high-entropy windows inside candidate strings."""
     for found in CANDIDATE.finditer(text):
         run = found.group()
-        if len(run) < rule.min_chars or any(p.match(run) for p in rule.allowed):
+        if len(run) < rule.min_chars or rule.allows(run):
             continue
         kind = next(c for c in rule.classes if c.pattern.match(run))
         begin = end = -1
@@ -126,13 +157,13 @@ def _members(pattern: re.Pattern[str]) -> np.ndarray:
     return np.array([bool(pattern.match(chr(b))) if b < 128 else False for b in range(256)])
 
 
-IS_HEX, IS_TOKEN, IS_DIGIT = _members(HEX), _members(CANDIDATE), _members(re.compile("[0-9]"))
+IS_HEX, IS_TOKEN = _members(HEX), _members(CANDIDATE)
 
 
 def _texts_with_run(
-    data: np.ndarray, bounds: np.ndarray, member: np.ndarray, least: int, needs: np.ndarray | None
+    data: np.ndarray, bounds: np.ndarray, member: np.ndarray, least: int
 ) -> np.ndarray:
-    """For each text: has it a run of `least` member bytes (that holds one of `needs`)?
+    """For each text: has it a run of `least` member bytes?
 
     A run may be seen across the border of two texts; that only sends a text to the
     patterns without need.
@@ -142,10 +173,6 @@ def _texts_with_run(
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     long = ends - starts >= least
-    if needs is not None:
-        seen = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(needs[data], out=seen[1:])
-        long &= seen[ends] > seen[starts]
     # Every text that the run touches is scanned.
     out = np.zeros(len(bounds) - 1, bool)
     first = np.searchsorted(bounds, starts[long], side="right") - 1
@@ -171,8 +198,8 @@ def scan_column(column: pa.Array, rule: EntropyRule):
     the bytes has seen a run long enough.
     """
     for chunk in text_chunks(column):
-        hexes = _texts_with_run(chunk.data, chunk.bounds, IS_HEX, HEX_CHARS, None)
-        tokens = _texts_with_run(chunk.data, chunk.bounds, IS_TOKEN, rule.min_chars, IS_DIGIT)
+        hexes = _texts_with_run(chunk.data, chunk.bounds, IS_HEX, HEX_CHARS)
+        tokens = _texts_with_run(chunk.data, chunk.bounds, IS_TOKEN, rule.min_chars)
         texts = column.slice(chunk.first, chunk.last - chunk.first).to_pylist()
         for text, has_hex, has_token in zip(texts, hexes, tokens, strict=True):
             yield scan(text or "", rule, bool(has_hex), bool(has_token))

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from helpers import documents, prose
 
 from tallyloom.llm import secret_scan as s
@@ -80,3 +81,58 @@ def test_masking_keeps_rows_and_columns(spark):
     made = s.redact_secrets(frame)
     assert made.schema == frame.schema
     assert {r.doc_id: r.text for r in made.collect()} == {1: "a [secret] b", 2: None, 3: "clean", 4: "[secret]"}
+
+
+ALPHABETS = {
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "upperhex": "0123456789ABCDEF",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "base64 for links": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ALPHABETS))
+@pytest.mark.parametrize("size", [20, 24, 32, 40])
+def test_random_keys_are_found(name, size):
+    rng = random.Random(size)
+    keys = ["".join(rng.choice(ALPHABETS[name]) for _ in range(size)) for _ in range(300)]
+    keys = [k + "417" if n % 10 == 0 and name == "letters" else k for n, k in enumerate(keys)]
+    found = [any(b - a >= 20 for a, b, _ in s.scan(f"it is {key} now", s.EntropyRule())[1]) for key in keys]
+    assert sum(found) >= 0.9 * len(keys)
+
+
+def test_spans_equal_judging_every_window():
+    """Candidates, classes and windows run plainly, with entropies counted afresh."""
+    rule, rng = s.EntropyRule(), random.Random(8)
+    alphabet = list(ALPHABETS["base64"]) + ["a"] * 40 + [" ", "é", "-", "_", "="]
+    for _ in range(60):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 300)))
+        expected = []
+        for run in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+            if len(run[0]) < rule.min_chars or rule.allows(run[0]):
+                continue
+            kind = next(c for c in rule.classes if c.pattern.match(run[0]))
+            covered = set()
+            for at in range(len(run[0]) - rule.window + 1):
+                window = run[0][at : at + rule.window]
+                bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(window).values())
+                if bits >= kind.bits:
+                    covered |= set(range(run.start() + at, run.start() + at + rule.window))
+            for place in sorted(covered):
+                if expected and expected[-1][1] == place and expected[-1][2] == kind.name:
+                    expected[-1][1] = place + 1
+                else:
+                    expected.append([place, place + 1, kind.name])
+        assert [list(span) for span in s.scan(text, rule)[1]] == expected
+
+
+def test_prose_paths_and_names_are_left_alone():
+    for text in (
+        "Donaudampfschifffahrtsgesellschaft", "ThisIsAClassNameInCamelCase", "getElementsByTagNameFromDocument",
+        "SOME_CONSTANT_NAME_OF_THE_PROGRAM", "/usr/local/share/some_folder/file_name12", "2024-06-01_backup_of_the_house",
+        "anticonstitutionnellement", "otorrinolaringologicamente", "--no-colour-in-the-output", "HTTPServerConnectionHandler2",
+        "https://www.example.org/news/article/the-answer-to-everything-2024", "INTERNATIONALISIERUNGEN",
+    ):
+        assert s.scan(text, s.EntropyRule())[1] == [], text
