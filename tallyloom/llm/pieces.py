@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 # Fixed values of the format.
 META = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED_PARTS = 300_000  # in each of two generations
+REMEMBERED_PARTS = 100_000  # in each of two generations
 REMEMBERED_CHARS = 64
 ROWS_AT_ONCE = 200
 IDS_AT_ONCE = 1 << 18
