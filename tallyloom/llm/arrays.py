@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 # An odd base for polynomial hashes modulo 2**64 and the multipliers of
 # the splitmix64 finaliser.
