@@ -16,11 +16,16 @@ equal anchors at equal places, and only the suffixes at anchors are sorted.
 3. Two windows at the same offset are equal where the right sides agree for long enough and
    the left sides do; both are runs of the sorted orders, so the smallest document of every
    window is a minimum over pairs of run numbers.
+4. An anchor with more open contexts than one task should sort (the border of a passage that
+   very many documents hold) is settled by its windows instead: each window is a row, the
+   smallest document of equal windows a minimum that the map tasks begin, and the rows meet
+   it in a join, which Spark splits where one window is hot.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window lose
 nothing; repeats inside one document do not count; repeated rows (equal id and text) are the
-same document; a row with a null id is never changed and changes no other; an empty table
-gives no rows.
+same document; different texts under one id are each judged against smaller ids, never
+against each other; a row with a null id is never changed and changes no other; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.arrays import Chunk, mix, prefix_hashes, span_hashes, symbol_codes, text_chunks
@@ -94,11 +99,15 @@ def _smallest(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> tuple[np.ndarray
     return order, new, doc[order][first][np.cumsum(new) - 1]
 
 
-BLOB = "bucket int, high binary, low binary, context binary, doc_low binary, doc_high binary, at binary"
+BLOB = (
+    "bucket int, high binary, low binary, context binary, doc_low binary, doc_high binary, "
+    "at binary, tag binary"
+)
 
 
-def _packed(bucket: int, hashes, context, doc, at) -> list:
-    """Columns as planes of bytes: what repeats is side by side and compresses."""
+def _packed(bucket: int, hashes, context, doc, at, tag) -> list:
+    """Columns as planes of bytes: what repeats is side by side and compresses. Tags that are
+    all zero take no bytes."""
     ids = doc.view(np.uint64)
     return [
         bucket,
@@ -108,23 +117,32 @@ def _packed(bucket: int, hashes, context, doc, at) -> list:
         ids.astype(np.uint32).tobytes(),
         (ids >> np.uint64(32)).astype(np.uint32).tobytes(),
         at.astype(np.uint32).tobytes(),
+        tag.tobytes() if tag.any() else b"",
     ]
 
 
-def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+def _unpacked(row: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     def plane(i: int, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(batch.column(i).to_pylist()), kind)
+        return np.frombuffer(row.column(i)[0].as_py(), kind)
 
     hashes = plane(1, np.uint16).astype(np.uint64) << np.uint64(32) | plane(2, np.uint32)
     doc = plane(5, np.uint32).astype(np.uint64) << np.uint64(32) | plane(4, np.uint32)
-    return hashes, plane(3, np.uint64), doc.view(np.int64), plane(6, np.uint32).astype(np.int64)
+    tag = plane(7, np.int64)
+    return (
+        hashes,
+        plane(3, np.uint64),
+        doc.view(np.int64),
+        plane(6, np.uint32).astype(np.int64),
+        tag if len(tag) else np.zeros(len(doc), np.int64),
+    )
 
 
 def _blobs(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[list]:
     """Anchors of a batch by bucket; what equal contexts decide here goes along in bucket -1-b."""
-    doc, at, hashes, context = (np.concatenate(column) for column in zip(*parts, strict=True))
+    columns = (np.concatenate(column) for column in zip(*parts, strict=True))
+    doc, tag, at, hashes, context = columns
     order, _, least = _smallest((hashes, context), doc)
-    doc, at, hashes, context = doc[order], at[order], hashes[order], context[order]
+    doc, tag, at, hashes, context = (c[order] for c in (doc, tag, at, hashes, context))
     open_ = doc == least
     home = ((hashes >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     for sign, some in ((1, open_), (-1, ~open_)):
@@ -132,13 +150,14 @@ def _blobs(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[list]:
         cuts = np.searchsorted(home[picked], np.arange(buckets + 1))
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
             p = picked[cuts[b] : cuts[b + 1]]
-            yield _packed(int(b) if sign > 0 else -1 - int(b), hashes[p], context[p], doc[p], at[p])
+            bucket = int(b) if sign > 0 else -1 - int(b)
+            yield _packed(bucket, hashes[p], context[p], doc[p], at[p], tag[p])
 
 
 def anchor_blobs(docs: DataFrame, buckets: int) -> DataFrame:
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in BLOB.split(", ")]
-        kinds = [pa.int32(), *[pa.binary()] * 6]
+        kinds = [pa.int32(), *[pa.binary()] * 7]
 
         def flushed(parts: list) -> Iterator[pa.RecordBatch]:
             columns = zip(*_blobs(parts, buckets), strict=True)
@@ -149,9 +168,11 @@ def anchor_blobs(docs: DataFrame, buckets: int) -> DataFrame:
         parts, held = [], 0
         for batch in rows:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for chunk in text_chunks(batch.column(1)):
+            tags = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for chunk in text_chunks(batch.column(2)):
                 text, at, hashes, context = anchors(chunk)
-                parts.append((ids[chunk.first + text], at, hashes, context))
+                row = chunk.first + text
+                parts.append((ids[row], tags[row], at, hashes, context))
                 held += len(chunk.data)
                 if held >= BATCH_BYTES:
                     yield from flushed(parts)
@@ -162,18 +183,19 @@ def anchor_blobs(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(batches, BLOB)
 
 
-MARKS = "doc long, first int, past int, anchor long"
+MARKS = "doc long, tag long, first int, past int, anchor long"
 
 
-def _marks(doc, first, past, anchor) -> pa.RecordBatch:
+def _marks(doc, tag, first, past, anchor) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(doc, pa.int64()),
+            pa.array(tag, pa.int64()),
             pa.array(first, pa.int32()),
             pa.array(past, pa.int32()),
             pa.array(anchor, pa.int64()),
         ],
-        names=["doc", "first", "past", "anchor"],
+        names=["doc", "tag", "first", "past", "anchor"],
     )
 
 
@@ -181,6 +203,7 @@ def context_marks(blobs: DataFrame) -> DataFrame:
     """Decided spans (anchor -1) and anchors still open: those whose contexts differ.
 
     A span is the whole reach of the anchor; what lies outside the text is cut off later.
+    An open anchor has in `past` the number of its open contexts.
     """
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,17 +213,19 @@ def context_marks(blobs: DataFrame) -> DataFrame:
                 row = batch.slice(i, 1)
                 bucket = row.column(0)[0].as_py()
                 if bucket < 0:
-                    _, _, doc, at = _unpacked(row)
-                    yield _marks(doc, at - LEFT, at + WINDOW, np.full(len(doc), -1))
+                    _, _, doc, at, tag = _unpacked(row)
+                    yield _marks(doc, tag, at - LEFT, at + WINDOW, np.full(len(doc), -1))
                 else:
                     held.setdefault(bucket, []).append(row)
         for bucket in list(held):
             parts = [_unpacked(row) for row in held.pop(bucket)]
-            hashes, context, doc, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+            columns = (np.concatenate(c) for c in zip(*parts, strict=True))
+            hashes, context, doc, at, tag = columns
             order, new, least = _smallest((hashes, context), doc)
-            hashes, doc, at = hashes[order], doc[order], at[order]
+            hashes, doc, at, tag = (c[order] for c in (hashes, doc, at, tag))
             done = doc > least
-            yield _marks(doc[done], at[done] - LEFT, at[done] + WINDOW, np.full(done.sum(), -1))
+            whole = np.full(done.sum(), -1)
+            yield _marks(doc[done], tag[done], at[done] - LEFT, at[done] + WINDOW, whole)
             # Open: the first document of a context, if the anchor has other contexts of others.
             group = np.append(True, hashes[1:] != hashes[:-1])
             number = np.cumsum(group) - 1
@@ -209,27 +234,29 @@ def context_marks(blobs: DataFrame) -> DataFrame:
             low = np.minimum.reduceat(doc, starts)
             high = np.maximum.reduceat(doc, starts)
             open_ = ~done & ((size > 1) & (low < high))[number]
-            yield _marks(doc[open_], at[open_], at[open_], hashes[open_].view(np.int64))
+            count = np.bincount(number[open_], minlength=len(starts))[number]
+            anchor = hashes[open_].view(np.int64)
+            yield _marks(doc[open_], tag[open_], at[open_], count[open_], anchor)
 
     return blobs.mapInArrow(batches, MARKS)
 
 
-CONTEXTS = "anchor long, doc long, at int, before binary, after binary"
+CONTEXTS = "anchor long, doc long, tag long, at int, before binary, after binary"
 
 
 def open_contexts(texts: DataFrame) -> DataFrame:
-    """The bytes around every open anchor of (doc, text, marks)."""
+    """The bytes around every open anchor of (doc, tag, text, marks)."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in CONTEXTS.split(", ")]
         for batch in rows:
-            lists = batch.column(2)
+            lists = batch.column(3)
             bounds, marks = lists.offsets.to_numpy(), lists.values
             first, anchor = marks.field("first").to_numpy(), marks.field("anchor").to_numpy()
             sizes = np.diff(bounds)
-            doc = np.repeat(batch.column(0).to_numpy(), sizes)
+            doc, tag = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
             first, anchor = first[bounds[0] : bounds[-1]], anchor[bounds[0] : bounds[-1]]
-            text = batch.column(1).cast(pa.large_binary())
+            text = batch.column(2).cast(pa.large_binary())
             for row in range(0, len(doc), SORT_ROWS):
                 part = slice(row, row + SORT_ROWS)
                 home = np.searchsorted(bounds - bounds[0], np.arange(row, row + len(first[part])), "right") - 1
@@ -243,6 +270,7 @@ def open_contexts(texts: DataFrame) -> DataFrame:
                     [
                         pa.array(anchor[part], pa.int64()),
                         pa.array(doc[part], pa.int64()),
+                        pa.array(tag[part], pa.int64()),
                         pa.array(first[part], pa.int32()),
                         pa.array(before, pa.binary()),
                         pa.array(after, pa.binary()),
@@ -403,9 +431,9 @@ def sorted_marks(contexts: DataFrame) -> DataFrame:
     """Decided spans of contexts that arrive sorted by anchor."""
 
     def settled(table: pa.Table) -> pa.RecordBatch:
-        group, doc, at = (table.column(i).to_numpy().astype(np.int64) for i in range(3))
+        group, doc, tag, at = (table.column(i).to_numpy().astype(np.int64) for i in range(4))
         row, start = repeated_windows(
-            group, doc, at, table.column(3).to_pylist(), table.column(4).to_pylist()
+            group, doc, at, table.column(4).to_pylist(), table.column(5).to_pylist()
         )
         # Windows that touch are one span.
         order = np.lexsort((start, row))
@@ -413,8 +441,9 @@ def sorted_marks(contexts: DataFrame) -> DataFrame:
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (start[1:] > start[:-1] + WINDOW)
         last = np.append(new[1:], True) if len(row) else new
+        first = row[new]
         return _marks(
-            doc[row[new]], start[new], start[last] + WINDOW, np.full(int(new.sum()), -1)
+            doc[first], tag[first], start[new], start[last] + WINDOW, np.full(len(first), -1)
         )
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,6 +467,31 @@ def sorted_marks(contexts: DataFrame) -> DataFrame:
     return contexts.mapInArrow(batches, MARKS)
 
 
+def window_marks(contexts: DataFrame) -> DataFrame:
+    """Decided spans of contexts by their windows, with no group in one task."""
+    windows = (
+        contexts.filter(F.length("before") + F.length("after") >= WINDOW)
+        .withColumn(
+            "reach",
+            F.explode(F.expr(f"sequence(greatest(0, {WINDOW} - length(after)), length(before))")),
+        )
+        .select(
+            "doc",
+            "tag",
+            F.expr("at - reach").alias("first"),
+            F.expr(
+                "concat(substring(before, length(before) - reach + 1, reach), "
+                f"substring(after, 1, {WINDOW} - reach))"
+            ).alias("window"),
+        )
+    )
+    least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    least = least.filter("least < most").select("window", "least")
+    found = windows.join(least, "window").filter("doc > least")
+    past, none = (F.col("first") + WINDOW).alias("past"), F.lit(-1).cast("long").alias("anchor")
+    return found.select("doc", "tag", "first", past, none)
+
+
 REMOVED = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -481,13 +535,27 @@ def _without(texts: DataFrame, keep_bytes: bool) -> DataFrame:
     return texts.mapInArrow(batches, REMOVED)
 
 
+def _tag(texts: DataFrame) -> Column:
+    """What tells texts of one id apart: a hash of the text, or zero if every id has one text."""
+    digest = F.xxhash64("body")
+    several = texts.groupBy("doc").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    alike = several.filter("low <> high").limit(1).count() == 0
+    return F.lit(0).cast("long") if alike else digest
+
+
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", keep_bytes: bool = True
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    keep_bytes: bool = True,
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document: what is left
-    of its bytes without those a repeated string covers."""
+    of its bytes without those a repeated string covers. Anchors with more than `sort_rows`
+    open contexts are settled by windows instead of in one task's sort, with the same result."""
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("body"))
+    texts = texts.select("doc", _tag(texts.filter("doc is not null")).alias("tag"), "body")
     # Both joins below ask for the named texts by document, so one shuffle serves both (which
     # the plan test holds; it needs names that both sides keep).
     named, nameless = texts.filter("doc is not null"), texts.filter("doc is null")
@@ -495,14 +563,17 @@ def remove_repeats(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blobs = anchor_blobs(long, BUCKETS_A_PARTITION * parts).repartition(F.expr("if(bucket < 0, -1 - bucket, bucket)"))
     marks = stored(context_marks(blobs), "marks")
-    opened = marks.filter("anchor >= 0").groupBy("doc").agg(
-        F.collect_list(F.struct("first", "anchor")).alias("marks")
-    )
-    opened = named.join(opened, "doc").select("doc", "body", "marks")
-    contexts = open_contexts(opened).repartition("anchor").sortWithinPartitions("anchor", "doc", "at")
-    ends = sorted_marks(contexts)
-    spans = marks.filter("anchor < 0").unionByName(ends)
-    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "past")).alias("spans"))
-    marked = named.join(spans, "doc", "left").select("doc", "body", "spans")
-    unmarked = nameless.withColumn("spans", F.lit(None).cast("array<struct<first int, past int>>"))
+
+    def contexts(size: Column) -> DataFrame:
+        opened = marks.filter((F.col("anchor") >= 0) & size).groupBy("doc", "tag")
+        opened = opened.agg(F.collect_list(F.struct("first", "anchor")).alias("marks"))
+        return open_contexts(named.join(opened, ["doc", "tag"]).select("doc", "tag", "body", "marks"))
+
+    few = contexts(F.col("past") <= sort_rows).repartition("anchor")
+    ends = sorted_marks(few.sortWithinPartitions("anchor", "doc", "at"))
+    hot = window_marks(contexts(F.col("past") > sort_rows))
+    spans = marks.filter("anchor < 0").unionByName(ends).unionByName(hot).groupBy("doc", "tag")
+    spans = spans.agg(F.collect_list(F.struct("first", "past")).alias("spans"))
+    marked = named.join(spans, ["doc", "tag"], "left").select("doc", "body", "spans")
+    unmarked = nameless.select("doc", "body").withColumn("spans", F.lit(None).cast("array<struct<first int, past int>>"))
     return _without(marked.unionByName(unmarked), keep_bytes)

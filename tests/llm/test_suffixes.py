@@ -50,6 +50,35 @@ def test_repeats_inside_one_document_stay(spark):
     assert [r.n_removed for r in result] == [0, 0]
 
 
+def test_hot_anchors_are_settled_by_windows_alike(spark):
+    """A passage in every document with other neighbours in each, cut at both ends in some."""
+    rng = random.Random(9)
+    passage = prose(50, 20)
+    rows = []
+    for i in range(40):
+        a, b = rng.choice([(0, 0), (0, 7), (5, 0), (30, 30)])
+        rows.append((i * 7 % 41, prose(900 + i, 6) + passage[a : len(passage) - b] + prose(990 + i, 6)))
+    rows += [(100, passage[:49]), (101, passage[:50]), (102, "é" * 60), (103, "zé" + "é" * 40)]
+    texts, docs = dict(rows), documents(spark, rows)
+    expected = without_repeats(texts)
+    for sort_rows in (0, 3, 30):
+        assert found(suffixes.remove_repeats(docs, sort_rows=sort_rows)) == expected
+
+
+def test_different_texts_under_one_id_are_judged_apart(spark):
+    one, other, third = prose(3, 40), prose(4, 40), prose(5, 40)
+    rows = [(1, one), (2, one + third), (2, other), (2, None), (2, other), (3, other + third)]
+    for sort_rows in (0, suffixes.SORT_ROWS):
+        result = suffixes.remove_repeats(documents(spark, rows), sort_rows=sort_rows).collect()
+        left = sorted((r.doc, bytes(r.kept)) for r in result)
+        smaller = {1: {}, 2: {1: one}, 3: {1: one, 2: one + third + "\x00" * 60 + other}}
+        expected = sorted(
+            (i, without_repeats({**smaller[i], i: text})[i][1]) for i, text in rows
+        )
+        assert left == expected
+    assert any(doc == 2 and kept == other.encode() for doc, kept in left)
+
+
 def test_null_id_and_no_rows(spark):
     text = prose(2, 40)
     result = suffixes.remove_repeats(documents(spark, [(None, text), (3, text)])).collect()
