@@ -535,12 +535,11 @@ def _without(texts: DataFrame, keep_bytes: bool) -> DataFrame:
     return texts.mapInArrow(batches, REMOVED)
 
 
-def _tag(texts: DataFrame) -> Column:
-    """What tells texts of one id apart: a hash of the text, or zero if every id has one text."""
+def _shared_ids(texts: DataFrame) -> bool:
+    """Does any id name different texts?"""
     digest = F.xxhash64("body")
     several = texts.groupBy("doc").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
-    alike = several.filter("low <> high").limit(1).count() == 0
-    return F.lit(0).cast("long") if alike else digest
+    return several.filter("low <> high").limit(1).count() > 0
 
 
 def remove_repeats(
@@ -555,7 +554,11 @@ def remove_repeats(
     open contexts are settled by windows instead of in one task's sort, with the same result."""
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("body"))
-    texts = texts.select("doc", _tag(texts.filter("doc is not null")).alias("tag"), "body")
+    # Texts of one id are told apart by a hash, which costs something only where there are any.
+    shared = _shared_ids(texts.filter("doc is not null"))
+    keys = ["doc", "tag"] if shared else ["doc"]
+    tag = F.xxhash64("body") if shared else F.lit(0).cast("long")
+    texts = texts.select("doc", tag.alias("tag"), "body")
     # Both joins below ask for the named texts by document, so one shuffle serves both (which
     # the plan test holds; it needs names that both sides keep).
     named, nameless = texts.filter("doc is not null"), texts.filter("doc is null")
@@ -565,15 +568,15 @@ def remove_repeats(
     marks = stored(context_marks(blobs), "marks")
 
     def contexts(size: Column) -> DataFrame:
-        opened = marks.filter((F.col("anchor") >= 0) & size).groupBy("doc", "tag")
+        opened = marks.filter((F.col("anchor") >= 0) & size).groupBy(*keys)
         opened = opened.agg(F.collect_list(F.struct("first", "anchor")).alias("marks"))
-        return open_contexts(named.join(opened, ["doc", "tag"]).select("doc", "tag", "body", "marks"))
+        return open_contexts(named.join(opened, keys).select("doc", "tag", "body", "marks"))
 
     few = contexts(F.col("past") <= sort_rows).repartition("anchor")
     ends = sorted_marks(few.sortWithinPartitions("anchor", "doc", "at"))
     hot = window_marks(contexts(F.col("past") > sort_rows))
-    spans = marks.filter("anchor < 0").unionByName(ends).unionByName(hot).groupBy("doc", "tag")
+    spans = marks.filter("anchor < 0").unionByName(ends).unionByName(hot).groupBy(*keys)
     spans = spans.agg(F.collect_list(F.struct("first", "past")).alias("spans"))
-    marked = named.join(spans, ["doc", "tag"], "left").select("doc", "body", "spans")
+    marked = named.join(spans, keys, "left").select("doc", "body", "spans")
     unmarked = nameless.select("doc", "body").withColumn("spans", F.lit(None).cast("array<struct<first int, past int>>"))
     return _without(marked.unionByName(unmarked), keep_bytes)
