@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,8 @@ from tallyloom.llm.tables import stored
 WINDOW = 50
 ANCHOR = 16
 LEFT = WINDOW - ANCHOR
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+BLOBS_A_BATCH = 64
 BUCKETS_A_PARTITION = 16
 SORT_ROWS = 1 << 16
 MAX48 = np.uint64((1 << 48) - 1)
@@ -117,7 +119,7 @@ def _packed(bucket: int, hashes, context, doc, at, tag) -> list:
         ids.astype(np.uint32).tobytes(),
         (ids >> np.uint64(32)).astype(np.uint32).tobytes(),
         at.astype(np.uint32).tobytes(),
-        tag.tobytes() if tag.any() else b"",
+        tag.astype(np.int64).tobytes() if tag.any() else b"",
     ]
 
 
@@ -160,15 +162,17 @@ def anchor_blobs(docs: DataFrame, buckets: int) -> DataFrame:
         kinds = [pa.int32(), *[pa.binary()] * 7]
 
         def flushed(parts: list) -> Iterator[pa.RecordBatch]:
-            columns = zip(*_blobs(parts, buckets), strict=True)
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
-            if arrays:
+            blobs = _blobs(parts, buckets)
+            while some := list(islice(blobs, BLOBS_A_BATCH)):
+                columns = zip(*some, strict=True)
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
         parts, held = [], 0
         for batch in rows:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             tags = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            tags = tags if tags.any() else np.zeros(len(tags), np.int8)
             for chunk in text_chunks(batch.column(2)):
                 text, at, hashes, context = anchors(chunk)
                 row = chunk.first + text
