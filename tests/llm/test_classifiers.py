@@ -90,6 +90,58 @@ def test_quality_on_held_out_rows(spark, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i in scores if scores[i] >= 0.3}
 
 
+def rising(values, marks):
+    """The best rising fit by its closed form: of all stretches that end at a place or later, the
+    least mean; of all that begin at it or earlier, the largest of those."""
+    order = np.argsort(values, kind="stable")
+    at, y = values[order], marks[order]
+    sums = np.concatenate([[0.0], np.cumsum(y)])
+    n = len(y)
+    means = (sums[None, 1:] - sums[:-1, None]) / np.maximum(np.arange(1, n + 1)[None] - np.arange(n)[:, None], 1)
+    fit = [max(means[a, i:].min() for a in range(i + 1)) for i in range(n)]
+    levels = np.unique(np.round(fit, 12))
+    places = [at[np.isclose(fit, level, rtol=0, atol=1e-10)].mean() for level in levels]
+    return np.array(places), levels
+
+
+def test_quality_equals_a_plain_fit(spark, corpus):
+    """Ridge as one least-squares problem over all rows at once, the calibration by its closed
+    form, a score by the kernel features written out."""
+    rows, marks = corpus
+    docs = documents(spark, rows)
+    model = quality.fit_quality(docs, labels(spark, marks))
+    splits = spark.range(len(rows)).selectExpr("id", f"pmod(xxhash64(id, {quality.SEED}), {quality.CALIBRATION_SHARE}) = 0 as c")
+    calibrates = {r.id for r in splits.collect() if r.c}
+    stats = {i: statistics_of([t])[0] for i, t in rows}
+    learned = [(i, float(q)) for i, q, _ in marks if not held_out(i)]
+    x = np.array([stats[i] for i, _ in learned if i not in calibrates])
+    y = np.array([q for i, q in learned if i not in calibrates])
+    centre, scale = x.mean(0), x.std(0)
+    scale[scale <= 1e-9] = 1.0
+    directions, phases = quality.projections()
+
+    def features(stat):
+        standard = np.clip((stat - centre) / scale, -8, 8)
+        waves = [np.cos(standard @ directions[:, k] + phases[k]) for k in range(len(phases))]
+        return np.array([w * np.sqrt(2 / len(phases)) for w in waves] + [1.0])
+
+    z = np.array([features(s) for s in x])
+    weight = np.sqrt(np.append(np.full(len(phases), quality.RIDGE * len(x)), 1e-9))
+    plain = np.linalg.lstsq(np.vstack([z, np.diag(weight)]), np.append(y, 0.0 * weight), rcond=None)[0]
+    assert np.allclose(model.weights, plain, atol=1e-6)
+    assert np.allclose((model.centre, model.scale), (centre, scale))
+
+    raw = np.array([features(stats[i]) @ plain for i, _ in learned if i in calibrates])
+    at, curve = rising(raw, np.array([q for i, q in learned if i in calibrates]))
+    assert np.allclose(model.curve_at[1:-1], at, atol=1e-6) and np.allclose(model.curve[1:-1], curve)
+    ends = (0.5 * curve[0], 0.5 + 0.5 * curve[-1])
+    scores = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+    for i, _ in rows:
+        mine = features(stats[i]) @ plain
+        expected = np.interp(mine, [at[0] - 1, *at, at[-1] + 1], [ends[0], *curve, ends[1]])
+        assert scores[i] == pytest.approx(expected, abs=1e-4)
+
+
 def test_quality_edge_cases(spark, corpus):
     rows, marks = corpus
     odd = documents(spark, [(1, None), (2, ""), (3, "x"), (3, "x"), (None, prose(1, 9)), (4, prose(2, 50_000))])
