@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import QUERIES
 from tallyloom.operators.cube import sales_cube, sales_cube_plain
 from tallyloom.plans import marts, rollups, star, warehouse
+from tallyloom.session import tune
 
 
 
@@ -268,3 +269,41 @@ def test_cube_of_skewed_sales_equals_the_plain_cube(spark, skewed):
         ours = sales_cube(sales, "category", "month").collect()
         plain = sales_cube_plain(sales, "category", "month").collect()
     assert sorted(ours, key=str) == sorted(plain, key=str)
+
+
+def test_tasks_get_small_shares_of_files_and_shuffles(spark):
+    split = "spark.sql.files.maxPartitionBytes"
+    merged = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    sizes = settings(
+        spark,
+        spark__sql__files__maxPartitionBytes="128MB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4194304",
+    )
+    with sizes:
+        tune(spark)
+        # What is large is lowered, what is smaller stays.
+        assert (spark.conf.get(split), spark.conf.get(merged)) == (str(16 << 20), "4194304")
+    with settings(spark, spark__sql__files__maxPartitionBytes="1m"):
+        tune(spark)
+        assert spark.conf.get(split) == "1m"
+
+
+def test_more_rows_make_more_tasks_not_larger_ones(spark, tmp_path):
+    at = str(tmp_path / "rows")
+    parts = settings(
+        spark,
+        spark__sql__files__maxPartitionBytes="128MB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64MB",
+        spark__sql__shuffle__partitions="16",
+    )
+    with parts:
+        tune(spark)
+        # Numbers that do not compress: about 48 MB in one file, in groups of 2 MB.
+        rows = spark.range(3_000_000, numPartitions=1).select(
+            F.xxhash64("id").alias("key"), F.xxhash64("id", F.lit(1)).alias("value")
+        )
+        rows.write.option("parquet.block.size", 2 << 20).parquet(at)
+        stored = spark.read.parquet(at)
+        assert stored.rdd.getNumPartitions() >= 3
+        grouped = stored.groupBy("key").agg(F.max("value").alias("value"))
+        assert grouped.rdd.getNumPartitions() >= 5
