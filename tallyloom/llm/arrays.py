@@ -43,6 +43,12 @@ def text_chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Ch
         bounds = offsets[first : last + 1]
         yield Chunk(first, last, data[bounds[0] : bounds[-1]], bounds - bounds[0])
         first = last
+    release_memory()
+
+
+def release_memory() -> None:
+    """Arrow keeps what earlier batches took, in every worker process; give it back."""
+    pa.default_memory_pool().release_unused()
 
 
 def mix(values: np.ndarray) -> np.ndarray:

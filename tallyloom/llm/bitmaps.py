@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.arrays import mix
+from tallyloom.llm.arrays import mix, release_memory
 from tallyloom.llm.tables import stored
 
 BITMAP_BITS = 1 << 25  # four megabytes
@@ -63,6 +63,7 @@ def probably_in(
             hit = in_bitmap(ids.fill_null(0).to_numpy(), bitmap, bits)
             hit &= ids.is_valid().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(hit == inside))
+            release_memory()
 
     return rows.mapInArrow(batches, rows.schema)
 

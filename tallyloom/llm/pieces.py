@@ -9,7 +9,7 @@ model has none) at a penalty below the least score.
 Pieces of the vocabulary never continue from a character to a meta mark after it, nor
 across a line feed, nor from a letter to a stop; this is checked when a model is loaded. A
 text is therefore cut there, and each part, whose best path does not depend on the others,
-is encoded once and remembered.
+is encoded once and remembered until its partition ends.
 
 Scores are the model's own, so for a model of type BPE the result is its best-scoring
 segmentation, not the one its merge order gives; the tests hold the ids against the
@@ -36,6 +36,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from tallyloom.llm.arrays import release_memory
+
 # Fixed values of the format.
 META = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -140,6 +142,10 @@ class PieceModel:
             self.known[part] = path
         return path
 
+    def forget(self) -> None:
+        """Worker processes outlive their partitions; idle ones need no parts."""
+        self.known, self.older = {}, {}
+
     def encode(self, text: str) -> array:
         ids = array("i")
         if not text:
@@ -177,7 +183,7 @@ class PieceModel:
 
 @lru_cache(maxsize=2)
 def load_model(serialised: bytes) -> PieceModel:
-    """One model for each worker process; it keeps the parts it has encoded."""
+    """One model for each worker process."""
     return PieceModel(serialised)
 
 
@@ -208,20 +214,24 @@ def encode_texts(
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(serialised)
-        for batch in rows:
-            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(first, ROWS_AT_ONCE)
-                texts = [value or "" for value in part.column(1).to_pylist()]
-                values, bounds = array("i"), [0]
-                for value in texts:
-                    values.extend(model.encode(value))
-                    bounds.append(len(values))
-                ids, ends = np.frombuffer(values, np.int32), np.array(bounds, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-                arrays = [part.column(0), lists, pa.array(np.diff(ends))]
-                if checked:
-                    arrays.append(pa.array(_round_trips(model, texts, ids, ends)))
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+        try:
+            for batch in rows:
+                for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(first, ROWS_AT_ONCE)
+                    texts = [value or "" for value in part.column(1).to_pylist()]
+                    values, bounds = array("i"), [0]
+                    for value in texts:
+                        values.extend(model.encode(value))
+                        bounds.append(len(values))
+                    ids, ends = np.frombuffer(values, np.int32), np.array(bounds, np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+                    arrays = [part.column(0), lists, pa.array(np.diff(ends))]
+                    if checked:
+                        arrays.append(pa.array(_round_trips(model, texts, ids, ends)))
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+                release_memory()
+        finally:
+            model.forget()
 
     narrow = docs.select(key, text)
     kind = narrow.schema[key].dataType.simpleString()

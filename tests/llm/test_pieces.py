@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from helpers import documents, prose
@@ -102,3 +103,19 @@ def test_round_trips_are_judged_text_by_text(unigram):
     assert judged(texts, wrong) == [False, False] + [True] * (len(texts) - 2)
     assert judged(texts, [ids[0], wrong[1], *ids[2:]]) == [True, False] + [True] * (len(texts) - 2)
     assert judged([], []) == []
+
+
+def test_idle_workers_remember_no_parts(spark):
+    serialised = Path(PIECE_MODEL).read_bytes()
+    rows = [(i, " ".join(f"word{i}x{j}" for j in range(200))) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert pieces.encode_texts(docs, PIECE_MODEL).count() == 64
+
+    def remembered(source):
+        for batch in source:
+            model = pieces.load_model(serialised)
+            parts = len(model.known) + len(model.older)
+            yield pa.RecordBatch.from_arrays([pa.array([parts] * batch.num_rows, pa.int64())], names=["n"])
+
+    found = spark.range(8, numPartitions=8).mapInArrow(remembered, "n long").collect()
+    assert [row.n for row in found] == [0] * 8
