@@ -8,10 +8,11 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom import session
 from tallyloom.catalog import QUERIES
 from tallyloom.operators.cube import sales_cube, sales_cube_plain
 from tallyloom.plans import marts, rollups, star, warehouse
-from tallyloom.session import tune
+from tallyloom.session import spread, tune
 
 
 
@@ -307,3 +308,43 @@ def test_more_rows_make_more_tasks_not_larger_ones(spark, tmp_path):
         assert stored.rdd.getNumPartitions() >= 3
         grouped = stored.groupBy("key").agg(F.max("value").alias("value"))
         assert grouped.rdd.getNumPartitions() >= 5
+
+
+PARTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def unspread(spark):
+    """As if no query had asked for more parts of a shuffle yet."""
+    return settings(
+        spark,
+        spark__sql__shuffle__partitions="4",
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum="4",
+    )
+
+
+def test_shuffles_get_more_parts_for_larger_files(spark):
+    with unspread(spark):
+        spread(spark, 1 << 20)
+        assert spark.conf.get(PARTS) == "4"
+        spread(spark, (100 << 20) + 1)
+        assert spark.conf.get(PARTS) == "51"
+        # A smaller query leaves the session as it is.
+        spread(spark, 1 << 20)
+        assert spark.conf.get(PARTS) == "51"
+        # The sizes of so many parts are still told one by one.
+        spread(spark, 1 << 50)
+        assert spark.conf.get(PARTS) == "2000"
+        # A session with more parts keeps them.
+        with settings(spark, spark__sql__shuffle__partitions="3000"):
+            spread(spark, 1 << 20)
+            assert spark.conf.get(PARTS) == "3000"
+            spark.conf.set(PARTS, "2000")
+
+
+@pytest.mark.parametrize("name", ["mart_cube_category_month"])
+def test_more_rows_make_more_parts_of_a_shuffle(spark, sf_dir, monkeypatch, name):
+    monkeypatch.setattr(session, "FILE_BYTES_A_PART", 32 << 10)
+    with unspread(spark), shuffle_joins(spark):
+        plan = planned(QUERIES[name](spark, sf_dir))
+    parts = {int(n) for n in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan)}
+    assert len(parts) == 1 and parts.pop() > 20
