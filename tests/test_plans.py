@@ -341,7 +341,13 @@ def test_shuffles_get_more_parts_for_larger_files(spark):
             spark.conf.set(PARTS, "2000")
 
 
-@pytest.mark.parametrize("name", ["mart_cube_category_month"])
+@pytest.mark.parametrize(
+    "name",
+    [
+        "mart_cube_category_month",
+        "mart_sales_by_category",
+    ],
+)
 def test_more_rows_make_more_parts_of_a_shuffle(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(session, "FILE_BYTES_A_PART", 32 << 10)
     with unspread(spark), shuffle_joins(spark):
