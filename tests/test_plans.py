@@ -346,6 +346,7 @@ def test_shuffles_get_more_parts_for_larger_files(spark):
     [
         "mart_cube_category_month",
         "mart_sales_by_category",
+        "dq_unique",
     ],
 )
 def test_more_rows_make_more_parts_of_a_shuffle(spark, sf_dir, monkeypatch, name):
